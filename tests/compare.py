@@ -1,0 +1,53 @@
+"""Compare a query's result with that of its SQL, row by row."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents"
+    " embeddings pages benchmark labels conversations"
+).split()
+
+# Types that hold the same values in both engines.
+KINDS = {
+    "tinyint": "int", "smallint": "int", "int": "int", "integer": "int",
+    "bigint": "long", "double": "double", "string": "text", "varchar": "text",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        path = Path(sf_dir) / f"{name}.parquet"
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _cell(value):
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
+
+
+def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
+    """What differs; an empty list means equal names, types and rows."""
+    found = con.sql(sql)
+    names = sorted(df.columns)
+    if names != sorted(found.columns):
+        return [f"columns {names} against {sorted(found.columns)}"]
+    types = {n: KINDS.get(str(t).lower(), str(t).lower()) for n, t in zip(found.columns, found.types)}
+    ours = {n: KINDS.get(t, t) for n, t in df.dtypes}
+    problems = [f"{n} is {ours[n]} against {types[n]}" for n in names if ours[n] != types[n]]
+    mine = Counter(tuple(_cell(row[n]) for n in names) for row in df.collect())
+    order = [found.columns.index(n) for n in names]
+    theirs = Counter(tuple(_cell(row[i]) for i in order) for row in found.fetchall())
+    if mine != theirs:
+        more, less = mine - theirs, theirs - mine
+        problems.append(
+            f"{sum(mine.values())} rows against {sum(theirs.values())}; ours only"
+            f" {list(more.items())[:3]}; theirs only {list(less.items())[:3]}"
+        )
+    return problems
