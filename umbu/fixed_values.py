@@ -88,8 +88,7 @@ MISSING_CELLS = (
     "nan", "null",
 )
 
-# --- Fixed values: text forms that count as a whole number, and as a number
-WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+# --- Fixed values: text forms that count as a number
 NUMBER = r"(?i)^\s*[+-]?(inf|infinity|\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?)\s*$"
 
 # --- Fixed values: ASCII white space stripped from the ends of a text ------

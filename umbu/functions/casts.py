@@ -2,32 +2,49 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from umbu.fixed_values import MISSING_CELLS, NUMBER, WHOLE_NUMBER
+from umbu.fixed_values import MISSING_CELLS, NUMBER
+
+
+_MISSING = "^(?:" + "|".join(map(re.escape, MISSING_CELLS)) + r")\z"
 
 
 def blank_missing(text: Column) -> Column:
     """Null in place of the cells that a CSV scan takes as missing."""
-    return F.when(~text.isin(*MISSING_CELLS), text)
+    return F.when(~text.rlike(_MISSING), text)
 
 
-def _refuse(text: Column, why: str) -> Column:
-    return F.raise_error(F.concat(F.lit(f"{why}: "), F.coalesce(text, F.lit("null"))))
+def _whole(number: Column) -> Column:
+    """Decimal to whole number; a fraction that is not zero raises."""
+    return F.regexp_replace(number.cast("string"), r"\.0+$", "").cast("bigint")
+
+
+def _if_needed(text: Column, rule: Callable[[Column], Column]) -> Column:
+    """Apply a rule to a cell that is present, outside the generated code.
+
+    A sheet has many columns; with a rare case written out for each of them the
+    generated method outgrows what the JVM compiles, and every row is slow. In
+    a lambda the rule costs the method one call.
+    """
+    return F.when(text.isNotNull(), F.get(F.transform(F.array(text), rule), F.lit(0)))
 
 
 def strict_int(text: Column, kind: str = "int", nullable: bool = True) -> Column:
-    """Whole number from text; anything else that is present fails the load."""
-    cell = blank_missing(text)
-    number = F.when(cell.rlike(NUMBER), cell.try_cast("double"))
-    missing = F.lit(None).cast(kind) if nullable else _refuse(text, "missing value").cast(kind)
-    return (
-        F.when(cell.isNull(), missing)
-        .when(cell.rlike(WHOLE_NUMBER), cell.cast(kind))
-        .when(number == F.rint(number), number.cast(kind))
-        .otherwise(_refuse(text, "not a whole number").cast(kind))
-    )
+    """Whole number from text; anything else that is present fails the load.
+
+    Plain digits, the usual cell, need a single parse. Only what is left is
+    looked at for missing-value marks and for forms such as ``12.0`` or ``1e3``.
+    """
+    other = _if_needed(text, lambda cell: _whole(blank_missing(cell).cast("decimal(38,18)")))
+    value = F.coalesce(text.try_cast("bigint"), other).cast(kind)
+    if nullable:
+        return value
+    return F.coalesce(value, F.raise_error(F.lit("missing value")).cast(kind))
 
 
 def lenient_double(text: Column) -> Column:
@@ -35,18 +52,13 @@ def lenient_double(text: Column) -> Column:
 
     The pattern keeps out forms only Spark would parse, such as ``1.0d``.
     """
-    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+    other = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.coalesce(text.try_cast("bigint").cast("double"), other)
 
 
 def lenient_long(text: Column) -> Column:
     """Whole number from text: no number gives null, a fraction is an error."""
-    number = lenient_double(text)
-    return (
-        F.when(text.rlike(WHOLE_NUMBER), text.try_cast("bigint"))
-        .when(number.isNull(), F.lit(None).cast("bigint"))
-        .when(number == F.rint(number), number.cast("bigint"))
-        .otherwise(_refuse(text, "has a fraction").cast("bigint"))
-    )
+    return F.coalesce(text.try_cast("bigint"), _whole(text.try_cast("decimal(38,18)")))
 
 
 def digits_to_long(text: Column) -> Column:

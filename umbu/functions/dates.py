@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 
 def iso_date(value: Column, pattern: str | None = None) -> Column:
-    """``yyyy-MM-dd`` of a date, a timestamp or text; unreadable text fails."""
+    """``yyyy-MM-dd`` of a date, a timestamp or text; unreadable text fails.
+
+    A date cast to text is in this form; it costs less than a formatter.
+    """
     moment = F.to_timestamp(value, pattern) if pattern else value.cast("timestamp_ntz")
-    return F.date_format(moment, "yyyy-MM-dd")
+    return moment.cast("date").cast("string")
 
 
 def load_date(value: str | date) -> str:

@@ -56,7 +56,8 @@ def to_ascii(text: Column) -> Column:
     them among the non-ASCII characters alone is what keeps long texts fast.
     """
     single, image, several = _foldings()
-    table = F.create_map(*[F.lit(part) for pair in several.items() for part in pair])
+    pairs = "\x1e".join(f"{char}\x1f{ascii_part}" for char, ascii_part in several.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x1e"), F.lit("\x1f"))
     special = F.regexp_replace(text, r"[\x00-\x7F]+", "")
     found = F.array_distinct(
         F.regexp_extract_all(special, F.lit(_char_class(several)), F.lit(0))
@@ -75,4 +76,4 @@ def fold(text: Column) -> Column:
 
 def city_key(name: Column) -> Column:
     """Join key of a city as named in a price sheet (``são_paulo``)."""
-    return F.translate(fold(name), "_", " ")
+    return F.replace(fold(name), F.lit("_"), F.lit(" "))

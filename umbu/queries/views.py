@@ -13,12 +13,27 @@ from pyspark.sql import functions as F
 from umbu.fixed_values import CITY_UFS, STATES, UF_CODES
 from umbu.functions.dates import iso_date
 from umbu.operators.columns import with_load_dates
-from umbu.operators.joins import join_dimension
 from umbu.schemas import LOAD_DATE
 
 
+# Columns of the supplied tables; naming them saves a look into each file.
+_COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def values(rows, alias: str, names: str) -> str:
@@ -34,7 +49,7 @@ def values(rows, alias: str, names: str) -> str:
 
 
 def year_start(moment: Column) -> Column:
-    return iso_date(F.date_trunc("year", moment))
+    return F.concat(F.year(moment).cast("string"), F.lit("-01-01"))
 
 
 # --- Towns: nations under the names of Brazilian cities ---------------------
@@ -60,9 +75,12 @@ def nation_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer with the city of its nation; nations are measured first."""
+    """Each customer with the city of its nation.
+
+    Spark knows the size of the nation file and broadcasts it if it is small.
+    """
     cities = nation_city(spark, sf_dir).withColumnRenamed("n_nationkey", "c_nationkey")
-    return join_dimension(table(spark, sf_dir, "customer"), cities, "c_nationkey")
+    return table(spark, sf_dir, "customer").join(cities, "c_nationkey")
 
 
 # --- Prices: orders as basket prices ----------------------------------------
@@ -93,7 +111,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.join(homes, "o_custkey").select(
         "o_orderkey",
         "n_nationkey",
-        iso_date(F.date_trunc("month", "o_orderdate")).alias("data_mes"),
+        iso_date(F.trunc("o_orderdate", "month")).alias("data_mes"),
         "cidade",
         F.when(F.col("n_nationkey") % 11 != 5, F.col("o_totalprice")).alias("valor"),
         year_start(F.col("o_orderdate")).alias(LOAD_DATE),
