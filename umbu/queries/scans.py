@@ -17,7 +17,7 @@ from umbu.queries.bronze import (
 from umbu.queries.registry import query
 from umbu.queries.views import LISTINGS_SQL, PRICES_SQL, load_dates, prices, table, year_start
 from umbu.schemas import BRONZE_BASKET, LOAD_DATE, SILVER_BASKET
-from umbu.sources.landing import scan_csv, scan_sheet_columns
+from umbu.sources.landing import QUOTING, scan_csv, scan_sheet_columns
 from umbu.sources.loads import LoadReport, path_load_date, read_loads, read_table, write_loads
 from umbu.sources.shared import scratch_folder
 
@@ -28,7 +28,7 @@ SELECT {", ".join(RENT_NAMES)}, '{LOAD}' AS data_carga FROM listings""")
 def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listings landed as CSV files with a header, scanned and typed."""
     folder = scratch_folder(spark, "csv")
-    raw_listings(spark, sf_dir).write.mode("overwrite").csv(folder, header=True)
+    raw_listings(spark, sf_dir).write.mode("overwrite").csv(folder, header=True, **QUOTING)
     return bronze.bronze_rent(scan_csv(spark, folder), LOAD)
 
 
@@ -43,7 +43,8 @@ def _land_sheets(sheet: DataFrame, folder: str) -> None:
         yield pa.RecordBatch.from_pydict({"value": top})
         yield from batches
 
-    lines = sheet.select(F.to_csv(F.struct(F.lit("x").alias("nota"), *sheet.columns)).alias("value"))
+    cells = F.struct(F.lit("x").alias("nota"), *sheet.columns)
+    lines = sheet.select(F.to_csv(cells, QUOTING).alias("value"))
     lines.mapInArrow(with_top, "value string").write.mode("overwrite").text(folder)
 
 

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from umbu.operators.joins import join_dimension
 
+# Quotes inside a quoted cell are doubled, as spreadsheets export them.
+QUOTING = {"escape": '"'}
+
 
 def scan_csv(spark: SparkSession, folder: str, columns: Sequence[str] | None = None) -> DataFrame:
     """All ``.csv`` files of a folder as text columns; casts come later.
 
     Types are not inferred, which would read everything twice. With ``columns``
-    given not even the header needs to be looked at.
+    given not even the header needs to be looked at. Cells may not hold line
+    breaks, so that large files can be read in pieces.
     """
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
+    reader = spark.read.options(header=True, pathGlobFilter="*.csv", **QUOTING)
     if columns:
         reader = reader.schema(", ".join(f"`{name}` string" for name in columns))
     return reader.csv(folder)
@@ -55,7 +59,7 @@ def scan_sheet(
         join_dimension(lines, tops, "file")
         .where((F.col("start") > 0) | (F.col("line") >= F.col("first_row")))
         .where(F.trim("value") != "")
-        .select(F.from_csv("value", F.lit(fields)).alias("row"))
+        .select(F.from_csv("value", F.lit(fields), QUOTING).alias("row"))
         .select("row.*")
     )
 
