@@ -64,7 +64,8 @@ def silver_basket(prices: DataFrame, population: DataFrame) -> DataFrame:
 
     Where no municipality gives a UF, the city's raw name does. State code and
     name are looked up on the two small sides, so a price row takes two
-    broadcast lookups instead of four.
+    broadcast lookups instead of four. The one by raw name comes first and also
+    brings the folded name along: text is folded only for names not listed.
     """
     spark = prices.sparkSession
     towns = with_uf_code(
@@ -77,14 +78,19 @@ def silver_basket(prices: DataFrame, population: DataFrame) -> DataFrame:
         ),
         "town_uf",
     ).withColumnsRenamed({"city_code": "town_code", "estado": "town_state"})
-    named = city_dimension(spark).withColumnsRenamed(
-        {"uf": "named_uf", "city_code": "named_code", "estado": "named_state"}
+    raw_name = F.col("cidade_cesta")
+    named = city_dimension(spark).select(
+        "cidade_cesta",
+        city_key(raw_name).alias("named_city"),
+        F.col("uf").alias("named_uf"),
+        F.col("city_code").alias("named_code"),
+        F.col("estado").alias("named_state"),
     )
-    keyed = prices.withColumnsRenamed({"cidade": "cidade_cesta", "valor": "valor_cesta"})
-    keyed = keyed.withColumn("city", city_key(F.col("cidade_cesta")))
-    joined = join_dimension(keyed, towns, [LOAD_DATE, "city"], "left").join(
+    known = prices.withColumnsRenamed({"cidade": "cidade_cesta", "valor": "valor_cesta"}).join(
         F.broadcast(named), "cidade_cesta", "left"
     )
+    keyed = known.withColumn("city", F.coalesce("named_city", city_key(raw_name)))
+    joined = join_dimension(keyed, towns, [LOAD_DATE, "city"], "left")
     in_town = F.col("town_uf").isNotNull()
     return SILVER_BASKET.conform(
         joined.withColumns(

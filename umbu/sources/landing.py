@@ -8,8 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbu.operators.joins import join_dimension
-
+BROADCAST_FILES = 100_000
 # Quotes inside a quoted cell are doubled, as spreadsheets export them.
 QUOTING = {"escape": '"'}
 
@@ -41,7 +40,8 @@ def scan_sheet(
     Each file starts with ``preamble`` lines and a header line, which are left
     out by their place in the file; columns are named by position. Files are
     split as usual: only in the piece that starts a file are lines counted, from
-    the first line number of each file (one small row per file).
+    the first line number of each file. That is one small row per file, and is
+    broadcast unless there are very many files.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -54,9 +54,11 @@ def scan_sheet(
         .groupBy("file")
         .agg((F.min("line") + F.lit(preamble + 1)).alias("first_row"))
     )
+    if len(lines.inputFiles()) <= BROADCAST_FILES:
+        tops = F.broadcast(tops)
     fields = ", ".join(f"`{name}` string" for name in names)
     return (
-        join_dimension(lines, tops, "file")
+        lines.join(tops, "file")
         .where((F.col("start") > 0) | (F.col("line") >= F.col("first_row")))
         .where(F.trim("value") != "")
         .select(F.from_csv("value", F.lit(fields), QUOTING).alias("row"))
