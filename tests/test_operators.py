@@ -9,6 +9,7 @@ from umbu.operators.columns import (
     rename,
     with_load_dates,
 )
+from umbu.operators import joins
 from umbu.operators.joins import fits_broadcast, join_dimension
 from umbu.operators.lookups import (
     assigned_state,
@@ -111,26 +112,27 @@ JOIN_CASES = ("inner", "left")
 
 
 @pytest.mark.parametrize("how", JOIN_CASES)
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_join_fans_out_and_keeps_misses(frame, how, bound):
+@pytest.mark.parametrize("fits", [None, False])
+def test_join_fans_out_and_keeps_misses(frame, how, fits):
     facts = frame([("x", 1), ("y", 2), (None, 3)], "k string, a int")
     names = frame([("x", 10), ("x", 11), ("z", 12), (None, 13)], "k string, b int")
-    joined = join_dimension(facts, names, "k", how, rows=bound)
+    joined = join_dimension(facts, names, "k", how, fits)
     expected = [("x", 1, 10), ("x", 1, 11)]
     if how == "left":
         expected += [("y", 2, None), (None, 3, None)]
     assert sorted(map(tuple, joined.collect()), key=str) == sorted(expected, key=str)
 
 
-def test_join_broadcasts_only_within_the_bound(spark):
+def test_join_broadcasts_only_within_the_bound(spark, monkeypatch):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         facts = spark.range(1000).withColumn("k", F.col("id") % 10)
         names = spark.range(10).withColumnRenamed("id", "k")
         assert "BroadcastHashJoin" in plan(join_dimension(facts, names, "k"))
-        assert "BroadcastHashJoin" not in plan(join_dimension(facts, names, "k", rows=5))
-        bounded = join_dimension(facts, names, "k", rows=5, bounded_by=names.limit(3))
-        assert "BroadcastHashJoin" in plan(bounded)
+        assert "BroadcastHashJoin" not in plan(join_dimension(facts, names, "k", fits=False))
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", 5)
+        assert "BroadcastHashJoin" not in plan(join_dimension(facts, names, "k"))
+        assert "BroadcastHashJoin" in plan(join_dimension(facts, names.limit(3), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     with pytest.raises(ValueError):
@@ -155,7 +157,7 @@ def test_hot_key_is_split(spark, how):
         key = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 500)
         facts = spark.range(0, 200000, 1, 8).withColumn("k", key)
         names = spark.range(500).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
-        joined = join_dimension(facts, names, "k", how, rows=5)
+        joined = join_dimension(facts, names, "k", how, fits=False)
         assert len(joined.collect()) == 200000
         assert "skew=true" in plan(joined)
         assert joined.where("v <> k * 3 OR v IS NULL").isEmpty()

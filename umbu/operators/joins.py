@@ -11,10 +11,10 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits_broadcast(
-    df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
-) -> bool:
+def fits_broadcast(df: DataFrame, rows: int | None = None, size: int | None = None) -> bool:
     """Measure a frame: row count and bytes of its cells, summed on the cluster."""
+    rows = BROADCAST_ROWS if rows is None else rows
+    size = BROADCAST_BYTES if size is None else size
     cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
     width = sum(cells, F.lit(0)).cast("bigint")
     found = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("size")).first()
@@ -26,19 +26,18 @@ def join_dimension(
     dimension: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    bounded_by: DataFrame | None = None,
-    rows: int = BROADCAST_ROWS,
-    size: int = BROADCAST_BYTES,
+    fits: bool | None = None,
 ) -> DataFrame:
     """Equi-join that broadcasts the dimension only if it was measured small.
 
-    ``bounded_by`` may name a cheaper frame with at least as many rows and bytes
-    to measure instead. Past the bound the join is left to Spark: a shuffle on
-    the keys, where adaptive execution splits a key that holds most of the rows.
-    Every match is kept, so equal names in the dimension multiply rows.
+    ``fits`` gives the outcome of ``fits_broadcast`` where the caller has it,
+    for this frame or one that bounds it. Past the bound the join is left to
+    Spark: a shuffle on the keys, where adaptive execution splits a key that
+    holds most of the rows. Every match is kept, so equal names in the dimension
+    multiply rows.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    if fits_broadcast(dimension if bounded_by is None else bounded_by, rows, size):
+    if fits_broadcast(dimension) if fits is None else fits:
         dimension = F.broadcast(dimension)
     return facts.join(dimension, [on] if isinstance(on, str) else list(on), how)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from umbu import schemas as S
 from umbu.fixed_values import MUNICIPALITY_HEADERS
+from umbu.operators.joins import fits_broadcast
 from umbu.plans import bronze, gold, silver
 from umbu.sources import catalog, landing
 from umbu.sources.loads import LoadReport, read_loads, write_loads
@@ -44,14 +45,19 @@ class Lake:
         return self.spark.table(catalog.table_name(table, self.prefix))
 
     def save(
-        self, df: DataFrame, table: S.Table, dates: Dates, keep_empty: bool = False
+        self,
+        df: DataFrame,
+        table: S.Table,
+        dates: Dates,
+        keep_empty: bool = False,
+        clustered: bool = False,
     ) -> LoadReport:
         """Write the loads, then add them to the catalog.
 
         One load is named to it; after many the folder is searched, because some
         of them may have turned out empty. With nothing written nothing is added.
         """
-        report = write_loads(df, self.root, table, dates, keep_empty)
+        report = write_loads(df, self.root, table, dates, keep_empty, clustered)
         if self.registered and (report.rows or keep_empty):
             if isinstance(dates, str):
                 catalog.register_loads(self.spark, self.root, table, [dates], self.prefix)
@@ -80,23 +86,24 @@ class Lake:
             self.save(bronze.bronze_population_mun(by_mun, dates), S.BRONZE_POP_MUN, dates, True),
         )
 
-    # Silver and gold ------------------------------------------------------
+    # Silver and gold: rows stay with the files of their load as long as every
+    # join broadcasts, so these loads are written where they were read ---------
     def silver_rent(self, dates: Dates) -> LoadReport:
         out = silver.silver_rent(
             self.read(S.BRONZE_RENT, dates), self.read(S.BRONZE_POP_MUN, dates)
         )
-        return self.save(out, S.SILVER_RENT, dates)
+        return self.save(out, S.SILVER_RENT, dates, clustered=True)
 
     def silver_basket(self, dates: Dates) -> LoadReport:
-        out = silver.silver_basket(
-            self.read(S.BRONZE_BASKET, dates), self.read(S.BRONZE_POP_MUN, dates)
-        )
-        return self.save(out, S.SILVER_BASKET, dates, keep_empty=True)
+        population = self.read(S.BRONZE_POP_MUN, dates)
+        towns_fit = fits_broadcast(population)
+        out = silver.silver_basket(self.read(S.BRONZE_BASKET, dates), population, towns_fit)
+        return self.save(out, S.SILVER_BASKET, dates, keep_empty=True, clustered=towns_fit)
 
     def gold_rent(self, dates: Dates) -> LoadReport:
-        return self.save(gold.gold_rent(self.read(S.SILVER_RENT, dates)), S.GOLD_RENT, dates)
+        out = gold.gold_rent(self.read(S.SILVER_RENT, dates))
+        return self.save(out, S.GOLD_RENT, dates, clustered=True)
 
     def gold_basket(self, dates: Dates) -> LoadReport:
-        return self.save(
-            gold.gold_basket(self.read(S.SILVER_BASKET, dates)), S.GOLD_BASKET, dates
-        )
+        out = gold.gold_basket(self.read(S.SILVER_BASKET, dates))
+        return self.save(out, S.GOLD_BASKET, dates)

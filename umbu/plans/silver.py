@@ -59,13 +59,16 @@ def silver_rent(
     )
 
 
-def silver_basket(prices: DataFrame, population: DataFrame) -> DataFrame:
+def silver_basket(
+    prices: DataFrame, population: DataFrame, towns_fit: bool | None = None
+) -> DataFrame:
     """Prices with UF, state and population of their city; every price is kept.
 
     Where no municipality gives a UF, the city's raw name does. State code and
     name are looked up on the two small sides, so a price row takes two
     broadcast lookups instead of four. The one by raw name comes first and also
     brings the folded name along: text is folded only for names not listed.
+    ``towns_fit`` tells whether the population was measured fit to broadcast.
     """
     spark = prices.sparkSession
     towns = with_uf_code(
@@ -90,7 +93,7 @@ def silver_basket(prices: DataFrame, population: DataFrame) -> DataFrame:
         F.broadcast(named), "cidade_cesta", "left"
     )
     keyed = known.withColumn("city", F.coalesce("named_city", city_key(raw_name)))
-    joined = join_dimension(keyed, towns, [LOAD_DATE, "city"], "left")
+    joined = join_dimension(keyed, towns, [LOAD_DATE, "city"], "left", towns_fit)
     in_town = F.col("town_uf").isNotNull()
     return SILVER_BASKET.conform(
         joined.withColumns(

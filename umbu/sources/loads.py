@@ -68,18 +68,21 @@ def write_loads(
     table: Table,
     dates: str | Sequence[str],
     keep_empty: bool = False,
+    clustered: bool = False,
 ) -> LoadReport:
     """Replace the loads that occur in the frame; other loads stay as they are.
 
     Rows are counted by the write itself, so nothing is computed twice to find
     out whether the result is empty. An empty result replaces nothing, unless
-    ``keep_empty``: then it becomes an empty load. Rows of several loads are
-    first brought together by load, in even parts, to spare small files; one
-    load is written as it is.
+    ``keep_empty``: then it becomes an empty load.
+
+    Rows of several loads are first brought together by load, in even parts, to
+    spare small files. One load needs no such shuffle, nor do rows that are
+    ``clustered``: read from the files of their loads and not shuffled since.
     """
     dates = [load_date(d) for d in ([dates] if isinstance(dates, str) else dates)]
     out = table.conform(df)
-    if len(dates) > 1:
+    if len(dates) > 1 and not clustered:
         out = out.hint("rebalance", LOAD_DATE)
     seen = Observation()
     (
