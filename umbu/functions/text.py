@@ -22,7 +22,7 @@ def _foldings() -> tuple[str, str, dict[str, str]]:
     single, image, several = [], [], {}
     for code in chain(range(0x80, 0xD800), range(0xE000, 0x110000)):
         char = chr(code)
-        ascii_part = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode()
+        ascii_part = "".join(filter(str.isascii, unicodedata.normalize("NFKD", char)))
         if len(ascii_part) == 1:
             single.append(char)
             image.append(ascii_part)

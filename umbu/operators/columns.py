@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -13,8 +14,7 @@ from umbu.schemas import LOAD_DATE
 
 def clean_name(name: str, hyphen: bool = True) -> str:
     """Header to column name; ``hyphen=False`` leaves hyphens as they are."""
-    name = name.strip().lower().replace(" ", "_")
-    return name.replace("-", "_") if hyphen else name
+    return re.sub("[ -]" if hyphen else " ", "_", name.strip().lower())
 
 
 def clean_names(df: DataFrame, hyphen: bool = True) -> DataFrame:
