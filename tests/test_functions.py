@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from umbu.functions.casts import digits_to_long, lenient_double, lenient_long, strict_int
-from umbu.functions.dates import iso_date, load_date
+from umbu.functions.dates import iso_date, load_calendar, load_date
 from umbu.functions.numeric import (
     ratio_guarded,
     ratio_ieee,
@@ -107,6 +107,15 @@ def test_load_date():
         load_date("2025-05-01' OR 1=1")
 
 
+def test_load_calendar():
+    assert load_calendar("2024-12-15", "2025-02-01") == ["2025-01-01", "2025-02-01"]
+    assert load_calendar("2024-02-28", "2024-03-01", "day") == [
+        "2024-02-28", "2024-02-29", "2024-03-01",
+    ]
+    with pytest.raises(ValueError):
+        load_calendar("2024-01-01", "2024-02-01", "week")
+
+
 def test_round_is_numpy_round(frame):
     cases = [0.125, 0.375, 1.005, 1.255, 0.285, None]
     found = column(frame, cases, "double", lambda c: round_half_even(c, 2))

@@ -28,6 +28,7 @@ def test_write_replaces_only_its_loads(spark, frame, tmp_path):
     root = str(tmp_path)
     report = write_loads(prices(frame, D1, D2), root, BRONZE_BASKET, [D1, D2])
     assert (report.table, report.rows) == ("bronze.cesta_basica", 6)
+    assert report.loads == (D1, D2)
     assert report.columns == tuple(
         (c, "string" if c != "valor" else "double")
         for c in ("data_mes", "cidade", "valor", LOAD_DATE)
@@ -79,6 +80,22 @@ def test_empty_result(spark, frame, tmp_path):
     assert read_loads(spark, root, BRONZE_BASKET, D1).isEmpty()
 
 
+@pytest.mark.parametrize("clustered", [False, True])
+def test_some_of_the_loads_are_empty(spark, frame, tmp_path, clustered):
+    root = str(tmp_path)
+    write_loads(prices(frame, D1, D2, D3), root, BRONZE_BASKET, [D1, D2, D3])
+    some = prices(frame, D3, valor=2.0)
+    report = write_loads(some, root, BRONZE_BASKET, [D3, D2], clustered=clustered)
+    assert (report.rows, report.loads) == (3, (D3,))
+    expected = {D1: (3, 3.0), D2: (3, 3.0), D3: (3, 6.0)}
+    assert by_load(read_table(spark, root, BRONZE_BASKET)) == expected
+    report = write_loads(some, root, BRONZE_BASKET, [D3, D2], True, clustered)
+    assert (report.rows, report.loads) == (3, (D2, D3))
+    del expected[D2]
+    assert by_load(read_table(spark, root, BRONZE_BASKET)) == expected
+    assert read_loads(spark, root, BRONZE_BASKET, [D2, D3]).count() == 3
+
+
 def test_files_with_wider_types_can_be_read(spark, tmp_path):
     """Loads written elsewhere: 64-bit integers, the load date in the file too."""
     folder = tmp_path / BRONZE_POP_MUN.folder / f"{LOAD_DATE}={D1}"

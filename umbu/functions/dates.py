@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,3 +20,13 @@ def iso_date(value: Column, pattern: str | None = None) -> Column:
 def load_date(value: str | date) -> str:
     """A load date as ISO text; raises ``ValueError`` if it is no date."""
     return (value if isinstance(value, date) else date.fromisoformat(value)).strftime("%Y-%m-%d")
+
+
+def load_calendar(first: str, last: str, every: str = "month") -> list[str]:
+    """Load dates from the first to the last, for a backfill: each day, or each
+    first of a month."""
+    start, end = date.fromisoformat(first), date.fromisoformat(last)
+    days = (start + timedelta(n) for n in range((end - start).days + 1))
+    if every not in ("day", "month"):
+        raise ValueError(f"every must be day or month, not {every}")
+    return [load_date(day) for day in days if every == "day" or day.day == 1]

@@ -52,27 +52,28 @@ class Lake:
         keep_empty: bool = False,
         clustered: bool = False,
     ) -> LoadReport:
-        """Write the loads, then add them to the catalog.
-
-        One load is named to it; after many the folder is searched, because some
-        of them may have turned out empty. With nothing written nothing is added.
-        """
+        """Write the loads, then add those that were written to the catalog."""
         report = write_loads(df, self.root, table, dates, keep_empty, clustered)
-        if self.registered and (report.rows or keep_empty):
-            if isinstance(dates, str):
-                catalog.register_loads(self.spark, self.root, table, [dates], self.prefix)
-            else:
-                catalog.repair_table(self.spark, table, self.prefix)
+        if self.registered and report.loads:
+            catalog.register_loads(self.spark, self.root, table, report.loads, self.prefix)
         return report
 
-    # Bronze: raw files that have landed in a folder -----------------------
-    def bronze_rent(self, folder: str, dates: Dates) -> LoadReport:
-        raw = landing.scan_csv(self.spark, folder)
-        return self.save(bronze.bronze_rent(raw, dates), S.BRONZE_RENT, dates, True)
+    def repair(self) -> None:
+        """Let the catalog find every load in the folders of all tables."""
+        for table in S.TABLES:
+            catalog.repair_table(self.spark, table, self.prefix)
+
+    # Bronze: a folder where CSV files have landed, or a frame of other origin
+    def landed(self, raw: str | DataFrame) -> DataFrame:
+        return landing.scan_csv(self.spark, raw) if isinstance(raw, str) else raw
+
+    def bronze_rent(self, raw: str | DataFrame, dates: Dates) -> LoadReport:
+        out = bronze.bronze_rent(self.landed(raw), dates)
+        return self.save(out, S.BRONZE_RENT, dates, keep_empty=True)
 
-    def bronze_basket(self, folder: str, dates: Dates) -> LoadReport:
-        wide = landing.scan_csv(self.spark, folder)
-        return self.save(bronze.bronze_basket(wide, dates), S.BRONZE_BASKET, dates, True)
+    def bronze_basket(self, raw: str | DataFrame, dates: Dates) -> LoadReport:
+        out = bronze.bronze_basket(self.landed(raw), dates)
+        return self.save(out, S.BRONZE_BASKET, dates, keep_empty=True)
 
     def bronze_population(
         self, uf_sheet: str, municipality_sheet: str, dates: Dates

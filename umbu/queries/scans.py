@@ -88,13 +88,19 @@ def write_overwrite_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def report_frame(spark: SparkSession, reports: list[LoadReport]) -> DataFrame:
     """Load reports as a frame, one row per write."""
-    rows = [(r.table, r.rows, ", ".join(f"{c} {t}" for c, t in r.columns)) for r in reports]
-    return spark.createDataFrame(rows, "table_name string, row_count bigint, column_types string")
+    rows = [
+        (r.table, r.rows, len(r.loads), ", ".join(f"{c} {t}" for c, t in r.columns))
+        for r in reports
+    ]
+    return spark.createDataFrame(
+        rows, "table_name string, row_count bigint, load_count bigint, column_types string"
+    )
 
 
 @query(f"""
 WITH {PRICES_SQL}
 SELECT 'bronze.cesta_basica' AS table_name, count(*) AS row_count,
+       count(DISTINCT data_carga) AS load_count,
        'data_mes string, cidade string, valor double, data_carga string' AS column_types
 FROM prices""")
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -15,16 +16,32 @@ from umbu.schemas import LOAD_DATE, Table
 
 @dataclass(frozen=True)
 class LoadReport:
-    """What a write did: rows, column types and the place they went to."""
+    """What a write did: rows, loads replaced, column types and their place."""
 
     table: str
     path: str
     rows: int
+    loads: tuple[str, ...]
     columns: tuple[tuple[str, str], ...]
 
 
-def load_path(root: str, table: Table, date: str) -> str:
-    return f"{table.location(root)}/{LOAD_DATE}={load_date(date)}"
+# A bitmap aggregate has this many places: days counted from the first load.
+_BITMAP_DAYS = 32_768
+
+
+def _days_seen(first: str) -> Column:
+    """Bitmap of the load dates that occur, one place per day."""
+    day = F.datediff(F.col(LOAD_DATE).cast("date"), F.lit(first).cast("date"))
+    return F.bitmap_construct_agg(F.when(day.between(0, _BITMAP_DAYS - 1), day))
+
+
+def _in_bitmap(bits: bytes, first: str, day: str) -> bool:
+    place = (date.fromisoformat(day) - date.fromisoformat(first)).days
+    return bool(bits[place // 8] >> place % 8 & 1)
+
+
+def load_path(root: str, table: Table, day: str) -> str:
+    return f"{table.location(root)}/{LOAD_DATE}={load_date(day)}"
 
 
 def path_load_date(path: Column) -> Column:
@@ -47,7 +64,7 @@ def read_loads(
         "pathGlobFilter", "*.parquet"
     )
     try:
-        df = reader.parquet(*[load_path(root, table, date) for date in dates])
+        df = reader.parquet(*[load_path(root, table, day) for day in dates])
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(
@@ -72,31 +89,37 @@ def write_loads(
 ) -> LoadReport:
     """Replace the loads that occur in the frame; other loads stay as they are.
 
-    Rows are counted by the write itself, so nothing is computed twice to find
-    out whether the result is empty. An empty result replaces nothing, unless
-    ``keep_empty``: then it becomes an empty load.
+    The write itself counts rows and notes their load dates, so nothing is
+    computed twice to find out whether a load is empty. A load without rows
+    replaces nothing, unless ``keep_empty``: then it becomes an empty load.
 
     Rows of several loads are first brought together by load, in even parts, to
     spare small files. One load needs no such shuffle, nor do rows that are
     ``clustered``: read from the files of their loads and not shuffled since.
     """
-    dates = [load_date(d) for d in ([dates] if isinstance(dates, str) else dates)]
+    dates = sorted({load_date(d) for d in ([dates] if isinstance(dates, str) else dates)})
     out = table.conform(df)
     if len(dates) > 1 and not clustered:
         out = out.hint("rebalance", LOAD_DATE)
     seen = Observation()
     (
-        out.observe(seen, F.count(F.lit(1)).alias("rows"))
+        out.observe(seen, F.count(F.lit(1)).alias("rows"), _days_seen(dates[0]).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE)
         .parquet(table.location(root))
     )
-    rows = seen.get["rows"]
-    if rows == 0 and keep_empty:
-        empty = table.conform(df.limit(0)).drop(LOAD_DATE)
-        for date in dates:
-            empty.write.mode("overwrite").parquet(load_path(root, table, date))
+    found = seen.get
+    loads = [d for d in dates if found["rows"] and _in_bitmap(found["days"], dates[0], d)]
+    if keep_empty:
+        nothing = table.conform(df.limit(0)).drop(LOAD_DATE)
+        for day in sorted({*dates} - {*loads}):
+            nothing.write.mode("overwrite").parquet(load_path(root, table, day))
+        loads = dates
     return LoadReport(
-        f"{table.layer}.{table.name}", table.location(root), rows, tuple(out.dtypes)
+        f"{table.layer}.{table.name}",
+        table.location(root),
+        found["rows"],
+        tuple(loads),
+        tuple(out.dtypes),
     )
