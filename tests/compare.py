@@ -38,7 +38,8 @@ def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     names = sorted(df.columns)
     if names != sorted(found.columns):
         return [f"columns {names} against {sorted(found.columns)}"]
-    types = {n: KINDS.get(str(t).lower(), str(t).lower()) for n, t in zip(found.columns, found.types)}
+    kinds = [str(kind).lower() for kind in found.types]
+    types = {n: KINDS.get(kind, kind) for n, kind in zip(found.columns, kinds)}
     ours = {n: KINDS.get(t, t) for n, t in df.dtypes}
     problems = [f"{n} is {ours[n]} against {types[n]}" for n in names if ours[n] != types[n]]
     mine = Counter(tuple(_cell(row[n]) for n in names) for row in df.collect())

@@ -22,7 +22,8 @@ from umbu.functions.text import city_key, fold
 
 def column(frame, values, kind, rule):
     """A rule applied to values, in their order."""
-    rows = frame(list(enumerate(values)), f"i int, x {kind}").select("i", rule(F.col("x")).alias("y"))
+    numbered = frame(list(enumerate(values)), f"i int, x {kind}")
+    rows = numbered.select("i", rule(F.col("x")).alias("y"))
     return [row["y"] for row in sorted(rows.collect())]
 
 
@@ -138,7 +139,8 @@ def test_ratio_ieee(frame):
 
 
 def test_ratio_guarded(frame):
-    df = frame([(0, 10, 0), (1, 10, None), (2, 10, -2), (3, 10, 4), (4, None, 4)], "i int, a int, b int")
+    rows = [(0, 10, 0), (1, 10, None), (2, 10, -2), (3, 10, 4), (4, None, 4)]
+    df = frame(rows, "i int, a int, b int")
     found = df.orderBy("i").select(ratio_guarded(F.col("a"), F.col("b")).alias("r")).collect()
     assert [row["r"] for row in found] == [None, None, None, 2.5, None]
 

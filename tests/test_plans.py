@@ -139,7 +139,11 @@ def test_gold_basket(basket, towns):
 
 def test_gold_basket_reads_text_columns(frame):
     ddl = ", ".join(f"{n} string" for n in SILVER_BASKET.struct.names)
-    df = frame([("330", "rio", "RJ", "x", "1", "5.0", "Rio", D1), ("?", "a", "b", "1", "1", "1", "c", D1)], ddl)
+    data = [
+        ("330", "rio", "RJ", "x", "1", "5.0", "Rio", D1),
+        ("?", "a", "b", "1", "1", "1", "c", D1),
+    ]
+    df = frame(data, ddl)
     assert rows(gold.gold_basket(df)) == [(330, "rio", "Rio", None, 5, None, D1)]
 
 
@@ -183,7 +187,11 @@ def test_gold_rent(frame):
     )
     assert df.dtypes == types(GOLD_RENT)
     assert rows(df) == sorted(
-        [("rio", 2.5, 55.0, 6.25, D1), ("rio", None, 55.0, None, D1), ("rio", None, None, None, D1)],
+        [
+            ("rio", 2.5, 55.0, 6.25, D1),
+            ("rio", None, 55.0, None, D1),
+            ("rio", None, None, None, D1),
+        ],
         key=str,
     )
 
@@ -227,7 +235,11 @@ def test_bronze_runs(spark, tmp_path):
     reports = lake.bronze_population(str(tmp_path / "uf.csv"), str(tmp_path / "mun.csv"), D1)
     assert [r.rows for r in reports] == [1, 1]
     assert rows(lake.table(BRONZE_BASKET)) == sorted(
-        [("2024-01-01", c, v, d) for d in (D1, D2) for c, v in (("são_paulo", 1.5), ("natal", None))],
+        [
+            ("2024-01-01", city, valor, day)
+            for day in (D1, D2)
+            for city, valor in (("são_paulo", 1.5), ("natal", None))
+        ],
         key=str,
     )
     assert rows(lake.table(BRONZE_POP_MUN)) == [("AC", 12, 13, "Acrelândia", 142, D1)]
@@ -236,7 +248,8 @@ def test_bronze_runs(spark, tmp_path):
 def test_empty_silver_rent_is_not_written(spark, frame, towns, tmp_path):
     lake = Lake(spark, str(tmp_path), registered=False)
     write_loads(make(frame, BRONZE_RENT, listing(1)), lake.root, BRONZE_RENT, D1)
-    write_loads(make(frame, BRONZE_POP_MUN, ("XX", 1, 1, "Nowhere", 1, D1)), lake.root, BRONZE_POP_MUN, D1)
+    nowhere = make(frame, BRONZE_POP_MUN, ("XX", 1, 1, "Nowhere", 1, D1))
+    write_loads(nowhere, lake.root, BRONZE_POP_MUN, D1)
     assert lake.silver_rent(D1).rows == 0
     with pytest.raises(FileNotFoundError):
         lake.gold_rent(D1)

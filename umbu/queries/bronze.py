@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbu.functions.dates import iso_date
 from umbu.functions.numeric import round_half_even, stable_mean
 from umbu.plans import bronze
 from umbu.queries.registry import query
-from umbu.queries.views import LISTINGS_SQL, NATION_CITY_SQL, customer_city, listings, mean_sql
-from umbu.queries.views import table
+from umbu.queries.views import (
+    LISTINGS_SQL,
+    NATION_CITY_SQL,
+    customer_city,
+    listings,
+    mean_sql,
+    table,
+)
 from umbu.schemas import BRONZE_RENT
 
 LOAD = "2025-05-01"
@@ -70,7 +75,7 @@ def bronze_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.bronze_basket(raw_prices(spark, sf_dir), LOAD)
 
 
-def marked(number) -> F.Column:
+def marked(number: Column) -> Column:
     """A count as a sheet shows it: with a separator, or a dash for none."""
     text = F.format_string("%d.%03d", F.floor(number / 1000), number % 1000)
     return F.when(number > 0, text).otherwise(F.lit("-"))

@@ -44,7 +44,8 @@ def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = spark.table(catalog.table_name(item, lake.prefix)).schema
         if found.fieldNames() != item.struct.fieldNames():
             raise AssertionError(f"{item.name}: {found.simpleString()}")
-    lake.save(prices(spark, sf_dir), BRONZE_BASKET, load_dates(spark, sf_dir, "orders", "o_orderdate"))
+    dates = load_dates(spark, sf_dir, "orders", "o_orderdate")
+    lake.save(prices(spark, sf_dir), BRONZE_BASKET, dates)
     return lake.table(BRONZE_BASKET)
 
 
