@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from umbu.llm import decontamination
+from umbu.llm import decontamination, language_id, line_dedup, near_duplicates
 from umbu.queries.registry import Query
 
 QUERIES: dict[str, Query] = {
+    "op1_language_id": Query(language_id.op1_language_id, None),
+    "language_id_pages": Query(language_id.language_id_pages, None),
+    "op3_simhash_near_dedup": Query(near_duplicates.op3_simhash_near_dedup, None),
+    "op7_line_dedup": Query(line_dedup.op7_line_dedup, None),
     "op10_benchmark_decontamination": Query(
         decontamination.op10_benchmark_decontamination, decontamination.SQL
     ),

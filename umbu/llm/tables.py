@@ -11,7 +11,7 @@ from umbu.sources.shared import scratch_folder
 
 # A side is broadcast up to so many rows, counted beforehand; beyond them the
 # join is a shuffle. Such sides are a few numbers wide.
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
 
 def text_hash(text: str | Column = "text") -> Column:
     """With the id, this tells rows apart whose ids are missing or repeated."""
-    return F.xxhash64(text)
+    return F.xxhash64(text).alias("text_hash")
 
 
 def if_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -51,7 +51,7 @@ def only(docs: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
     whatever they are called.
     """
     chosen = if_small(chosen.select("doc_id", F.col("text_hash").alias("_chosen")))
-    match = docs["doc_id"].eqNullSafe(chosen["doc_id"]) & text_hash(docs["text"]).eqNullSafe(
+    match = docs["doc_id"].eqNullSafe(chosen["doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(
         chosen["_chosen"]
     )
     return docs.join(chosen, match, how)
