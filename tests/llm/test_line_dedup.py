@@ -3,6 +3,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from tests.llm.samples import documents, empty, frame_of
+from umbu.llm import line_dedup
 from umbu.llm.line_dedup import dedup_lines, op7_line_dedup
 
 
@@ -46,7 +47,9 @@ def test_equals_brute_force(spark):
         assert found(dedup_lines(frame_of(spark, rows))) == brute_force(rows)
 
 
-def test_many_variants_of_a_line(spark):
+def test_many_variants_of_a_line(spark, monkeypatch):
+    """A dense group, with its lists in cells."""
+    monkeypatch.setattr(line_dedup, "CELL_LINES", 40)
     base = [f"w{i}" for i in range(40)]
     rows = []
     for i in range(200):

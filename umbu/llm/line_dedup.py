@@ -13,10 +13,11 @@ the length filter, the positional filter and a bitmap filter (each word flips on
 of 64 bits; the bits that differ are no more than the words that differ). What is
 left is verified on the words themselves. Equal sets are one row in all of this.
 
-Most lines that have an earlier match have the earliest line of one of their
-prefix words as one. These are found first, in one comparison per prefix word,
-and need no further search, so that many variants of a line are not all compared
-with each other.
+A line only needs one earlier match. So the list of a prefix word yields, for each
+of its lines, the earliest line that passes the filters, never all of them: many
+variants of a line are not paired with each other. Lines none of whose pairs hold
+when verified are compared with all others that pass. A list that may be very long
+is cut into cells, by hashes of both lines, that are compared apart.
 """
 
 from __future__ import annotations
@@ -35,10 +36,12 @@ from umbu.llm.words import NOT_SPACE, mix, pieces, word_hashes, word_places
 THRESHOLD = Fraction(4, 5)
 # Buckets of the word counts: 2 to this power, so 2 MB, whatever the corpus.
 COUNT_BITS = 18
+# A list that may have more lines than this is compared in cells.
+CELL_LINES = 1 << 17
 
 _ID = ["sid", "bits", "size"]
 _LINES = (
-    "doc_id bigint, text_hash bigint, line int, sid bigint, bits bigint, size int, skip int, tokens array<int>"
+    "doc_id bigint, text_hash bigint, line int, sid bigint, bits bigint, size int, skip int, tokens array<int>, cells array<int>"
 )
 _NO_ID = (1 << 63) - 1
 
@@ -103,8 +106,10 @@ def _line_sets(counts, threshold: Fraction):
                 place = np.arange(len(h)) - np.repeat(heads, size)
                 prefix = size - (num * size + den - 1) // den + 1
                 used = (place < np.repeat(prefix, size)) & ~alone
+                cells = 1 + often[bucket[order]][used] // CELL_LINES
                 tokens = (h[used] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
                 n_tokens = np.add.reduceat(used.astype(np.int64), heads)
+                bounds = pa.array(np.append(0, np.cumsum(n_tokens)).astype(np.int32))
                 first = order[heads]
                 number = line[first] - np.searchsorted(breaks, piece.bounds[doc[first]])
                 rows = pa.array(piece.first + doc[first])
@@ -117,12 +122,10 @@ def _line_sets(counts, threshold: Fraction):
                         pa.array(bits.view(np.int64)),
                         pa.array(size.astype(np.int32)),
                         pa.array((prefix - n_tokens).astype(np.int32)),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.append(0, np.cumsum(n_tokens)).astype(np.int32)),
-                            pa.array(tokens),
-                        ),
+                        pa.ListArray.from_arrays(bounds, pa.array(tokens)),
+                        pa.ListArray.from_arrays(bounds, pa.array(cells.astype(np.int32))),
                     ],
-                    names=["doc_id", "text_hash", "line", *_ID, "skip", "tokens"],
+                    names=["doc_id", "text_hash", "line", *_ID, "skip", "tokens", "cells"],
                 )
 
     return run
@@ -154,6 +157,82 @@ def _alike(threshold: Fraction) -> Column:
     )
 
 
+_POSTING = ["token", "cell", *_ID, "doc", "line", "pos", "role"]
+_BOTH, _ONLY_A, _ONLY_B = 0, 1, 2
+
+
+def _celled(postings: DataFrame) -> DataFrame:
+    """Postings of long lists once for each cell, as an earlier or a later line.
+
+    Cell (i, j) compares later lines of salt i with earlier ones of salt j.
+    """
+    n = F.col("cells")
+    salt = F.pmod("sid", n).cast("int")
+    other = F.sequence(F.lit(0), n - 1)
+    as_b = F.transform(other, lambda j: F.struct(
+        (salt * n + j).alias("cell"), F.when(j == salt, _BOTH).otherwise(_ONLY_B).alias("role")))
+    as_a = F.transform(F.filter(other, lambda i: i != salt), lambda i: F.struct(
+        (i * n + salt).alias("cell"), F.lit(_ONLY_A).alias("role")))
+    alone = F.array(F.struct(F.lit(0).alias("cell"), F.lit(_BOTH).alias("role")))
+    parts = F.when(n == 1, alone).otherwise(F.concat(as_b, as_a))
+    return postings.select("*", F.inline(parts)).select(*_POSTING)
+
+
+def _earliest(threshold: Fraction):
+    """For rows in order of token, cell and place: the earliest candidate of each."""
+    num, den = threshold.numerator, threshold.denominator
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        column = {n: rows.column(n).to_numpy() for n in _POSTING}
+        size, pos, role = (column[n].astype(np.int64) for n in ("size", "pos", "role"))
+        bits = column["bits"].view(np.uint64)
+        fresh = np.append(True, (np.diff(column["token"]) != 0) | (np.diff(column["cell"]) != 0))
+        head = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
+        place = np.arange(len(fresh)) - head
+        best = np.full(len(fresh), -1)
+        later = np.flatnonzero((place > 0) & (role != _ONLY_A))
+        k = 1
+        while len(later):
+            a, b = later - k, later
+            both = size[a] + size[b]
+            shared = (num * both + num + den - 1) // (num + den)
+            good = (
+                (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= shared)
+                & (size[a] * den >= size[b] * num) & (size[b] * den >= size[a] * num)
+                & (role[a] != _ONLY_B)
+            )
+            a, b, most = a[good], b[good], (both - 2 * shared)[good]
+            close = np.bitwise_count(bits[a] ^ bits[b]) <= most
+            best[b[close]] = a[close]
+            k += 1
+            later = later[place[later] >= k]
+        b = np.flatnonzero(best >= 0)
+        pairs = {}
+        for side, at in (("a", best[b]), ("b", b)):
+            pairs |= {f"{side}_{n}": pa.array(column[n][at]) for n in _ID}
+        return pa.RecordBatch.from_pydict(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < 1 << 16:
+                continue
+            whole = pa.Table.from_batches(held).combine_chunks()
+            token, cell = whole.column("token").to_numpy(), whole.column("cell").to_numpy()
+            changes = np.flatnonzero((np.diff(token) != 0) | (np.diff(cell) != 0))
+            cut = int(changes[-1]) + 1 if len(changes) else 0
+            if cut:
+                yield compare(whole.slice(0, cut))
+            held = whole.slice(cut).to_batches()
+            rows = whole.num_rows - cut if cut else 0
+        if held and sum(b.num_rows for b in held):
+            yield compare(pa.Table.from_batches(held))
+
+    return run
+
+
 def _pairs(found: DataFrame) -> DataFrame:
     """Ids of candidate pairs, each once."""
     names = [F.col(f"{side}.{name}").alias(f"{side}_{name}") for side in "ab" for name in _ID]
@@ -205,27 +284,30 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     place = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "line", "text_hash")
     sets = keep(
         lines.groupBy(*_ID).agg(
-            F.min(place).alias("first"), F.first(F.struct("skip", "tokens")).alias("prefix")
+            F.min(place).alias("first"), F.first(F.struct("skip", "tokens", "cells")).alias("prefix")
         ),
         "line-sets",
     )
-    postings = sets.select(
-        *_ID, "first.doc", "first.line", "prefix.skip", F.posexplode("prefix.tokens").alias("n", "token")
-    ).select("token", *_ID, "doc", "line", (F.col("skip") + F.col("n")).alias("pos"))
-
-    head = F.min(F.struct("doc", "line", "sid", "bits", "size", "pos")).alias("head")
-    heads = postings.groupBy("token").agg(head, F.count(F.lit(1)).alias("n")).where("n > 1")
-    heads = heads.select("token", "head.*").alias("a")
-    near = heads.join(postings.alias("b"), F.col("a.token") == F.col("b.token")).where(
-        _alike(threshold)
-    )
-    later = keep(_verified(docs, sets, keep(_pairs(near), "head-pairs"), threshold), "later-lines")
-    open_ = sets.join(later, _ID, "left_anti").select(*_ID)
-    probes = postings.join(open_, _ID, "left_semi").alias("b")
-    rest = postings.alias("a").join(probes, F.col("a.token") == F.col("b.token")).where(
-        _alike(threshold)
+    words = F.posexplode(F.arrays_zip("prefix.tokens", "prefix.cells")).alias("n", "word")
+    postings = sets.select(*_ID, "first.doc", "first.line", "prefix.skip", words).select(
+        "word.tokens", "word.cells", *_ID, "doc", "line", (F.col("skip") + F.col("n")).alias("pos")
+    ).withColumnRenamed("tokens", "token")
+
+    ordered = (
+        _celled(postings).repartition("token", "cell")
+        .sortWithinPartitions("token", "cell", "doc", "line", "sid")
     )
-    more = _verified(docs, sets, keep(_pairs(rest), "line-pairs"), threshold)
+    kinds = dict(postings.dtypes)
+    schema = ", ".join(f"{side}_{n} {kinds[n]}" for side in "ab" for n in _ID)
+    pairs = keep(ordered.mapInArrow(_earliest(threshold), schema).distinct(), "line-pairs")
+    later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
+    doubtful = pairs.select(*[F.col(f"b_{n}").alias(n) for n in _ID]).distinct()
+    doubtful = if_small(keep(doubtful.join(later, _ID, "left_anti"), "doubtful-lines"))
+    probes = keep(postings.join(doubtful, _ID, "left_semi"), "probes")
+    rest = postings.alias("a").join(
+        if_small(probes).alias("b"), F.col("a.token") == F.col("b.token")
+    ).where(_alike(threshold))
+    more = _verified(docs, sets, keep(_pairs(rest), "more-pairs"), threshold)
     later = keep(later.union(more), "later-lines")
 
     firsts = sets.select(*_ID, "first").join(
@@ -233,7 +315,7 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     )
     gone = F.coalesce("later", F.lit(False)) | (place != F.col("first"))
     return (
-        lines.drop("skip", "tokens")
+        lines.drop("skip", "tokens", "cells")
         .join(firsts, _ID)
         .groupBy("doc_id", "text_hash")
         .agg(

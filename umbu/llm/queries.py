@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from umbu.llm import decontamination, language_id, line_dedup, near_duplicates
+from umbu.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    near_duplicates,
+    packing,
+    sharding,
+    warc,
+)
 from umbu.queries.registry import Query
 
 QUERIES: dict[str, Query] = {
     "op1_language_id": Query(language_id.op1_language_id, None),
     "language_id_pages": Query(language_id.language_id_pages, None),
+    "op2_best_fit_packing": Query(packing.op2_best_fit_packing, None),
     "op3_simhash_near_dedup": Query(near_duplicates.op3_simhash_near_dedup, None),
+    "op4_kd_sharding": Query(sharding.op4_kd_sharding, None),
+    "op6_warc_zstd": Query(warc.op6_warc_zstd, warc.SQL),
     "op7_line_dedup": Query(line_dedup.op7_line_dedup, None),
     "op10_benchmark_decontamination": Query(
         decontamination.op10_benchmark_decontamination, decontamination.SQL
