@@ -10,8 +10,8 @@ Words are ordered by rarity, from counts in hashed buckets; any order that is th
 same everywhere gives exact results. Two like lines share a word among the first
 few of both (the prefix), so lines are joined on prefix words. A pair must pass
 the length filter, the positional filter and a bitmap filter (each word flips one
-of 64 bits; the bits that differ are no more than the words that differ). What is
-left is verified on the words themselves. Equal sets are one row in all of this.
+of 128 bits; the bits that differ are no more than the words that differ). What is
+left is verified on the lines' words, fetched from the texts, as 64-bit hashes. Equal sets are one row in all of this.
 
 A line only needs one earlier match. So the list of a prefix word yields, for each
 of its lines, the earliest line that passes the filters, never all of them: many
@@ -39,9 +39,10 @@ COUNT_BITS = 18
 # A list that may have more lines than this is compared in cells.
 CELL_LINES = 1 << 17
 
-_ID = ["sid", "bits", "size"]
+_SET = ["sid", "bits", "more_bits", "size"]
 _LINES = (
-    "doc_id bigint, text_hash bigint, line int, sid bigint, bits bigint, size int, skip int, tokens array<int>, cells array<int>"
+    "doc_id bigint, text_hash bigint, line int, sid bigint, bits bigint, more_bits bigint, size int,"
+    " skip int, tokens array<int>, cells array<int>"
 )
 _NO_ID = (1 << 63) - 1
 
@@ -102,7 +103,9 @@ def _line_sets(counts, threshold: Fraction):
                 size = np.diff(np.append(heads, len(h)))
                 sid = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), heads)
                 flip = np.uint64(1) << ((h >> np.uint64(33)) & np.uint64(63))
-                bits = np.bitwise_xor.reduceat(flip, heads)
+                upper = (h >> np.uint64(39)) & np.uint64(1) == 1
+                bits = np.bitwise_xor.reduceat(np.where(upper, 0, flip), heads)
+                more_bits = np.bitwise_xor.reduceat(np.where(upper, flip, 0), heads)
                 place = np.arange(len(h)) - np.repeat(heads, size)
                 prefix = size - (num * size + den - 1) // den + 1
                 used = (place < np.repeat(prefix, size)) & ~alone
@@ -120,12 +123,13 @@ def _line_sets(counts, threshold: Fraction):
                         pa.array(number.astype(np.int32)),
                         pa.array(sid.view(np.int64)),
                         pa.array(bits.view(np.int64)),
+                        pa.array(more_bits.view(np.int64)),
                         pa.array(size.astype(np.int32)),
                         pa.array((prefix - n_tokens).astype(np.int32)),
                         pa.ListArray.from_arrays(bounds, pa.array(tokens)),
                         pa.ListArray.from_arrays(bounds, pa.array(cells.astype(np.int32))),
                     ],
-                    names=["doc_id", "text_hash", "line", *_ID, "skip", "tokens", "cells"],
+                    names=["doc_id", "text_hash", "line", *_SET, "skip", "tokens", "cells"],
                 )
 
     return run
@@ -149,15 +153,19 @@ def _alike(threshold: Fraction) -> Column:
     shared = F.expr(f"({num} * (a.size + b.size) + {num + den - 1}) div {num + den}")
     left = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
     return (
-        (F.struct("a.doc", "a.line", "a.sid") < F.struct("b.doc", "b.line", "b.sid"))
+        (F.struct("a.doc", "a.line", "a.n") < F.struct("b.doc", "b.line", "b.n"))
         & (F.col("a.size") * den >= F.col("b.size") * num)
         & (F.col("b.size") * den >= F.col("a.size") * num)
         & (left >= shared)
-        & (F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits"))) <= both - shared * 2)
+        & (
+            F.bit_count(F.col("a.bits").bitwiseXOR(F.col("b.bits")))
+            + F.bit_count(F.col("a.more_bits").bitwiseXOR(F.col("b.more_bits")))
+            <= both - shared * 2
+        )
     )
 
 
-_POSTING = ["token", "cell", *_ID, "doc", "line", "pos", "role"]
+_POSTING = ["token", "cell", "n", "bits", "more_bits", "size", "doc", "line", "pos", "role"]
 _BOTH, _ONLY_A, _ONLY_B = 0, 1, 2
 
 
@@ -167,7 +175,7 @@ def _celled(postings: DataFrame) -> DataFrame:
     Cell (i, j) compares later lines of salt i with earlier ones of salt j.
     """
     n = F.col("cells")
-    salt = F.pmod("sid", n).cast("int")
+    salt = F.pmod(F.xxhash64("n"), n).cast("int")
     other = F.sequence(F.lit(0), n - 1)
     as_b = F.transform(other, lambda j: F.struct(
         (salt * n + j).alias("cell"), F.when(j == salt, _BOTH).otherwise(_ONLY_B).alias("role")))
@@ -185,7 +193,7 @@ def _earliest(threshold: Fraction):
     def compare(rows: pa.Table) -> pa.RecordBatch:
         column = {n: rows.column(n).to_numpy() for n in _POSTING}
         size, pos, role = (column[n].astype(np.int64) for n in ("size", "pos", "role"))
-        bits = column["bits"].view(np.uint64)
+        bits, more = (column[n].view(np.uint64) for n in ("bits", "more_bits"))
         fresh = np.append(True, (np.diff(column["token"]) != 0) | (np.diff(column["cell"]) != 0))
         head = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
         place = np.arange(len(fresh)) - head
@@ -202,15 +210,19 @@ def _earliest(threshold: Fraction):
                 & (role[a] != _ONLY_B)
             )
             a, b, most = a[good], b[good], (both - 2 * shared)[good]
-            close = np.bitwise_count(bits[a] ^ bits[b]) <= most
+            apart = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) + np.bitwise_count(more[a] ^ more[b])
+            close = apart <= most
             best[b[close]] = a[close]
             k += 1
             later = later[place[later] >= k]
         b = np.flatnonzero(best >= 0)
-        pairs = {}
-        for side, at in (("a", best[b]), ("b", b)):
-            pairs |= {f"{side}_{n}": pa.array(column[n][at]) for n in _ID}
-        return pa.RecordBatch.from_pydict(pairs)
+        a = best[b]
+        return pa.RecordBatch.from_pydict(
+            {
+                "a_doc": pa.array(column["doc"][a]), "a_line": pa.array(column["line"][a]),
+                "a_n": pa.array(column["n"][a]), "b_n": pa.array(column["n"][b]),
+            }
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -233,43 +245,33 @@ def _earliest(threshold: Fraction):
     return run
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    """Ids of candidate pairs, each once."""
-    names = [F.col(f"{side}.{name}").alias(f"{side}_{name}") for side in "ab" for name in _ID]
-    return found.select(*names).distinct()
-
-
 def _words(line: Column) -> Column:
     lower = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return F.array_distinct(F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda x: x != ""))
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, threshold: Fraction) -> DataFrame:
-    """Ids of the later sets of those pairs that are alike, by their words."""
-    sides = [pairs.select(*[F.col(f"{s}_{n}").alias(n) for n in _ID]) for s in "ab"]
-    wanted = sides[0].union(sides[1]).distinct()
+    """Numbers of the later sets of those pairs (a_n, b_n) that are alike."""
+    wanted = pairs.select(F.col("a_n").alias("n")).union(pairs.select("b_n")).distinct()
     lines = (
-        sets.join(wanted, _ID, "left_semi")
+        sets.join(wanted, "n", "left_semi")
         .groupBy(F.nullif("first.doc", F.lit(_NO_ID)).alias("doc_id"), "first.text_hash")
-        .agg(F.collect_list(F.struct(*_ID, "first.line")).alias("lines"))
+        .agg(F.collect_list(F.struct("n", "first.line")).alias("lines"))
     )
     lines = if_small(keep(lines, "candidate-lines"))
     texts = docs.select("doc_id", "text", text_hash())
     words = (
         texts.join(lines, same(texts, lines, ["doc_id", "text_hash"]))
         .select(F.split("text", "\n").alias("text"), F.explode("lines").alias("l"))
-        .select("l.*", _words(F.get("text", F.col("l.line"))).alias("words"))
-        .dropDuplicates(_ID)
+        .select("l.n", F.transform(_words(F.get("text", F.col("l.line"))), lambda w: F.xxhash64(w)).alias("words"))
     )
-    words = keep(words, "candidate-words")
+    words = keep(words.dropDuplicates(["n"]), "candidate-words")
     for s in "ab":
-        names = [F.col(n).alias(f"{s}_{n}") for n in _ID]
-        side = words.select(*names, F.col("words").alias(f"{s}_words"))
-        pairs = pairs.join(side, [f"{s}_{n}" for n in _ID])
+        pairs = pairs.join(words.select(F.col("n").alias(f"{s}_n"), F.col("words").alias(f"{s}_words")), f"{s}_n")
     shared = F.size(F.array_intersect("a_words", "b_words"))
     union = F.size("a_words") + F.size("b_words") - shared
     alike = shared * threshold.denominator >= union * threshold.numerator
-    return pairs.where(alike).select(*[F.col(f"b_{n}").alias(n) for n in _ID]).distinct()
+    return pairs.where(alike).select(F.col("b_n").alias("n")).distinct()
 
 
 def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
@@ -282,41 +284,37 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     """
     lines = keep(line_sets(docs, threshold), "lines")
     place = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "line", "text_hash")
-    sets = keep(
-        lines.groupBy(*_ID).agg(
-            F.min(place).alias("first"), F.first(F.struct("skip", "tokens", "cells")).alias("prefix")
-        ),
-        "line-sets",
+    sets = lines.groupBy(*_SET).agg(
+        F.min(place).alias("first"), F.first(F.struct("skip", "tokens", "cells")).alias("prefix")
+    )
+    sets = keep(sets.withColumn("n", F.monotonically_increasing_id()), "line-sets")
+    words = F.posexplode(F.arrays_zip("prefix.tokens", "prefix.cells")).alias("at", "word")
+    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", words).select(
+        F.col("word.tokens").alias("token"), F.col("word.cells").alias("cells"),
+        "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
     )
-    words = F.posexplode(F.arrays_zip("prefix.tokens", "prefix.cells")).alias("n", "word")
-    postings = sets.select(*_ID, "first.doc", "first.line", "prefix.skip", words).select(
-        "word.tokens", "word.cells", *_ID, "doc", "line", (F.col("skip") + F.col("n")).alias("pos")
-    ).withColumnRenamed("tokens", "token")
 
     ordered = (
         _celled(postings).repartition("token", "cell")
-        .sortWithinPartitions("token", "cell", "doc", "line", "sid")
+        .sortWithinPartitions("token", "cell", "doc", "line", "n")
     )
-    kinds = dict(postings.dtypes)
-    schema = ", ".join(f"{side}_{n} {kinds[n]}" for side in "ab" for n in _ID)
-    pairs = keep(ordered.mapInArrow(_earliest(threshold), schema).distinct(), "line-pairs")
+    found = ordered.mapInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
+    earliest = F.min(F.struct("a_doc", "a_line", "a_n")).alias("a")
+    pairs = keep(found.groupBy("b_n").agg(earliest).select("a.a_n", "b_n"), "line-pairs")
     later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
-    doubtful = pairs.select(*[F.col(f"b_{n}").alias(n) for n in _ID]).distinct()
-    doubtful = if_small(keep(doubtful.join(later, _ID, "left_anti"), "doubtful-lines"))
-    probes = keep(postings.join(doubtful, _ID, "left_semi"), "probes")
-    rest = postings.alias("a").join(
-        if_small(probes).alias("b"), F.col("a.token") == F.col("b.token")
-    ).where(_alike(threshold))
-    more = _verified(docs, sets, keep(_pairs(rest), "more-pairs"), threshold)
+    doubtful = pairs.select(F.col("b_n").alias("n")).join(later, "n", "left_anti")
+    doubtful = if_small(keep(doubtful, "doubtful-lines"))
+    probes = if_small(keep(postings.join(doubtful, "n", "left_semi"), "probes"))
+    rest = postings.alias("a").join(probes.alias("b"), F.col("a.token") == F.col("b.token"))
+    rest = rest.where(_alike(threshold)).select(F.col("a.n").alias("a_n"), F.col("b.n").alias("b_n"))
+    more = _verified(docs, sets, keep(rest.distinct(), "more-pairs"), threshold)
     later = keep(later.union(more), "later-lines")
 
-    firsts = sets.select(*_ID, "first").join(
-        later.withColumn("later", F.lit(True)), _ID, "left"
-    )
+    firsts = sets.select("n", *_SET, "first").join(later.withColumn("later", F.lit(True)), "n", "left")
     gone = F.coalesce("later", F.lit(False)) | (place != F.col("first"))
     return (
         lines.drop("skip", "tokens", "cells")
-        .join(firsts, _ID)
+        .join(firsts.drop("n"), _SET)
         .groupBy("doc_id", "text_hash")
         .agg(
             F.count_distinct("line").cast("int").alias("n_lines"),
