@@ -5,16 +5,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from umbu.llm.decontamination import drop_contaminated
+from umbu.llm.language_id import drop_rejected
+from umbu.llm.line_dedup import dedup_lines
+from umbu.llm.near_duplicates import drop_near_duplicates
+from umbu.llm.packing import pack
 from umbu.llm.tables import keep, table
 from umbu.queries.registry import Query
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no known language, or without text, go."""
+    return drop_rejected(docs)
+
+
+def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are like an earlier one go; every document stays."""
+    return dedup_lines(docs)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with close fingerprints the one of smallest doc_id stays."""
+    return drop_near_duplicates(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth is benchmark text go."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every word that is left in the training sequences."""
+    return pack(docs).drop("text_hash")
+
+
 STAGES = [
+    ("language ID", identify_language),
+    ("line dedup", remove_repeated_lines),
+    ("SimHash near-dedup", keep_one_of_each),
     ("benchmark decontamination", decontaminate),
+    ("best-fit packing", pack_sequences),
 ]
 
 # Language models, fingerprints and best-fit packing are beyond SQL.

@@ -44,7 +44,7 @@ def test_equals_brute_force(spark):
     for seed in (1, 2):
         # Without ids the order of two rows is that of their hashes; one is enough here.
         rows = [r for r in documents(seed) if r[0] is not None or r[1] == documents(seed)[0][1]]
-        assert found(dedup_lines(frame_of(spark, rows))) == brute_force(rows)
+        assert found(dedup_lines(frame_of(spark, rows), counts=True)) == brute_force(rows)
 
 
 def test_many_variants_of_a_line(spark, monkeypatch):
@@ -57,15 +57,17 @@ def test_many_variants_of_a_line(spark, monkeypatch):
         words[i % 40] = f"v{i}"
         rows.append((i, " ".join(words), None, None, None, None, None, None))
     rows.append((1000, " ".join(base[:28] + ["q"] * 3), None, None, None, None, None, None))
-    df = dedup_lines(frame_of(spark, rows))
+    df = dedup_lines(frame_of(spark, rows), counts=True)
     assert found(df) == brute_force(rows)
 
 
 def test_keeps_columns_and_rows(spark):
     rows = documents(3)
     df = dedup_lines(frame_of(spark, rows))
-    assert df.columns[:8] == frame_of(spark, rows).columns
+    assert df.schema == frame_of(spark, rows).schema
     assert df.count() == len(rows)
+    changed = {r["doc_id"] for r in dedup_lines(frame_of(spark, rows), counts=True).collect() if r["n_removed_"]}
+    assert all(r["n_chars"] == len(r["text"]) for r in df.collect() if r["doc_id"] is not None and r["doc_id"] in changed)
     assert dedup_lines(empty(spark)).count() == 0
 
 

@@ -323,38 +323,44 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     )
 
 
-def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
-    """The documents without repeated lines, with columns n_lines_, n_removed_ added.
+def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, counts: bool = False) -> DataFrame:
+    """The documents without repeated lines, with all their columns.
 
-    All columns stay; only ``text`` changes. No document is dropped: one of which
-    every line is a repeat keeps an empty text. Documents without repeats keep
+    Only ``text`` changes, and n_chars with it if there is such a column; with
+    ``counts``, n_lines_ and n_removed_ are added. No document is dropped: one of
+    which every line is a repeat keeps an empty text. Documents without repeats keep
     their text as it is, null or empty ones too.
     """
-    gone = if_small(keep(repeated_lines(docs, threshold), "repeated-lines").select(
+    gone = repeated_lines(docs, threshold).select(
         F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"),
         F.col("n_lines").alias("_n_lines"), F.col("removed").alias("_removed"),
-    ))
+    )
+    gone = keep(gone, "repeated-lines")
+    if not counts:
+        gone = gone.where(F.size("_removed") > 0)
+    gone = if_small(gone)
     match = docs["doc_id"].eqNullSafe(gone["_doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_hash"])
     parts = F.split(docs["text"], "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "_removed")
-    text = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
-    n_removed = F.coalesce(F.size("_removed"), F.lit(0))
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone["_removed"])
+    shorter = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
+    changed = F.size(gone["_removed"]) > 0
+    new = {"text": shorter, "n_chars": F.length(shorter)}
     columns = [
-        F.when(F.size("_removed") > 0, text).otherwise(docs["text"]).alias("text")
-        if name == "text" else docs[name]
-        for name in docs.columns
+        F.when(changed, new[name]).otherwise(docs[name]).cast(kind).alias(name) if name in new else docs[name]
+        for name, kind in docs.dtypes
     ]
-    return docs.join(gone, match, "left").select(
-        *columns,
-        F.coalesce("_n_lines", F.lit(0)).alias("n_lines_"),
-        F.when(F.col("_removed").isNull(), 0).otherwise(n_removed).alias("n_removed_"),
-    )
+    if counts:
+        columns += [
+            F.coalesce(gone["_n_lines"], F.lit(0)).alias("n_lines_"),
+            F.when(changed, F.size(gone["_removed"])).otherwise(0).alias("n_removed_"),
+        ]
+    return docs.join(gone, match, "left").select(*columns)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines with words, lines removed, and the text that is left."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select(
+    return dedup_lines(docs, counts=True).select(
         "doc_id",
         F.col("n_lines_").cast("bigint").alias("n_lines"),
         F.col("n_removed_").cast("bigint").alias("n_removed"),

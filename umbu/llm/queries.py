@@ -9,6 +9,8 @@ from umbu.llm import (
     near_duplicates,
     neighbours,
     packing,
+    quality,
+    secrets,
     sharding,
     warc,
 )
@@ -23,6 +25,8 @@ QUERIES: dict[str, Query] = {
     "op5_nn_descent": Query(neighbours.op5_nn_descent, None),
     "op6_warc_zstd": Query(warc.op6_warc_zstd, warc.SQL),
     "op7_line_dedup": Query(line_dedup.op7_line_dedup, None),
+    "op8_quality_embeddings": Query(quality.op8_quality_embeddings, None),
+    "op9_secret_scan": Query(secrets.op9_secret_scan, secrets.SQL),
     "op10_benchmark_decontamination": Query(
         decontamination.op10_benchmark_decontamination, decontamination.SQL
     ),

@@ -93,14 +93,22 @@ def word_places(piece: Piece, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, ends
 
 
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of bytes times powers, from which any slice's hash follows."""
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def slice_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of slices of the bytes, alike for equal slices; to be mixed."""
+    raw = (sums[ends] - sums[starts]) * _powers(len(sums))[1][starts]
+    return raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+
+
 def word_hashes(piece: Piece, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of words, A-Z taken as a-z."""
-    n = len(piece.data)
-    power, inverse = _powers(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((LOWER[piece.data].astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return mix(slice_hashes(running_sums(LOWER[piece.data]), starts, ends))
 
 
 def hashed(texts: list[str | None], kind: np.ndarray) -> list[np.ndarray]:
