@@ -11,7 +11,7 @@ def prose(lang, i):
         "fr": "la maison et le jardin étaient très près des écoles françaises où elle vécut".split(),
         "es": "la casa y el jardín estaban cerca de las montañas del año pasado también señor".split(),
     }[lang]
-    return " ".join(words[(i * 7 + k * (i % 5 + 1)) % len(words)] for k in range(30))
+    return " ".join(words[(i * 7 + k * (1, 2, 4, 8, 11)[i % 5]) % len(words)] for k in range(30))
 
 
 def rows():

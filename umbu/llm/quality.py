@@ -26,6 +26,8 @@ NGRAMS = (3, 4)
 # Most labelled rows to learn from: those whose ids hash lowest.
 TRAIN_ROWS = 3000
 EPOCHS, RATE = 5, 0.3
+# Small samples are gone over more often, so that there are about so many steps.
+STEPS = 8000
 
 
 @dataclass
@@ -110,8 +112,9 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 3) -> Model:
     # Both labels weigh the same, however rare one is.
     of = np.bincount([r[0] for r in rows], minlength=2)
     weight = np.where(of > 0, len(rows) / (2 * np.maximum(of, 1)), 0)
-    steps, step = EPOCHS * len(rows), 0
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, STEPS // max(1, len(rows)))
+    steps, step = epochs * len(rows), 0
+    for _ in range(epochs if rows else 0):
         for k in random.permutation(len(rows)):
             label, ids, share = rows[k]
             rate = RATE * (1 - step / steps)
