@@ -275,12 +275,12 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, threshold: Fra
 
 
 def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFrame:
-    """Lines to remove: doc_id, text_hash, n_lines that have words, removed numbers.
+    """Lines to remove: doc_id, text_hash, and the lines' numbers as ``removed``.
 
-    One row per different (doc_id, text) that has words. Rows that are equal in
+    One row per different (doc_id, text) that loses a line. Rows that are equal in
     both are one document and share their lines' fate. Lines are split at line
     feeds and numbered from 0; lines without words are neither compared nor
-    removed; a null or empty text has no row. Nothing is cut or sampled.
+    removed; so a null or empty text has no row. Nothing is cut or sampled.
     """
     lines = keep(line_sets(docs, threshold), "lines")
     place = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "line", "text_hash")
@@ -315,11 +315,9 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     return (
         lines.drop("skip", "tokens", "cells")
         .join(firsts.drop("n"), _SET)
+        .where(gone)
         .groupBy("doc_id", "text_hash")
-        .agg(
-            F.count_distinct("line").cast("int").alias("n_lines"),
-            F.array_sort(F.collect_set(F.when(gone, F.col("line")))).alias("removed"),
-        )
+        .agg(F.array_sort(F.collect_set("line")).alias("removed"))
     )
 
 
@@ -327,42 +325,35 @@ def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, counts: bool =
     """The documents without repeated lines, with all their columns.
 
     Only ``text`` changes, and n_chars with it if there is such a column; with
-    ``counts``, n_lines_ and n_removed_ are added. No document is dropped: one of
-    which every line is a repeat keeps an empty text. Documents without repeats keep
-    their text as it is, null or empty ones too.
+    ``counts``, n_removed_ is added. No document is dropped: one of which every line
+    is a repeat keeps an empty text. Documents without repeats keep their text as it
+    is, null or empty ones too.
     """
     gone = repeated_lines(docs, threshold).select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"),
-        F.col("n_lines").alias("_n_lines"), F.col("removed").alias("_removed"),
+        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed")
     )
-    gone = keep(gone, "repeated-lines")
-    if not counts:
-        gone = gone.where(F.size("_removed") > 0)
-    gone = if_small(gone)
+    gone = if_small(keep(gone, "repeated-lines"))
     match = docs["doc_id"].eqNullSafe(gone["_doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_hash"])
+    removed = gone["_removed"]
     parts = F.split(docs["text"], "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), gone["_removed"])
+    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), removed)
     shorter = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
-    changed = F.size(gone["_removed"]) > 0
     new = {"text": shorter, "n_chars": F.length(shorter)}
     columns = [
-        F.when(changed, new[name]).otherwise(docs[name]).cast(kind).alias(name) if name in new else docs[name]
+        F.when(removed.isNotNull(), new[name]).otherwise(docs[name]).cast(kind).alias(name)
+        if name in new else docs[name]
         for name, kind in docs.dtypes
     ]
     if counts:
-        columns += [
-            F.coalesce(gone["_n_lines"], F.lit(0)).alias("n_lines_"),
-            F.when(changed, F.size(gone["_removed"])).otherwise(0).alias("n_removed_"),
-        ]
+        columns.append(F.when(removed.isNotNull(), F.size(removed)).otherwise(0).alias("n_removed_"))
     return docs.join(gone, match, "left").select(*columns)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: lines with words, lines removed, and the text that is left."""
+    """Per document: lines removed, and the text that is left."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, counts=True).select(
         "doc_id",
-        F.col("n_lines_").cast("bigint").alias("n_lines"),
         F.col("n_removed_").cast("bigint").alias("n_removed"),
         "text",
     )
