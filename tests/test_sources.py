@@ -5,9 +5,11 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from umbu import schemas as S
 from umbu.plans.runs import Lake
 from umbu.schemas import BRONZE_BASKET, BRONZE_POP_MUN, GOLD_BASKET, LOAD_DATE, TABLES
 from umbu.sources import catalog, landing
+from umbu.sources.landing import scan_csv, scan_sheet_columns
 from umbu.sources.loads import load_path, path_load_date, read_loads, read_table, write_loads
 from umbu.sources.shared import SETTING, scratch_folder
 
@@ -201,3 +203,99 @@ def test_scan_sheet_columns(spark, tmp_path):
 def test_scratch_folder(spark):
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert first != second and first.startswith(spark.conf.get(SETTING))
+
+
+def land(folder, **files):
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.csv").write_text(text)
+    return str(folder)
+
+
+def fails(df):
+    with pytest.raises(Exception) as problem:
+        df.collect()
+    return str(problem.value)
+
+
+def test_csv_of_other_headers_or_cells_fails(spark, tmp_path):
+    mixed = land(tmp_path / "mixed", a="id,city\n1,x\n", b="city,id\ny,2\n")
+    fails(scan_csv(spark, mixed))
+    fails(scan_csv(spark, mixed, ["id", "city"]).select("city"))
+    extra = land(tmp_path / "extra", a="id,city\n1,x,EXTRA\n")
+    fails(scan_csv(spark, extra))
+    fails(scan_csv(spark, extra).select("id"))
+
+
+def test_csv_line_breaks_need_multi_line(spark, tmp_path):
+    folder = land(tmp_path / "breaks", a='id,city\n1,"two\nlines"\n')
+    fails(scan_csv(spark, folder))
+    assert [tuple(r) for r in scan_csv(spark, folder, multi_line=True).collect()] == [("1", "two\nlines")]
+
+
+def test_sheets_of_other_headers_or_cells_fail(spark, tmp_path):
+    good = land(tmp_path / "good", a="t\nid,city\n1,x\n2,y\n", b="t\nid,city\n3,z\n")
+    df = scan_sheet_columns(spark, good, 1, {"city": "c"})
+    assert sorted(r["c"] for r in df.collect()) == ["x", "y", "z"]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    mixed = land(tmp_path / "mixed", a="t\nid,city\n1,x\n", b="t\ncity,id\nx,1\n")
+    assert "header" in fails(scan_sheet_columns(spark, mixed, 1, {"city": "c"}))
+    fails(scan_sheet_columns(spark, land(tmp_path / "extra", a="t\nid,city\n1,x,9\n"), 1, {"city": "c"}))
+
+
+BASKET_ROW = "data_mes string, cidade string, valor double, data_carga string"
+
+
+@pytest.mark.parametrize("stray", ["2025-02-01", None])
+def test_a_stray_row_fails_the_write_and_leaves_all_loads(spark, frame, tmp_path, stray):
+    root = str(tmp_path)
+    rows = [("m", "a", 1.0, "2025-01-01"), ("m", "b", 2.0, "2025-02-01")]
+    write_loads(frame(rows, BASKET_ROW), root, S.BRONZE_BASKET, ["2025-01-01", "2025-02-01"])
+    again = frame([("m", "c", 3.0, "2025-01-01"), ("m", "d", 4.0, stray)], BASKET_ROW)
+    with pytest.raises(Exception, match="not to be written"):
+        write_loads(again, root, S.BRONZE_BASKET, "2025-01-01")
+    assert sorted(tuple(r) for r in read_table(spark, root, S.BRONZE_BASKET).collect()) == rows
+
+
+def test_loads_far_apart_are_reported(spark, frame, tmp_path):
+    dates = ["1900-01-01", "2025-05-01"]
+    df = frame([("m", "a", 1.0, d) for d in dates], BASKET_ROW)
+    report = write_loads(df, str(tmp_path), S.BRONZE_BASKET, dates)
+    assert report.loads == tuple(dates) and report.rows == 2
+
+
+def test_one_missing_load_of_several_is_noticed(spark, frame, tmp_path):
+    root = str(tmp_path)
+    write_loads(frame([("m", "a", 1.0, "2025-01-01")], BASKET_ROW), root, S.BRONZE_BASKET, "2025-01-01")
+    empty = tmp_path / "bronze/dieese/cesta_basica/data_carga=2025-02-01"
+    empty.mkdir()
+    (empty / "note.txt").write_text("no table")
+    with pytest.raises(FileNotFoundError, match="2025-02-01"):
+        read_loads(spark, root, S.BRONZE_BASKET, ["2025-01-01", "2025-02-01"])
+
+
+@pytest.mark.parametrize("wide", [0, 1])
+def test_old_and_new_files_together(spark, frame, tmp_path, wide):
+    root, dates = str(tmp_path), ["2025-01-01", "2025-02-01"]
+    for i, day in enumerate(dates):
+        kind = "bigint" if i == wide else "int"
+        path = f"{S.BRONZE_POP_UF.location(root)}/data_carga={day}"
+        frame([("x", 7)], f"unidade_federativa string, populacao {kind}").write.parquet(path)
+    for df in (read_loads(spark, root, S.BRONZE_POP_UF, dates), read_table(spark, root, S.BRONZE_POP_UF)):
+        assert df.schema["populacao"].dataType.simpleString() == "int"
+        assert sorted(r["data_carga"] for r in df.where("populacao = 7").collect()) == dates
+
+
+def test_files_without_a_column_are_an_error(spark, frame, tmp_path):
+    path = f"{S.BRONZE_POP_UF.location(str(tmp_path))}/data_carga=2025-01-01"
+    frame([("x",)], "unidade_federativa string").write.parquet(path)
+    with pytest.raises(ValueError, match="populacao"):
+        read_loads(spark, str(tmp_path), S.BRONZE_POP_UF, "2025-01-01")
+
+
+@pytest.mark.parametrize("value, kind", [(70.9, "double"), (3e9, "double"), (3_000_000_000, "bigint")])
+def test_nothing_is_cut_to_fit_a_whole_number(frame, value, kind):
+    df = frame([("x", value, "2025-01-01")], f"unidade_federativa string, populacao {kind}, data_carga string")
+    assert "whole number" in fails(S.BRONZE_POP_UF.conform(df))
+    good = frame([("x", 70.0, "2025-01-01"), ("y", None, "2025-01-01")], "unidade_federativa string, populacao double, data_carga string")
+    assert [r["populacao"] for r in S.BRONZE_POP_UF.conform(good).collect()] == [70, None]

@@ -19,8 +19,15 @@ def blank_missing(text: Column) -> Column:
     return F.when(~text.rlike(_MISSING), text)
 
 
-def _whole(number: Column) -> Column:
-    """Decimal to whole number; a fraction that is not zero raises."""
+# A fraction that is not zero, however small, in a number written without exponent.
+_FRACTION = r"^\s*[+-]?\d*\.\d*[1-9]\d*\s*\z"
+
+
+def _whole(text: Column) -> Column:
+    """Text of a number to whole number; a fraction or what is out of range raises."""
+    number = F.when(~text.rlike(_FRACTION), text.try_cast("decimal(38,18)"))
+    said = F.concat(F.lit("no whole number: "), text)
+    number = F.coalesce(number, F.raise_error(said).cast("decimal(38,18)"))
     return F.regexp_replace(number.cast("string"), r"\.0+$", "").cast("bigint")
 
 
@@ -40,7 +47,7 @@ def strict_int(text: Column, kind: str = "int", nullable: bool = True) -> Column
     Plain digits, the usual cell, need a single parse. Only what is left is
     looked at for missing-value marks and for forms such as ``12.0`` or ``1e3``.
     """
-    other = _if_needed(text, lambda cell: _whole(blank_missing(cell).cast("decimal(38,18)")))
+    other = _if_needed(text, lambda cell: F.when(~cell.rlike(_MISSING), _whole(cell)))
     value = F.coalesce(text.try_cast("bigint"), other).cast(kind)
     if nullable:
         return value
@@ -57,8 +64,9 @@ def lenient_double(text: Column) -> Column:
 
 
 def lenient_long(text: Column) -> Column:
-    """Whole number from text: no number gives null, a fraction is an error."""
-    return F.coalesce(text.try_cast("bigint"), _whole(text.try_cast("decimal(38,18)")))
+    """Whole number from text: no number gives null; a fraction, an infinity or a
+    number out of range is an error."""
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(NUMBER), _whole(text)))
 
 
 def digits_to_long(text: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -35,24 +34,21 @@ def ratio_guarded(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den.cast("double"))
 
 
-def stable_mean(value: Column) -> Column:
+def stable_mean(value: Column, scale: int = 12) -> Column:
     """Mean of the values present, the same in whatever order rows arrive.
 
     Adding doubles depends on the order, which a shuffle or a retried task
-    changes, and a mean that lies on a rounding tie then flips. So the whole
-    part and the millionths are summed apart as integers: exact for money.
-    Values past 1e12 (and infinities) are added as plain doubles.
+    changes, and a mean that lies on a rounding tie then flips. So the values are
+    added as decimals of ``scale`` places, to which each is rounded first. A value
+    that does not fit 28 digits with that scale, or is infinite, is an error; a
+    larger ``scale`` keeps smaller fractions, a smaller one takes larger values.
     """
     present = F.nanvl(value.cast("double"), F.lit(None).cast("double"))
-    usual = F.abs(present) < 1e12
-    whole = F.floor(present)
-    millionths = F.rint((present - whole) * 1e6).cast("bigint")
-    exact = F.sum(F.when(usual, whole)).cast("decimal(20,0)") + F.sum(
-        F.when(usual, millionths)
-    ).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
-    huge = F.sum(F.when(~usual, present))
-    total = F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(huge, F.lit(0.0))
-    return F.try_divide(total, F.count(present))
+    kind = f"decimal(28,{scale})"
+    said = F.concat(F.lit(f"out of the range of {kind}: "), present.cast("string"))
+    exact = F.coalesce(present.try_cast(kind), F.raise_error(said).cast(kind))
+    total = F.sum(F.when(present.isNotNull(), exact))
+    return F.try_divide(total.cast("double"), F.count(present))
 
 
 def sum_or_zero(value: Column) -> Column:
@@ -68,10 +64,11 @@ def spread_index(keys: Sequence[Column], seed: int, buckets: int) -> Column:
     """A bucket in ``0 .. buckets-1`` as a pure function of integer keys.
 
     Integer arithmetic only: a retried task gives the same answer, and any SQL
-    engine can repeat it. Keys are reduced first, so nothing can overflow.
+    engine can repeat it. Keys are reduced first, so nothing can overflow. A null
+    key counts as 0, so that every row has a bucket.
     """
     terms = [
-        F.pmod(key.cast("bigint"), F.lit(_KEY_PRIME)) * F.lit(_STEP * (i + 1))
+        F.pmod(F.coalesce(key.cast("bigint"), F.lit(0)), F.lit(_KEY_PRIME)) * F.lit(_STEP * (i + 1))
         for i, key in enumerate(keys)
     ]
     mixed = reduce(lambda a, b: a + b, terms) + F.lit(seed)

@@ -26,10 +26,15 @@ def bronze_rent(raw: DataFrame, dates: str | Sequence[str]) -> DataFrame:
     return BRONZE_RENT.conform(with_load_dates(named.select(*cells), dates))
 
 
-def bronze_basket(wide: DataFrame, dates: str | Sequence[str]) -> DataFrame:
-    """Price sheet with one column per city → one row per month and city."""
+def bronze_basket(
+    wide: DataFrame, dates: str | Sequence[str], pattern: str | None = None
+) -> DataFrame:
+    """Price sheet with one column per city → one row per month and city.
+
+    ``pattern`` is the form of the sheet's dates, where it is not the ISO one.
+    """
     named = rename(clean_names(wide, hyphen=False), {"data": "data_mes"})
-    dated = named.withColumn("data_mes", iso_date(F.col("data_mes")))
+    dated = named.withColumn("data_mes", iso_date(F.col("data_mes"), pattern))
     long = unpivot(dated, ["data_mes"], "cidade", "valor")
     return BRONZE_BASKET.conform(with_load_dates(long, dates))
 

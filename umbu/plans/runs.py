@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from umbu import schemas as S
 from umbu.fixed_values import MUNICIPALITY_HEADERS
+from umbu.functions.dates import load_calendar
 from umbu.operators.joins import fits_broadcast
 from umbu.plans import bronze, gold, silver
 from umbu.sources import catalog, landing
-from umbu.sources.loads import LoadReport, read_loads, write_loads
+from umbu.sources.loads import LoadReport, held_loads, read_loads, write_loads
 
 Dates = str | Sequence[str]
 
@@ -71,8 +72,10 @@ class Lake:
         out = bronze.bronze_rent(self.landed(raw), dates)
         return self.save(out, S.BRONZE_RENT, dates, keep_empty=True)
 
-    def bronze_basket(self, raw: str | DataFrame, dates: Dates) -> LoadReport:
-        out = bronze.bronze_basket(self.landed(raw), dates)
+    def bronze_basket(
+        self, raw: str | DataFrame, dates: Dates, pattern: str | None = None
+    ) -> LoadReport:
+        out = bronze.bronze_basket(self.landed(raw), dates, pattern)
         return self.save(out, S.BRONZE_BASKET, dates, keep_empty=True)
 
     def bronze_population(
@@ -89,11 +92,11 @@ class Lake:
 
     # Silver and gold: rows stay with the files of their load as long as every
     # join broadcasts, so these loads are written where they were read ---------
-    def silver_rent(self, dates: Dates) -> LoadReport:
-        out = silver.silver_rent(
-            self.read(S.BRONZE_RENT, dates), self.read(S.BRONZE_POP_MUN, dates)
-        )
-        return self.save(out, S.SILVER_RENT, dates, clustered=True)
+    def silver_rent(self, dates: Dates, keys: Sequence[str] = ("id",)) -> LoadReport:
+        population = self.read(S.BRONZE_POP_MUN, dates)
+        towns_fit = fits_broadcast(population)
+        out = silver.silver_rent(self.read(S.BRONZE_RENT, dates), population, keys, towns_fit=towns_fit)
+        return self.save(out, S.SILVER_RENT, dates, clustered=towns_fit)
 
     def silver_basket(self, dates: Dates) -> LoadReport:
         population = self.read(S.BRONZE_POP_MUN, dates)
@@ -101,6 +104,25 @@ class Lake:
         out = silver.silver_basket(self.read(S.BRONZE_BASKET, dates), population, towns_fit)
         return self.save(out, S.SILVER_BASKET, dates, keep_empty=True, clustered=towns_fit)
 
+    def backfill(self, first: str, last: str, every: str = "month") -> list[LoadReport]:
+        """Silver and gold of every load from the first date to the last that has
+        both its bronze loads, each table in one job."""
+        calendar = load_calendar(first, last, every)
+        reports = []
+        for source, silver_run, gold_run in (
+            (S.BRONZE_RENT, self.silver_rent, self.gold_rent),
+            (S.BRONZE_BASKET, self.silver_basket, self.gold_basket),
+        ):
+            there = held_loads(self.spark, self.root, source) & held_loads(
+                self.spark, self.root, S.BRONZE_POP_MUN
+            )
+            if days := [day for day in calendar if day in there]:
+                done = silver_run(days)
+                reports.append(done)
+                if done.loads:
+                    reports.append(gold_run(list(done.loads)))
+        return reports
+
     def gold_rent(self, dates: Dates) -> LoadReport:
         out = gold.gold_rent(self.read(S.SILVER_RENT, dates))
         return self.save(out, S.GOLD_RENT, dates, clustered=True)

@@ -33,6 +33,7 @@ def silver_rent(
     population: DataFrame,
     keys: Sequence[str] = ("id",),
     seed: int = SEED,
+    towns_fit: bool | None = None,
 ) -> DataFrame:
     """Listings, each given a state, with the population of the town so named.
 
@@ -40,6 +41,8 @@ def silver_rent(
     also the name of a municipality survive, once for each such municipality.
     States and municipalities are matched first: that side stays small and the
     listings meet it once, by an integer code, with no text to fold per listing.
+    ``keys`` are whole-number columns; a null one counts as 0. ``towns_fit`` tells
+    whether the population was measured fit to broadcast.
     """
     towns = population.select(LOAD_DATE, fold(F.col("municipio")).alias("city"), "populacao")
     towns = towns.join(F.broadcast(folded_states(population.sparkSession)), "city")
@@ -47,7 +50,7 @@ def silver_rent(
     coded = sized.drop("city").withColumn(
         "city_codigo", assigned_state([F.col(k) for k in keys], seed)
     )
-    placed = join_dimension(coded, towns, [LOAD_DATE, "city_codigo"])
+    placed = join_dimension(coded, towns, [LOAD_DATE, "city_codigo"], fits=towns_fit)
     total = F.col("total")
     return SILVER_RENT.conform(
         placed.withColumns(

@@ -62,7 +62,7 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.agg(F.first("valor")).withColumnsRenamed(headers)
 
 
-@query(f"""
+WIDE_PRICES_SQL = f"""
 WITH {NATION_CITY_SQL}, cells AS (
   SELECT o_orderdate, n_name, {mean_sql("o_totalprice")} AS valor
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -70,7 +70,10 @@ WITH {NATION_CITY_SQL}, cells AS (
 SELECT strftime(d.o_orderdate, '%Y-%m-%d') AS data_mes, lower(n.n_name) AS cidade, c.valor,
        '{LOAD}' AS data_carga
 FROM (SELECT DISTINCT o_orderdate FROM cells) AS d CROSS JOIN nation AS n
-  LEFT JOIN cells AS c ON c.o_orderdate = d.o_orderdate AND c.n_name = n.n_name""")
+  LEFT JOIN cells AS c ON c.o_orderdate = d.o_orderdate AND c.n_name = n.n_name"""
+
+
+@query(WIDE_PRICES_SQL)
 def bronze_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.bronze_basket(raw_prices(spark, sf_dir), LOAD)
 
@@ -81,21 +84,27 @@ def marked(number: Column) -> Column:
     return F.when(number > 0, text).otherwise(F.lit("-"))
 
 
-@query(f"""
+POPULATION_UF_SQL = f"""
 SELECT c_mktsegment || '-' || n_name AS unidade_federativa,
        CAST(nullif(sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END), 0) AS INT) AS populacao,
        '{LOAD}' AS data_carga
-FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_mktsegment, n_name""")
-def bronze_pop_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in credit per segment and nation, from text with separators."""
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY c_mktsegment, n_name"""
+
+
+def uf_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in credit per segment and nation, as text with separators."""
     in_credit = F.count_if(F.col("c_acctbal") > 0)
-    sheet = (
+    return (
         customer_city(spark, sf_dir)
         .groupBy(F.concat_ws("-", "c_mktsegment", "n_name").alias("name"))
         .agg(in_credit.alias("n"))
         .select("name", marked(F.col("n")).alias("people"))
     )
-    return bronze.bronze_population_uf(sheet, LOAD)
+
+
+@query(POPULATION_UF_SQL)
+def bronze_pop_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze.bronze_population_uf(uf_sheet(spark, sf_dir), LOAD)
 
 
 def municipality_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:

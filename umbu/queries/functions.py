@@ -118,7 +118,9 @@ def ratio_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+_ROW = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+# The last key is null in some rows, which have a state like any others.
+_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "rooms"]
 
 
 @query(f"""
@@ -128,7 +130,7 @@ FROM listings JOIN {STATES_SQL} ON s.i = {spread_sql(_KEYS, SEED, 20)}""")
 def assign_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A state for every listing from its key, and the state's name."""
     rows = listings(spark, sf_dir).select(
-        *_KEYS, assigned_state([F.col(k) for k in _KEYS], SEED).alias("city_codigo")
+        *_ROW, assigned_state([F.col(k) for k in _KEYS], SEED).alias("city_codigo")
     )
     return with_state_name(rows)
 

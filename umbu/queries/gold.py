@@ -62,15 +62,15 @@ def gold_basket(spark: SparkSession, sf_dir: str) -> DataFrame:
 def backfill_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All loads of prices: bronze, silver and gold written and read as tables.
 
-    Each layer is one job over all load dates, not one job per date.
+    Each layer is one job over all load dates, not one job per date. The calendar
+    has many dates without a load, which are passed over.
     """
     root = scratch_folder(spark, "backfill")
     dates = load_dates(spark, sf_dir, "orders", "o_orderdate")
     write_loads(prices(spark, sf_dir), root, S.BRONZE_BASKET, dates)
     write_loads(population(spark, sf_dir), root, S.BRONZE_POP_MUN, dates)
     lake = Lake(spark, root, registered=False)
-    lake.silver_basket(dates)
-    lake.gold_basket(dates)
+    lake.backfill(dates[0], dates[-1])
     return read_loads(spark, root, S.GOLD_BASKET, dates)
 
 
@@ -82,6 +82,5 @@ def backfill_rents(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_loads(listings(spark, sf_dir), root, S.BRONZE_RENT, dates)
     write_loads(state_towns(spark, sf_dir), root, S.BRONZE_POP_MUN, dates)
     lake = Lake(spark, root, registered=False)
-    lake.silver_rent(dates)
-    lake.gold_rent(dates)
+    lake.backfill(dates[0], dates[-1])
     return read_loads(spark, root, S.GOLD_RENT, dates)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,15 +12,34 @@ from umbu.plans import bronze
 from umbu.queries.bronze import (
     LOAD,
     MUNICIPALITIES_SQL,
+    POPULATION_UF_SQL,
     RENT_NAMES,
+    WIDE_PRICES_SQL,
     municipality_sheet,
     raw_listings,
+    raw_prices,
+    uf_sheet,
 )
 from umbu.queries.registry import query
-from umbu.queries.views import LISTINGS_SQL, PRICES_SQL, load_dates, prices, table, year_start
-from umbu.schemas import BRONZE_BASKET, LOAD_DATE, SILVER_BASKET
-from umbu.sources.landing import QUOTING, scan_csv, scan_sheet_columns
-from umbu.sources.loads import LoadReport, path_load_date, read_loads, read_table, write_loads
+from umbu.queries.views import (
+    LISTINGS_SQL,
+    PRICES_SQL,
+    listings,
+    load_dates,
+    prices,
+    table,
+    year_start,
+)
+from umbu.schemas import BRONZE_BASKET, BRONZE_RENT, LOAD_DATE, SILVER_BASKET
+from umbu.sources.landing import QUOTING, scan_csv, scan_sheet, scan_sheet_columns
+from umbu.sources.loads import (
+    LoadReport,
+    load_path,
+    path_load_date,
+    read_loads,
+    read_table,
+    write_loads,
+)
 from umbu.sources.shared import scratch_folder
 
 
@@ -32,10 +53,18 @@ def scan_csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.bronze_rent(scan_csv(spark, folder), LOAD)
 
 
-def _land_sheets(sheet: DataFrame, folder: str) -> None:
-    """Write a frame as sheets: each file has a title line, headers, then rows."""
-    titles = [title for title, _ in MUNICIPALITY_HEADERS]
-    top = ["ESTIMATIVAS DA POPULAÇÃO", ",".join(["NOTA", *titles])]
+@query(WIDE_PRICES_SQL)
+def scan_wide_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The price sheet landed as CSV, with dates of another form, scanned and unpivoted."""
+    folder = scratch_folder(spark, "prices")
+    sheet = raw_prices(spark, sf_dir).withColumn("Data", F.date_format("Data", "dd/MM/yyyy"))
+    sheet.write.mode("overwrite").csv(folder, header=True, **QUOTING)
+    return bronze.bronze_basket(scan_csv(spark, folder), LOAD, "dd/MM/yyyy")
+
+
+def _land_sheets(sheet: DataFrame, folder: str, titles: Sequence[str], preamble: int) -> None:
+    """Write a frame as sheets: each file has title lines, headers, then rows."""
+    top = ["ESTIMATIVAS DA POPULAÇÃO"] * preamble + [",".join(["NOTA", *titles])]
 
     def with_top(batches):
         import pyarrow as pa
@@ -52,11 +81,35 @@ def _land_sheets(sheet: DataFrame, folder: str) -> None:
 def skip_preamble(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sheets with a title line above the headers; five columns are picked."""
     folder = scratch_folder(spark, "sheets")
-    _land_sheets(municipality_sheet(spark, sf_dir), folder)
+    titles = [title for title, _ in MUNICIPALITY_HEADERS]
+    _land_sheets(municipality_sheet(spark, sf_dir), folder, titles, 1)
     sheet = scan_sheet_columns(spark, folder, 1, dict(MUNICIPALITY_HEADERS))
     return bronze.bronze_population_mun(sheet, LOAD)
 
 
+@query(POPULATION_UF_SQL)
+def skip_preamble_uf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheets with two title lines; two columns are taken by position."""
+    folder = scratch_folder(spark, "sheets")
+    _land_sheets(uf_sheet(spark, sf_dir), folder, ["UNIDADE", "POPULAÇÃO"], 2)
+    sheet = scan_sheet(spark, folder, 2, ["note", "name", "people"]).select("name", "people")
+    return bronze.bronze_population_uf(sheet, LOAD)
+
+
+@query(f"""
+WITH {LISTINGS_SQL}
+SELECT {", ".join(RENT_NAMES)}, load AS data_carga
+FROM listings, (VALUES ('2024-01-01'), ('2025-01-01')) AS loads(load)""")
+def scan_old_and_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads read together, one with wide whole numbers and one with narrow ones."""
+    root, loads = scratch_folder(spark, "loads"), ["2024-01-01", "2025-01-01"]
+    rows = listings(spark, sf_dir).select(*RENT_NAMES)
+    wide = [F.col(n).cast("bigint").alias(n) if t == "int" else F.col(n) for n, t in rows.dtypes]
+    for day, held in zip(loads, (rows.select(*wide), rows)):
+        held.write.parquet(load_path(root, BRONZE_RENT, day))
+    return read_loads(spark, root, BRONZE_RENT, loads)
+
+
 @query(f"""
 WITH {PRICES_SQL}
 SELECT data_mes, cidade, valor, data_carga FROM prices

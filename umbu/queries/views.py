@@ -121,7 +121,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_dates(spark: SparkSession, sf_dir: str, name: str, moment: str) -> list[str]:
     """The loads in a table, one per year: a list as long as the history."""
     years = table(spark, sf_dir, name).select(year_start(F.col(moment)).alias("d")).distinct()
-    return sorted(row["d"] for row in years.toLocalIterator())
+    return sorted(row["d"] for row in years.collect())
 
 
 # --- Population: customers of a nation as inhabitants of a town -------------
@@ -258,13 +258,13 @@ def fold_sql(text: str) -> str:
 
 
 def mean_sql(value: str, digits: int = 2) -> str:
-    """Rounded mean from an exact decimal sum."""
-    total = f"CAST(sum(CAST({value} AS DECIMAL(18, 6))) AS DOUBLE)"
+    """Rounded mean from a sum of whole cents; the tables' values have two decimals."""
+    total = f"CAST(sum(CAST(round({value} * 100) AS BIGINT)) AS DOUBLE) / 100"
     return f"round_even({total} / nullif(count({value}), 0), {digits})"
 
 
 def spread_sql(keys: list[str], seed: int, buckets: int) -> str:
-    terms = " + ".join(f"({key} % 1000003) * {7919 * (i + 1)}" for i, key in enumerate(keys))
+    terms = " + ".join(f"(coalesce({key}, 0) % 1000003) * {7919 * (i + 1)}" for i, key in enumerate(keys))
     return f"(({terms} + {seed}) % 999983) % {buckets}"
 
 

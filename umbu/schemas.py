@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,25 @@ _TYPES = {
     "string": T.StringType(),
 }
 
+_WHOLE = (T.IntegerType, T.LongType)
+_FRACTIONS = (T.DoubleType, T.FloatType, T.DecimalType)
+_RANGES = {T.IntegerType: 2.0**31, T.LongType: 2.0**63}
+
+
+def _narrowed(name: str, have: T.DataType | None, want: T.DataType) -> Column:
+    """The column in another type, with nothing cut off."""
+    value = F.col(name)
+    if isinstance(want, T.IntegerType) and isinstance(have, T.LongType):
+        good = value.between(-(2**31), 2**31 - 1)
+    elif isinstance(want, _WHOLE) and isinstance(have, _FRACTIONS):
+        limit = _RANGES[type(want)]
+        number = value.cast("double")
+        good = (value == F.rint(number)) & (number >= -limit) & (number < limit)
+    else:
+        return value.cast(want)
+    said = F.concat(F.lit(f"{name} cannot be a whole number: "), value.cast("string"))
+    return F.when(value.isNull() | good, value).otherwise(F.raise_error(said).cast(have)).cast(want)
+
 
 @dataclass(frozen=True)
 class Table:
@@ -40,18 +59,28 @@ class Table:
     def location(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.folder}"
 
+    def wide(self, held: DataFrame) -> T.StructType:
+        """To read files with: whole numbers as wide as any, fractions as they are."""
+        fractions = {f.name: f.dataType for f in held.schema if isinstance(f.dataType, _FRACTIONS)}
+        fields = [
+            T.StructField(f.name, fractions.get(f.name, T.LongType()) if isinstance(f.dataType, _WHOLE) else f.dataType)
+            for f in self.struct
+        ]
+        return T.StructType(fields)
+
     def conform(self, df: DataFrame) -> DataFrame:
         """Exactly the table's columns, in order, in the table's types.
 
         A column that already has its type is passed through bare, so filters
-        on it still reach the files.
+        on it still reach the files. A fraction, or a number out of range, under a
+        whole-number column is an error.
         """
         have = {field.name: field.dataType for field in df.schema}
         return df.select(
             *[
                 F.col(field.name)
                 if have.get(field.name) == field.dataType
-                else F.col(field.name).cast(field.dataType).alias(field.name)
+                else _narrowed(field.name, have.get(field.name), field.dataType).alias(field.name)
                 for field in self.struct
             ]
         )

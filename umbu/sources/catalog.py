@@ -11,6 +11,11 @@ from umbu.schemas import LAYERS, LOAD_DATE, Table
 from umbu.sources.loads import load_path
 
 
+def _text(value: str) -> str:
+    """A string literal of SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_name(table: Table, prefix: str = "") -> str:
     return f"`{prefix}{table.layer}`.`{table.name}`"
 
@@ -20,7 +25,7 @@ def create_databases(spark: SparkSession, root: str, prefix: str = "") -> None:
     for layer in LAYERS:
         spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{prefix}{layer}`"
-            f" LOCATION '{root.rstrip('/')}/{layer}'"
+            f" LOCATION {_text(f"{root.rstrip('/')}/{layer}")}"
         )
 
 
@@ -29,7 +34,7 @@ def create_table(spark: SparkSession, root: str, table: Table, prefix: str = "")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table_name(table, prefix)}"
         f" ({table.ddl}, {LOAD_DATE} string) USING parquet"
-        f" PARTITIONED BY ({LOAD_DATE}) LOCATION '{table.location(root)}'"
+        f" PARTITIONED BY ({LOAD_DATE}) LOCATION {_text(table.location(root))}"
     )
 
 
@@ -38,7 +43,7 @@ def register_loads(
 ) -> None:
     """Add loads to the catalog in one request; loads it has are left alone."""
     partitions = " ".join(
-        f"PARTITION ({LOAD_DATE}='{load_date(d)}') LOCATION '{load_path(root, table, d)}'"
+        f"PARTITION ({LOAD_DATE}='{load_date(d)}') LOCATION {_text(load_path(root, table, d))}"
         for d in dates
     )
     spark.sql(f"ALTER TABLE {table_name(table, prefix)} ADD IF NOT EXISTS {partitions}")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -25,19 +24,11 @@ class LoadReport:
     columns: tuple[tuple[str, str], ...]
 
 
-# A bitmap aggregate has this many places: days counted from the first load.
-_BITMAP_DAYS = 32_768
-
-
-def _days_seen(first: str) -> Column:
-    """Bitmap of the load dates that occur, one place per day."""
-    day = F.datediff(F.col(LOAD_DATE).cast("date"), F.lit(first).cast("date"))
-    return F.bitmap_construct_agg(F.when(day.between(0, _BITMAP_DAYS - 1), day))
-
-
-def _in_bitmap(bits: bytes, first: str, day: str) -> bool:
-    place = (date.fromisoformat(day) - date.fromisoformat(first)).days
-    return bool(bits[place // 8] >> place % 8 & 1)
+def _listed(dates: Sequence[str]) -> Column:
+    """The row's load date; a row of no load or of an unlisted one fails its task."""
+    day = F.col(LOAD_DATE)
+    said = F.concat(F.lit("a row of load "), F.coalesce(day, F.lit("null")), F.lit(" is not to be written"))
+    return F.when(day.isin(dates), day).otherwise(F.raise_error(said).cast("string"))
 
 
 def load_path(root: str, table: Table, day: str) -> str:
@@ -56,27 +47,57 @@ def read_loads(
     """All Parquet files of one or more loads.
 
     Only the folders of these loads are listed, whatever else the table holds.
-    A load without Parquet files raises ``FileNotFoundError``. Types are taken
-    from the files and cast, so loads with wider integers can be read too.
+    Any load without Parquet files raises ``FileNotFoundError``. Whole numbers are
+    read as wide ones and narrowed with a check, so that loads of either width can
+    be read together.
     """
     dates = [dates] if isinstance(dates, str) else list(dates)
+    paths = [load_path(root, table, day) for day in dates]
     reader = spark.read.option("basePath", table.location(root)).option(
         "pathGlobFilter", "*.parquet"
     )
     try:
-        df = reader.parquet(*[load_path(root, table, day) for day in dates])
+        held = reader.parquet(*paths)
+        files = reader.format("binaryFile").load(paths).select(F.col(LOAD_DATE).cast("string"))
+        there = {row[0] for row in files.distinct().collect()}
     except AnalysisException as problem:
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(
                 f"no Parquet file for {table.layer}.{table.name}, load {', '.join(dates)}"
             ) from problem
         raise
-    return table.conform(df)
+    if absent := sorted({load_date(day) for day in dates} - there):
+        raise FileNotFoundError(
+            f"no Parquet file for {table.layer}.{table.name}, load {', '.join(absent)}"
+        )
+    return _read(reader.format("parquet"), paths, held, table)
+
+
+def _read(reader, paths: list[str], held: DataFrame, table: Table) -> DataFrame:
+    """The files with the table's columns, which must be among those they hold."""
+    if absent := [name for name, _ in table.columns if name not in held.columns]:
+        raise ValueError(f"{table.layer}.{table.name}: the files have no {', '.join(absent)}")
+    return table.conform(reader.schema(table.wide(held)).load(paths))
+
+
+def held_loads(spark: SparkSession, root: str, table: Table) -> set[str]:
+    """The load dates of which the table's folder holds Parquet files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    try:
+        found = files.load(table.location(root))
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return set()
+        raise
+    if LOAD_DATE not in found.columns:
+        return set()
+    return {row[0] for row in found.select(F.col(LOAD_DATE).cast("string")).distinct().collect()}
 
 
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     """Every load of a table; a filter on the load date prunes folders."""
-    return table.conform(spark.read.parquet(table.location(root)))
+    place = table.location(root)
+    return _read(spark.read.format("parquet"), [place], spark.read.parquet(place), table)
 
 
 def write_loads(
@@ -87,30 +108,31 @@ def write_loads(
     keep_empty: bool = False,
     clustered: bool = False,
 ) -> LoadReport:
-    """Replace the loads that occur in the frame; other loads stay as they are.
+    """Replace the listed loads that occur in the frame; other loads stay as they are.
 
-    The write itself counts rows and notes their load dates, so nothing is
-    computed twice to find out whether a load is empty. A load without rows
-    replaces nothing, unless ``keep_empty``: then it becomes an empty load.
+    A row whose load date is null or not listed fails the write before anything is
+    replaced. The write itself counts rows and notes their load dates, so nothing is
+    computed twice to find out whether a load is empty. A load without rows replaces
+    nothing, unless ``keep_empty``: then it becomes an empty load, written apart.
 
     Rows of several loads are first brought together by load, in even parts, to
     spare small files. One load needs no such shuffle, nor do rows that are
     ``clustered``: read from the files of their loads and not shuffled since.
     """
     dates = sorted({load_date(d) for d in ([dates] if isinstance(dates, str) else dates)})
-    out = table.conform(df)
+    out = table.conform(df).withColumn(LOAD_DATE, _listed(dates))
     if len(dates) > 1 and not clustered:
         out = out.hint("rebalance", LOAD_DATE)
     seen = Observation()
     (
-        out.observe(seen, F.count(F.lit(1)).alias("rows"), _days_seen(dates[0]).alias("days"))
+        out.observe(seen, F.count(F.lit(1)).alias("rows"), F.collect_set(LOAD_DATE).alias("days"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(LOAD_DATE)
         .parquet(table.location(root))
     )
     found = seen.get
-    loads = [d for d in dates if found["rows"] and _in_bitmap(found["days"], dates[0], d)]
+    loads = sorted(found["days"] or [])
     if keep_empty:
         nothing = table.conform(df.limit(0)).drop(LOAD_DATE)
         for day in sorted({*dates} - {*loads}):

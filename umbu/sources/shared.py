@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,6 +20,6 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     shared = spark.conf.get(SETTING, None)
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         return tempfile.mkdtemp(prefix=f"umbu-{purpose}-")
     raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
