@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from umbu.llm.tables import keep, table
+from umbu.llm.tables import about, keep, table
 
 NEIGHBOURS = 48
 TREES = 8
@@ -234,8 +234,7 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Neighbour graph: each node's vector, nearest nodes and their similarities."""
     spark = nodes.sparkSession
     count = nodes.count()
-    sample = nodes.select(F.xxhash64("embedding").alias("h"), "embedding").orderBy("h").limit(SAMPLE)
-    held = [r["embedding"] for r in sample.collect()]
+    held = [r["embedding"] for r in about(nodes.select("embedding"), SAMPLE, count, "embedding").collect()]
     forest = spark.sparkContext.broadcast(Forest(_unit(np.array(held)) if held else np.zeros((0, 1), np.float32), count))
     parts = max(1, -(-count // PART_NODES))
 

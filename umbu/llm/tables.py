@@ -31,6 +31,15 @@ def text_hash(text: str | Column = "text") -> Column:
     return F.xxhash64(text).alias("text_hash")
 
 
+def about(df: DataFrame, rows: int, of: int, *names: str) -> DataFrame:
+    """Some ``rows`` of the ``of`` rows of a frame, chosen by a hash of the columns.
+
+    Tasks choose by themselves, so that no more than the sample reaches the driver.
+    """
+    share = F.lit(int(min(1.0, 1.2 * rows / max(1, of)) * (1 << 31)))
+    return df.where(F.pmod(F.xxhash64(*names), F.lit(1 << 31)) < share).limit(rows)
+
+
 def if_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a kept frame for broadcast if it has few rows; counting reads footers."""
     return F.broadcast(side) if side.count() <= rows else side

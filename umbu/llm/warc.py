@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbu.llm.tables import if_small, keep, table
+from umbu.llm.tables import about, if_small, keep, table
 from umbu.sources.shared import scratch_folder
 
 # Fixed values of the formats.
@@ -33,7 +33,7 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 ARCHIVE_BYTES = 64 << 20
-# The dictionary is trained on the starts of so many pages.
+# The dictionary is trained on the starts of at most so many pages.
 SAMPLE_PAGES, SAMPLE_CHARS, DICTIONARY_BYTES = 256, 16_384, 64 << 10
 CRAWL_DATE = "2025-01-01T00:00:00Z"
 _READ = 1 << 20
@@ -136,12 +136,9 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     groups = if_small(keep(groups.where("n > 1").drop("n"), "equal-payloads"))
     refers_to = F.when(~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
     rows = rows.join(groups, "sha1", "left").select("page_id", "url", "html", refers_to.alias("refers_to"))
-    first = (
-        pages.where("html is not null")
-        .select(F.xxhash64("page_id", "url").alias("h"), F.substring("html", 1, SAMPLE_CHARS).alias("s"))
-        .orderBy("h", "s").limit(SAMPLE_PAGES)
-    )
-    dictionary = train_dictionary([r["s"].encode() for r in first.collect()])
+    start = F.coalesce(F.substring("html", 1, SAMPLE_CHARS), F.lit("")).alias("start")
+    some = about(pages.select("page_id", "url", start), SAMPLE_PAGES, pages.count(), "page_id", "url")
+    dictionary = train_dictionary([r["start"].encode() for r in some.collect()])
     return keep(rows.mapInArrow(_writer(folder, dictionary), "path string"), "archives")
 
 
