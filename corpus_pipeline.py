@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from umbu.llm.decontamination import drop_contaminated
 from umbu.llm.language_id import drop_rejected
@@ -19,8 +20,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are like an earlier one go; every document stays."""
-    return dedup_lines(docs)
+    """Lines that are like an earlier one go, and with them documents of no others."""
+    return dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
