@@ -10,12 +10,13 @@ from umbu.llm.language_id import drop_rejected
 from umbu.llm.line_dedup import dedup_lines
 from umbu.llm.near_duplicates import drop_near_duplicates
 from umbu.llm.packing import pack
-from umbu.llm.tables import keep, table
+from umbu.llm.tables import importable, keep, table
 from umbu.queries.registry import Query
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of no known language, or without text, go."""
+    importable(spark)
     return drop_rejected(docs)
 
 
