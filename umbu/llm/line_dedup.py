@@ -42,7 +42,7 @@ CELL_LINES = 1 << 17
 _SET = ["sid", "bits", "more_bits", "size"]
 _LINES = (
     "doc_id bigint, text_hash bigint, line int, sid bigint, bits bigint, more_bits bigint, size int,"
-    " skip int, tokens array<int>, cells array<int>"
+    " skip int, tokens array<bigint>, most_cells int"
 )
 _NO_ID = (1 << 63) - 1
 
@@ -109,8 +109,9 @@ def _line_sets(counts, threshold: Fraction):
                 place = np.arange(len(h)) - np.repeat(heads, size)
                 prefix = size - (num * size + den - 1) // den + 1
                 used = (place < np.repeat(prefix, size)) & ~alone
-                cells = 1 + often[bucket[order]][used] // CELL_LINES
-                tokens = (h[used] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                cells = 1 + often[bucket[order]] // CELL_LINES
+                tokens = (cells[used] << 32) | (h[used] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                most_cells = np.maximum.reduceat(np.where(used, cells, 1), heads)
                 n_tokens = np.add.reduceat(used.astype(np.int64), heads)
                 bounds = pa.array(np.append(0, np.cumsum(n_tokens)).astype(np.int32))
                 first = order[heads]
@@ -127,9 +128,9 @@ def _line_sets(counts, threshold: Fraction):
                         pa.array(size.astype(np.int32)),
                         pa.array((prefix - n_tokens).astype(np.int32)),
                         pa.ListArray.from_arrays(bounds, pa.array(tokens)),
-                        pa.ListArray.from_arrays(bounds, pa.array(cells.astype(np.int32))),
+                        pa.array(most_cells.astype(np.int32)),
                     ],
-                    names=["doc_id", "text_hash", "line", *_SET, "skip", "tokens", "cells"],
+                    names=["doc_id", "text_hash", "line", *_SET, "skip", "tokens", "most_cells"],
                 )
 
     return run
@@ -285,17 +286,20 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     lines = keep(line_sets(docs, threshold), "lines")
     place = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "line", "text_hash")
     sets = lines.groupBy(*_SET).agg(
-        F.min(place).alias("first"), F.first(F.struct("skip", "tokens", "cells")).alias("prefix")
+        F.min(place).alias("first"), F.first(F.struct("skip", "tokens")).alias("prefix"),
+        F.max("most_cells").alias("most_cells"),
     )
     sets = keep(sets.withColumn("n", F.monotonically_increasing_id()), "line-sets")
-    words = F.posexplode(F.arrays_zip("prefix.tokens", "prefix.cells")).alias("at", "word")
-    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", words).select(
-        F.col("word.tokens").alias("token"), F.col("word.cells").alias("cells"),
-        "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
+    # A word and, in its upper half, the number of cells of its list.
+    word = F.posexplode("prefix.tokens").alias("at", "word")
+    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", "most_cells", word).select(
+        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).cast("int").alias("cells"),
+        "most_cells", "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
     )
-
+    whole = postings.where("most_cells = 1").withColumns({"cell": F.lit(0), "role": F.lit(_BOTH)})
     ordered = (
-        _celled(postings).repartition("token", "cell")
+        whole.select(*_POSTING).unionByName(_celled(postings.where("most_cells > 1")))
+        .repartition("token", "cell")
         .sortWithinPartitions("token", "cell", "doc", "line", "n")
     )
     found = ordered.mapInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
@@ -313,7 +317,7 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     firsts = sets.select("n", *_SET, "first").join(later.withColumn("later", F.lit(True)), "n", "left")
     gone = F.coalesce("later", F.lit(False)) | (place != F.col("first"))
     return (
-        lines.drop("skip", "tokens", "cells")
+        lines.drop("skip", "tokens", "most_cells")
         .join(firsts.drop("n"), _SET)
         .where(gone)
         .groupBy("doc_id", "text_hash")
