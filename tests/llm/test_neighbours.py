@@ -59,6 +59,17 @@ def test_graph_of_many_leaves(spark, tmp_path, monkeypatch):
     assert compare(neighbours.op5_nn_descent(spark, str(tmp_path)), want) >= 0.9
 
 
+def test_leaves_that_the_sample_cannot_divide(spark, monkeypatch):
+    """Neighbours are found whatever the residue of their node."""
+    for name, value in (("LEAF", 100), ("PART_NODES", 300), ("SAMPLE", 64)):
+        monkeypatch.setattr(neighbours, name, value)
+    random = np.random.default_rng(5)
+    rows = [(i, random.normal(size=16).astype(np.float32).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = neighbours.search(df, df.where("vec_id % 50 = 0"), 5)
+    assert compare(found, brute_force(rows)) >= 0.9
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_few(spark, n):
     df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id bigint, embedding array<float>")

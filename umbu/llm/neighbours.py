@@ -41,8 +41,6 @@ class Forest:
         self.depth, self.trees = 0, []
         while nodes > LEAF << self.depth and len(sample) >> (self.depth + 1) >= SAMPLE_LEAF:
             self.depth += 1
-        # What the sample cannot divide any further is divided by hash.
-        self.salts = max(1, -(-nodes // (LEAF << self.depth)))
         for _ in range(TREES if nodes > LEAF else 1):
             directions = np.zeros((1 << self.depth, sample.shape[1] if len(sample) else 0), np.float32)
             cuts = np.zeros(1 << self.depth, np.float32)
@@ -56,14 +54,14 @@ class Forest:
                 at[mine] = 2 * node + (along > cuts[node])
             self.trees.append((directions, cuts))
 
-    def leaves(self, x: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    def leaves(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each vector in each tree."""
         out = []
         for number, (directions, cuts) in enumerate(self.trees):
             at = np.ones(len(x), dtype=np.int64)
             for _ in range(self.depth):
                 at = 2 * at + ((x * directions[at]).sum(axis=1) > cuts[at])
-            out.append((at * len(self.trees) + number) * self.salts + ids % self.salts)
+            out.append(at * len(self.trees) + number)
         return np.stack(out, axis=1)
 
 
@@ -115,25 +113,47 @@ def _found(v, w, s) -> pa.Table:
     return pa.table({"node": pa.array(nodes, pa.int64()), "near": pa.array(near, pa.binary()), "sims": pa.array(sims, pa.binary())})
 
 
-def _leaf_neighbours(group):
-    """Exact neighbours inside a leaf."""
-    ids = group.column("node").to_numpy()
-    x = _matrix(group.column("vec"))
-    v, w, s = [], [], []
-    for at in range(0, len(ids), 256):
-        sims = x[at : at + 256] @ x.T
-        rows = np.arange(len(sims))
-        sims[rows, at + rows] = -2
-        k = min(NEIGHBOURS // 2, len(ids) - 1)
-        if not k:
+def _halved(x: np.ndarray, most: int, random: np.random.Generator) -> list[np.ndarray]:
+    """Rows of a leaf in parts of at most ``most``, by further random projections."""
+    todo, out = [np.arange(len(x))], []
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= most:
+            out.append(rows)
             continue
-        top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        v.append(np.repeat(ids[at : at + 256], k))
-        w.append(ids[top].ravel())
-        s.append(np.take_along_axis(sims, top, axis=1).ravel())
-    if not v:
-        return _found(*[np.zeros(0)] * 3)
-    return _found(*_best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS))
+        a, b = x[random.choice(rows, 2, replace=False)]
+        order = np.argpartition(x[rows] @ (a - b), len(rows) // 2)
+        todo += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
+    return out
+
+
+def _leaf_neighbours(leaf: int):
+    """Exact neighbours inside a leaf.
+
+    What the sample could not divide is divided here, in each tree in its own way.
+    """
+
+    def run(key, group):
+        group = group.sort_by("node")
+        every = group.column("node").to_numpy()
+        vectors = _matrix(group.column("vec"))
+        v, w, s = [], [], []
+        for part in _halved(vectors, 2 * leaf, np.random.default_rng(key[0].as_py())):
+            ids, x = every[part], vectors[part]
+            k = min(NEIGHBOURS // 2, len(ids) - 1)
+            for at in range(0, len(ids) if k else 0, 256):
+                sims = x[at : at + 256] @ x.T
+                rows = np.arange(len(sims))
+                sims[rows, at + rows] = -2
+                top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+                v.append(np.repeat(ids[at : at + 256], k))
+                w.append(ids[top].ravel())
+                s.append(np.take_along_axis(sims, top, axis=1).ravel())
+        if not v:
+            return _found(*[np.zeros(0)] * 3)
+        return _found(*_best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS))
+
+    return run
 
 
 def _merged(state, found):
@@ -237,6 +257,8 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     held = [r["embedding"] for r in about(nodes.select("embedding"), SAMPLE, count, "embedding").collect()]
     forest = spark.sparkContext.broadcast(Forest(_unit(np.array(held)) if held else np.zeros((0, 1), np.float32), count))
     parts = max(1, -(-count // PART_NODES))
+    # Blocks only say which lists are compared in one task, so large ones may be cut by hash.
+    salts = max(1, -(-count // (LEAF << forest.value.depth)))
 
     def place(batches):
         for batch in batches:
@@ -244,12 +266,12 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 continue
             ids = batch.column(0).to_numpy()
             x = _unit(np.stack([np.array(v) for v in batch.column(1).to_pylist()]))
-            leaves = forest.value.leaves(x, ids)
+            leaves = forest.value.leaves(x)
             none = pa.array([b""] * len(ids), pa.binary())
             yield pa.RecordBatch.from_pydict(
                 {
                     "node": pa.array(ids),
-                    "block": pa.array(leaves[:, 0]), "vec": pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()),
+                    "block": pa.array(leaves[:, 0] * salts + ids % salts), "vec": pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()),
                     "near": none, "sims": none, "least": pa.array(np.full(len(ids), -2, np.float32)),
                     "leaves": pa.array(list(leaves), pa.list_(pa.int64())),
                 }
@@ -257,7 +279,7 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     state = keep(nodes.select("node", "embedding").mapInArrow(place, _STATE + ", leaves array<bigint>"), "placed")
     leaf = state.select("node", "vec", F.explode("leaves").alias("leaf"))
-    found = leaf.groupBy("leaf").applyInArrow(_leaf_neighbours, _FOUND)
+    found = leaf.groupBy("leaf").applyInArrow(_leaf_neighbours(LEAF), _FOUND)
     state = _merge(state.drop("leaves"), found, parts)
     for _ in range(rounds):
         turned = state.select("node", "near", "sims").mapInArrow(_reverse, "node bigint, other bigint")
