@@ -70,6 +70,34 @@ def test_leaves_that_the_sample_cannot_divide(spark, monkeypatch):
     assert compare(found, brute_force(rows)) >= 0.9
 
 
+def test_near_and_scaled_copies(spark):
+    """Thousands of vectors that half precision cannot tell apart, and multiples of one."""
+    random = np.random.default_rng(6)
+    centre = random.normal(size=64) / 8
+    near = (centre + 0.0004 * random.normal(size=(2500, 64))).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(near)]
+    # Few enough bits for exact multiples.
+    one = (random.integers(-99, 99, size=64) / 64).tolist()
+    rows += [(5000 + (i * 37) % 400, [x * (i + 1) for x in one]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = neighbours.search(df, df.where("vec_id % 50 = 0"), 5).collect()
+    ids = np.array([i for i, _ in rows])
+    x = np.array([v for _, v in rows], dtype=np.float32).astype(np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    got, hits, asked = {}, 0, 0
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for q in ids[ids % 50 == 0].tolist():
+        if q >= 5000:
+            assert got[q] == [i for i in range(5000, 5006) if i != q][:5]
+            continue
+        sims = x @ x[ids == q][0]
+        sims[ids == q] = -2
+        hits += len({*got[q]} & {*ids[np.argsort(-sims)[:5]].tolist()})
+        asked += 5
+    assert hits / asked >= 0.9
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_few(spark, n):
     df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id bigint, embedding array<float>")

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search.
 
-Equal vectors are one node. The neighbour graph begins with exact neighbours inside
+Vectors of one direction are one node. The neighbour graph begins with exact neighbours inside
 the leaves of a few random-projection trees, which are grown on a bounded sample.
 Every round joins neighbours of neighbours: for each node its neighbours and some of
 the nodes it is a neighbour of are compared with each other, and each keeps the
@@ -8,7 +8,9 @@ nearest it has met. Nodes of one leaf are handled together, so that a vector the
 all need is sent once. A query starts from its node's neighbours and opens the
 nearest nodes of its pool until they are all open.
 
-Vectors travel in half precision; the nearest found are scored on the originals.
+Vectors travel and are compared in double precision, since near copies differ by less
+than a shorter one can tell. Of what a query met, all that may be among the nearest
+within the error of a product are scored again.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ HOPS = 4
 # Trees are grown on so many vectors, with so many at least on either side.
 SAMPLE, SAMPLE_LEAF = 16_384, 16
 PART_NODES, QUERY_BLOCK = 4096, 256
+# A task that compares lists thins out the pairs it has met after so many.
+HELD_PAIRS = 2_000_000
 
-_STATE = "node bigint, block bigint, vec binary, near binary, sims binary, least float"
+_STATE = "node bigint, block bigint, vec binary, near binary, sims binary, least double"
 
 
 class Forest:
@@ -42,8 +46,8 @@ class Forest:
         while nodes > LEAF << self.depth and len(sample) >> (self.depth + 1) >= SAMPLE_LEAF:
             self.depth += 1
         for _ in range(TREES if nodes > LEAF else 1):
-            directions = np.zeros((1 << self.depth, sample.shape[1] if len(sample) else 0), np.float32)
-            cuts = np.zeros(1 << self.depth, np.float32)
+            directions = np.zeros((1 << self.depth, sample.shape[1] if len(sample) else 0))
+            cuts = np.zeros(1 << self.depth)
             at = np.ones(len(sample), dtype=np.int64)
             for node in range(1, 1 << self.depth):
                 mine = np.flatnonzero(at == node)
@@ -65,15 +69,14 @@ class Forest:
         return np.stack(out, axis=1)
 
 
-def _matrix(blobs: pa.Array, kind=np.float16) -> np.ndarray:
-    rows = [np.frombuffer(b, kind) for b in blobs.to_pylist()]
-    return np.stack(rows).astype(np.float32) if rows else np.zeros((0, 0), np.float32)
+def _matrix(blobs: pa.Array) -> np.ndarray:
+    rows = [np.frombuffer(b, np.float64) for b in blobs.to_pylist()]
+    return np.stack(rows) if rows else np.zeros((0, 0))
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x.astype(np.float64)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _best(v: np.ndarray, w: np.ndarray, s: np.ndarray, k: int):
@@ -93,15 +96,15 @@ def _best(v: np.ndarray, w: np.ndarray, s: np.ndarray, k: int):
 def _lists(v, w, s) -> tuple[np.ndarray, list[bytes], list[bytes]]:
     head = np.flatnonzero(np.append(True, v[1:] != v[:-1])[: len(v)])
     ends = np.append(head, len(v))[1:]
-    w, s = w.astype(np.int64), s.astype(np.float32)
+    w, s = w.astype(np.int64), s.astype(np.float64)
     return v[head], [w[a:b].tobytes() for a, b in zip(head, ends)], [s[a:b].tobytes() for a, b in zip(head, ends)]
 
 
 def _flat(nodes: np.ndarray, near: pa.Array, sims: pa.Array):
     w = [np.frombuffer(b, np.int64) for b in near.to_pylist()]
-    s = [np.frombuffer(b, np.float32) for b in sims.to_pylist()]
+    s = [np.frombuffer(b, np.float64) for b in sims.to_pylist()]
     v = np.repeat(nodes, [len(x) for x in w])
-    none = [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    none = [np.zeros(0, np.int64)], [np.zeros(0)]
     return v.astype(np.int64), np.concatenate(w or none[0]), np.concatenate(s or none[1])
 
 
@@ -167,12 +170,12 @@ def _merged(state, found):
     at = [place.get(n) for n in nodes.tolist()]
     near = [b"" if i is None else near[i] for i in at]
     sims = [b"" if i is None else sims[i] for i in at]
-    least = [np.frombuffer(x, np.float32)[-1] if len(x) == 4 * NEIGHBOURS else -2.0 for x in sims]
+    least = [np.frombuffer(x, np.float64)[-1] if len(x) == 8 * NEIGHBOURS else -2.0 for x in sims]
     return pa.table(
         {
             **{n: state.column(n) for n in ("node", "block", "vec")},
             "near": pa.array(near, pa.binary()), "sims": pa.array(sims, pa.binary()),
-            "least": pa.array(least, pa.float32()),
+            "least": pa.array(least, pa.float64()),
         }
     )
 
@@ -216,7 +219,7 @@ def _local_join(lists, vectors):
     order = np.argsort(ids)
     ids, x = ids[order], _matrix(vectors.column("vec"))[order]
     least = vectors.column("least").to_numpy()[order]
-    v, w, s = [], [], []
+    v, w, s, held = [], [], [], 0
     for blob in lists.column("near").to_pylist():
         at = np.searchsorted(ids, np.frombuffer(blob, np.int64))
         sims = x[at] @ x[at].T
@@ -226,12 +229,28 @@ def _local_join(lists, vectors):
         v.append(at[a])
         w.append(at[b])
         s.append(sims[a, b])
+        held += len(a)
+        if held > HELD_PAIRS:
+            v, w, s = [[x] for x in _best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS)]
+            held = 0
     v, w, s = _best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS)
     return _found(ids[v], ids[w], s)
 
 
+def direction(vector: str | Column = "embedding") -> Column:
+    """An array of doubles over its largest absolute component; 0 has one sign.
+
+    A zero vector gives nulls.
+    """
+    largest = F.array_max(F.transform(vector, F.abs))
+    return F.transform(vector, lambda x: F.try_divide(x, largest) + F.lit(0.0))
+
+
 def prepare(vectors: DataFrame, results: int) -> DataFrame:
-    """One row per different vector that can be compared, with its smallest ids.
+    """One row per different direction that can be compared, with its smallest ids.
+
+    ``embedding`` is divided by its largest component: quotients are rounded from the
+    exact ones, so that vectors which are exact multiples are equal then.
 
     Null, zero and empty vectors, those with null or non-finite components, those
     of another length than most, and rows without vec_id take no part.
@@ -243,6 +262,7 @@ def prepare(vectors: DataFrame, results: int) -> DataFrame:
     rows = rows.where(good).where(F.exists("embedding", lambda x: x != 0))
     sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     rows = rows.where(F.size("embedding") == F.lit(sizes["n"] if sizes else 0))
+    rows = rows.withColumn("embedding", direction())
     few = lambda ids: F.slice(F.array_sort(ids), 1, results + 1)
     salted = rows.groupBy("embedding", F.pmod(F.xxhash64("vec_id"), F.lit(256)).alias("salt"))
     grouped = salted.agg(few(F.collect_list("vec_id")).alias("ids")).groupBy("embedding")
@@ -255,7 +275,7 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     spark = nodes.sparkSession
     count = nodes.count()
     held = [r["embedding"] for r in about(nodes.select("embedding"), SAMPLE, count, "embedding").collect()]
-    forest = spark.sparkContext.broadcast(Forest(_unit(np.array(held)) if held else np.zeros((0, 1), np.float32), count))
+    forest = spark.sparkContext.broadcast(Forest(_unit(np.array(held)) if held else np.zeros((0, 1)), count))
     parts = max(1, -(-count // PART_NODES))
     # Blocks only say which lists are compared in one task, so large ones may be cut by hash.
     salts = max(1, -(-count // (LEAF << forest.value.depth)))
@@ -271,8 +291,8 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             yield pa.RecordBatch.from_pydict(
                 {
                     "node": pa.array(ids),
-                    "block": pa.array(leaves[:, 0] * salts + ids % salts), "vec": pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()),
-                    "near": none, "sims": none, "least": pa.array(np.full(len(ids), -2, np.float32)),
+                    "block": pa.array(leaves[:, 0] * salts + ids % salts), "vec": pa.array([r.tobytes() for r in x], pa.binary()),
+                    "near": none, "sims": none, "least": pa.array(np.full(len(ids), -2.0)),
                     "leaves": pa.array(list(leaves), pa.list_(pa.int64())),
                 }
             )
@@ -334,7 +354,7 @@ def _widened(pools, met):
     vectors = met.filter(pa.array(is_vector))
     ids = vectors.column("node").to_numpy()
     order = np.argsort(ids)
-    ids, x = ids[order], _matrix(vectors.column("vec"))[order] if len(ids) else np.zeros((0, 1), np.float32)
+    ids, x = ids[order], _matrix(vectors.column("vec"))[order] if len(ids) else np.zeros((0, 1))
     lists = met.filter(pa.array(~is_vector))
     reached: dict[int, list[np.ndarray]] = {}
     for query, near in zip(lists.column("query").to_pylist(), lists.column("near").to_pylist()):
@@ -344,13 +364,13 @@ def _widened(pools, met):
     for i, (query, near, sims, opened) in enumerate(
         zip(*[pools.column(n).to_pylist() for n in ("node", "near", "sims", "open")])
     ):
-        w, s = np.frombuffer(near, np.int64), np.frombuffer(sims, np.float32)
+        w, s = np.frombuffer(near, np.int64), np.frombuffer(sims, np.float64)
         o = np.frombuffer(opened, np.bool_).copy()
         o[:POOL] = True
         fresh = np.setdiff1d(np.concatenate(reached.get(query, [np.zeros(0, np.int64)])), np.append(w, query))
         if len(fresh):
             new = x[np.searchsorted(ids, fresh)] @ own[i]
-            w, s = np.append(w, fresh), np.append(s, new).astype(np.float32)
+            w, s = np.append(w, fresh), np.append(s, new)
             o = np.append(o, np.zeros(len(fresh), bool))
             order = np.lexsort((w, -s))
             w, s, o = w[order], s[order], o[order]
@@ -392,12 +412,20 @@ def greedy_search(graph: DataFrame, queries: DataFrame, hops: int = HOPS) -> Dat
 
 
 def _nearest(n: int):
+    """Of each pool the n nearest, and all others that may be as near."""
+
     def run(batches):
         for batch in batches:
-            w = [np.frombuffer(b, np.int64)[:n] for b in batch.column(1).to_pylist()]
+            query, vec, near, sims = batch.columns
+            w = []
+            for own, a, b in zip(vec.to_pylist(), near.to_pylist(), sims.to_pylist()):
+                s = np.frombuffer(b, np.float64)
+                # Products of unit vectors, here and in the score, are wrong by less than that.
+                error = (len(own) // 8 + 8) * 4 * np.finfo(np.float64).eps
+                w.append(np.frombuffer(a, np.int64)[s >= s[min(n, len(s)) - 1] - error] if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_pydict(
                 {
-                    "query_node": pa.array(np.repeat(batch.column(0).to_numpy(), [len(x) for x in w])),
+                    "query_node": pa.array(np.repeat(query.to_numpy(), [len(x) for x in w])),
                     "node": pa.array(np.concatenate(w or [np.zeros(0, np.int64)])),
                 }
             )
@@ -417,18 +445,18 @@ def search(vectors: DataFrame, queries: DataFrame, results: int) -> DataFrame:
 
     ``queries`` are rows of ``vectors``. Candidates are all other rows that can be
     compared (see ``prepare``); ties go to the smaller vec_id. Queries that cannot
-    be compared have no rows. Equal vectors are found together: of each, the
-    smallest ids are enough. An empty table gives no rows.
+    be compared have no rows. Vectors of one direction are found together:
+    of each, the smallest ids are enough. An empty table gives no rows.
     """
     nodes = prepare(vectors, results)
     graph = build_graph(nodes)
     asked = queries.select(
-        F.col("vec_id").cast("bigint").alias("query_id"), F.col("embedding").cast("array<double>").alias("embedding")
+        F.col("vec_id").cast("bigint").alias("query_id"), direction(F.col("embedding").cast("array<double>")).alias("embedding")
     )
     asked = asked.join(nodes.select("embedding", "node"), "embedding").select("query_id", F.col("node").alias("query_node"))
     asked = keep(asked.where("query_id is not null"), "queries")
     pools = greedy_search(graph, asked.select(F.col("query_node").alias("node")).distinct())
-    pairs = pools.select("node", "near").mapInArrow(_nearest(3 * results), "query_node bigint, node bigint")
+    pairs = pools.select("node", "vec", "near", "sims").mapInArrow(_nearest(results), "query_node bigint, node bigint")
     pairs = pairs.union(pools.select("node", "node"))
     near = pairs.join(nodes, "node").select("query_node", "ids", F.col("embedding").alias("theirs"))
     own = nodes.select(F.col("node").alias("query_node"), F.col("embedding").alias("own"))
