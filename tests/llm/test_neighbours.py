@@ -98,6 +98,19 @@ def test_near_and_scaled_copies(spark):
     assert hits / asked >= 0.9
 
 
+def test_search_opens_all_of_a_pool(spark):
+    """Nodes in a row, each of which knows the next one only."""
+    angles = np.arange(20) / 20
+    x = np.stack([np.cos(angles), np.sin(angles)], axis=1)
+    rows = []
+    for i in range(20):
+        near = np.arange(i + 1, min(i + 2, 20))
+        rows.append((i, bytearray(x[i]), bytearray(near.astype(np.int64)), bytearray(x[near] @ x[i])))
+    graph = spark.createDataFrame(rows, "node bigint, vec binary, near binary, sims binary")
+    (pool,) = neighbours.greedy_search(graph, graph.where("node = 0")).collect()
+    assert np.frombuffer(pool["near"], np.int64).tolist() == list(range(1, 20))
+
+
 @pytest.mark.parametrize("n", [0, 1, 3])
 def test_few(spark, n):
     df = spark.createDataFrame([(50 * i, [1.0, float(i)]) for i in range(n)], "vec_id bigint, embedding array<float>")

@@ -4,7 +4,7 @@ Vectors of one direction are one node. The neighbour graph begins with exact nei
 the leaves of a few random-projection trees, which are grown on a bounded sample.
 Every round joins neighbours of neighbours: for each node its neighbours and some of
 the nodes it is a neighbour of are compared with each other, and each keeps the
-nearest it has met. Nodes of one leaf are handled together, so that a vector they
+nearest it has met, until a round changes few lists. Nodes of one leaf are handled together, so that a vector they
 all need is sent once. A query starts from its node's neighbours and opens the
 nearest nodes of its pool until they are all open.
 
@@ -25,16 +25,16 @@ from umbu.llm.tables import about, keep, table
 NEIGHBOURS = 48
 TREES = 8
 LEAF = 1024
-ROUNDS = 3
+# Rounds end when so small a share of all list entries is new.
+SETTLED = 0.001
 POOL = 40
-HOPS = 4
 # Trees are grown on so many vectors, with so many at least on either side.
 SAMPLE, SAMPLE_LEAF = 16_384, 16
 PART_NODES, QUERY_BLOCK = 4096, 256
 # A task that compares lists thins out the pairs it has met after so many.
 HELD_PAIRS = 2_000_000
 
-_STATE = "node bigint, block bigint, vec binary, near binary, sims binary, least double"
+_STATE = "node bigint, block bigint, vec binary, near binary, sims binary, least double, changed int"
 
 
 class Forest:
@@ -170,12 +170,14 @@ def _merged(state, found):
     at = [place.get(n) for n in nodes.tolist()]
     near = [b"" if i is None else near[i] for i in at]
     sims = [b"" if i is None else sims[i] for i in at]
+    known = [set(np.frombuffer(b, np.int64).tolist()) for b in state.column("near").to_pylist()]
+    changed = [sum(n not in k for n in np.frombuffer(b, np.int64).tolist()) for b, k in zip(near, known)]
     least = [np.frombuffer(x, np.float64)[-1] if len(x) == 8 * NEIGHBOURS else -2.0 for x in sims]
     return pa.table(
         {
             **{n: state.column(n) for n in ("node", "block", "vec")},
             "near": pa.array(near, pa.binary()), "sims": pa.array(sims, pa.binary()),
-            "least": pa.array(least, pa.float64()),
+            "least": pa.array(least, pa.float64()), "changed": pa.array(changed, pa.int32()),
         }
     )
 
@@ -270,8 +272,11 @@ def prepare(vectors: DataFrame, results: int) -> DataFrame:
     return keep(grouped.withColumn("node", F.monotonically_increasing_id()), "vectors")
 
 
-def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """Neighbour graph: each node's vector, nearest nodes and their similarities."""
+def build_graph(nodes: DataFrame) -> DataFrame:
+    """Neighbour graph: each node's vector, nearest nodes and their similarities.
+
+    Lists only get nearer, so the rounds end.
+    """
     spark = nodes.sparkSession
     count = nodes.count()
     held = [r["embedding"] for r in about(nodes.select("embedding"), SAMPLE, count, "embedding").collect()]
@@ -293,6 +298,7 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                     "node": pa.array(ids),
                     "block": pa.array(leaves[:, 0] * salts + ids % salts), "vec": pa.array([r.tobytes() for r in x], pa.binary()),
                     "near": none, "sims": none, "least": pa.array(np.full(len(ids), -2.0)),
+                    "changed": pa.array(np.zeros(len(ids), np.int32)),
                     "leaves": pa.array(list(leaves), pa.list_(pa.int64())),
                 }
             )
@@ -301,7 +307,8 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     leaf = state.select("node", "vec", F.explode("leaves").alias("leaf"))
     found = leaf.groupBy("leaf").applyInArrow(_leaf_neighbours(LEAF), _FOUND)
     state = _merge(state.drop("leaves"), found, parts)
-    for _ in range(rounds):
+    changed = count * NEIGHBOURS
+    while changed > SETTLED * count * NEIGHBOURS:
         turned = state.select("node", "near", "sims").mapInArrow(_reverse, "node bigint, other bigint")
         lists = _parted(state, parts).cogroup(_parted(turned, parts)).applyInArrow(
             _members, "block bigint, node bigint, near binary"
@@ -311,6 +318,7 @@ def build_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         sent = needed.join(state.select("node", "vec", "least"), "node")
         found = lists.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_local_join, _FOUND)
         state = _merge(state, found, parts)
+        changed = state.agg(F.sum("changed")).first()[0] or 0
     return state
 
 
@@ -386,14 +394,17 @@ def _widened(pools, met):
     )
 
 
-def greedy_search(graph: DataFrame, queries: DataFrame, hops: int = HOPS) -> DataFrame:
-    """Pools of the query nodes (column node): what a greedy search met, nearest first."""
+def greedy_search(graph: DataFrame, queries: DataFrame) -> DataFrame:
+    """Pools of the query nodes (column node): what a greedy search met, nearest first.
+
+    It ends when every pool's nearest ``POOL`` are open; no node is opened twice.
+    """
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block")
     shut = F.expr("unhex(repeat('00', cast(octet_length(near) / 8 as int)))").alias("open")
     pools = graph.join(queries.select("node"), "node", "left_semi").select("node", block, "vec", "near", "sims", shut)
     pools = keep(pools, "pools")
-    for _ in range(hops):
+    while True:
         front = pools.select("block", F.col("node").alias("query"), "near", "sims", "open")
         front = front.mapInArrow(_frontier, "block int, query bigint, node bigint")
         lists = front.join(graph.select("node", "near"), "node").select("block", "query", "near")
