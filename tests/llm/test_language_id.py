@@ -43,6 +43,13 @@ def test_languages_are_found_by_fused_evidence(spark):
     assert l.identify(spark.createDataFrame(data + odd, ROWS)).count() == len(data + odd)
 
 
+def test_unseen_trigrams_have_a_floor(spark):
+    """However many trigrams a language has."""
+    texts = spark.createDataFrame([("en", prose("en", i % 5) * 40) for i in range(200)], "declared string, text string")
+    model = l.trigram_model(texts, ["en"])
+    assert abs(model[:, 0].min() - (model[0, 1] - 0.6931)) < 1e-3
+
+
 def test_stage_and_empty(spark):
     docs = frame_of(spark, documents(1))
     left = l.drop_rejected(docs)

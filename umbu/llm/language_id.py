@@ -98,6 +98,7 @@ def trigram_model(rows: DataFrame, languages: Sequence[str]) -> np.ndarray:
     chances = np.log(counts / counts.sum(axis=1, keepdims=True))
     # No trigram counts less than half of the unknown's even chance.
     even = -TRIGRAM_BITS * np.log(2)
+    chances = np.maximum(chances, even - np.log(2))
     flat = np.full((1, counts.shape[1]), even)
     return np.ascontiguousarray(np.vstack([chances, flat]).T.astype(np.float32))
 
