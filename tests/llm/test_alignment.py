@@ -1,0 +1,132 @@
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+from tests.llm.samples import documents, empty, frame_of
+from umbu.llm import alignment
+
+HARD = [
+    "a", " ", "  ", "\n", "a  b", " a b ", "a \n b\n c", "\ta b 　c", "it's they'll we 've", "x\x00y \x1c z",
+    "naïve Straße 日本語 😀👍🏽 é ́x", "▁ under ▁x", "<s> </s> <0x41> <unk> <|endoftext|> x", "ﬁ ½ Å ​",
+    "a" * 3000, " " * 3000 + "b", "\n" * 2500, "12 345 6.7-8!! ??", "  x \u0085y z", "é" * 700, "\U0010ffff ￾ ﻿q",
+]
+
+
+def made(seed, n=40):
+    r = random.Random(seed)
+    signs = "ab eé日 \n\t'.,1😀 ́ ▁<>s|  "
+    return ["".join(r.choices(signs, k=r.randint(0, 60))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def sides():
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    one = Tokenizer.from_file(f"{alignment.FOLDER}/{alignment.BYTES_FILE}")
+    one.encode_special_tokens = True
+    return one, SentencePieceProcessor(model_file=f"{alignment.FOLDER}/{alignment.PIECES_FILE}")
+
+
+def byte_of(c):
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return ord(c) if ord(c) in plain else [b for b in range(256) if b not in plain][ord(c) - 256]
+
+
+def spans(sides, text):
+    """(id, first byte, last byte + 1) of both sides by the libraries alone, or nothing."""
+    one, two = sides
+    if not text:
+        return [], []
+    a = one.encode(f" {text}", add_special_tokens=False).ids
+    b = two.encode(text)
+    a_bytes = [bytes(byte_of(c) for c in one.id_to_token(i)) for i in a]
+    names = [two.id_to_piece(i) for i in b]
+    b_bytes = [bytes([int(n[3:5], 16)]) if two.is_byte(i) else n.replace("▁", " ").encode() for i, n in zip(b, names)]
+    if not b"".join(a_bytes) == b"".join(b_bytes) == f" {text}".encode():
+        return [], []
+    out = []
+    for ids, parts in ((a, a_bytes), (b, b_bytes)):
+        at, side = 0, []
+        for i, part in zip(ids, parts):
+            side.append((i, at, at + len(part)))
+            at += len(part)
+        out.append(side)
+    return out
+
+
+def brute(sides, texts):
+    """For each text: tokens on both sides, groups, links, by comparing all tokens."""
+    out = []
+    for text in texts:
+        a, b = spans(sides, text)
+        links = [(x[0], y[0]) for x in a for y in b if x[1] < y[2] and y[1] < x[2]]
+        cuts = sorted({x[2] for x in a} & {y[2] for y in b})
+        groups, low = [], 0
+        for cut in cuts:
+            groups.append([[t[0] for t in side if low < t[2] <= cut] for side in (a, b)])
+            low = cut
+        out.append(([x[0] for x in a], [x[0] for x in b], groups, links))
+    return out
+
+
+def test_tokens_are_the_libraries_own(sides):
+    texts = HARD + made(1, 400) + [t for r in documents(2) for t in [r[1]]] + [None, ""]
+    a, b, a_doc, b_doc = alignment.Tokens(alignment.FOLDER).of(texts)
+    for k, text in enumerate(texts):
+        want_a, want_b = spans(sides, text)
+        assert a[a_doc == k].tolist() == [x[0] for x in want_a], repr(text)
+        assert b[b_doc == k].tolist() == [x[0] for x in want_b], repr(text)
+
+
+def test_words_are_forgotten_without_a_change(sides, monkeypatch):
+    monkeypatch.setattr(alignment, "KEPT_WORDS", 3)
+    tokens = alignment.Tokens(alignment.FOLDER)
+    for text in made(5, 60):
+        assert tokens.of([text])[0].tolist() == [x[0] for x in spans(sides, text)[0]]
+
+
+def expected(sides, rows):
+    found = brute(sides, [text for _, text in rows])
+    n_docs = Counter(pair for *_, links in found for pair in set(links))
+    most = defaultdict(int)
+    for (a, _), n in n_docs.items():
+        most[a] = max(most[a], n)
+    out = Counter()
+    for (doc_id, _), (a, b, groups, links) in zip(rows, found):
+        text = ";".join("|".join(",".join(map(str, side)) for side in group) for group in groups)
+        out[
+            doc_id, len(a), len(b), len(groups), len(links),
+            sum(n_docs[x] == most[x[0]] for x in links), sum(n_docs[x] for x in links),
+            hashlib.sha256(text.encode()).hexdigest() if groups else "",
+        ] += 1
+    return out
+
+
+@pytest.mark.parametrize("dictionary", [alignment.DICTIONARY_ROWS, 0])
+def test_query_equals_brute_force(spark, sides, tmp_path, monkeypatch, dictionary):
+    monkeypatch.setattr(alignment, "DICTIONARY_ROWS", dictionary)
+    rows = [r for r in documents(3, 40) if r[0] != 503]
+    rows += [(1000 + i, t, "en", "x", 0, None, None, None) for i, t in enumerate(HARD[:14] + made(7, 30))]
+    rows.append((2000, " ".join(made(9, 120)), None, None, None, None, None, None))
+    frame_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = alignment.op12_tokenizer_alignment(spark, str(tmp_path))
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert got.columns == names
+    assert Counter(tuple(r) for r in got.collect()) == expected(sides, [r[:2] for r in rows])
+
+
+def test_groups_hold_all_tokens_in_order(spark, sides):
+    texts = HARD[:12] + [None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for r in alignment.token_groups(docs).collect():
+        a, b, groups, _ = brute(sides, [texts[r["doc_id"]]])[0]
+        assert (r["a"], r["b"]) == (a, b)
+        assert list(zip(r["a_sizes"], r["b_sizes"])) == [(len(x), len(y)) for x, y in groups]
+
+
+def test_empty(spark):
+    assert alignment.link_sums(empty(spark)).count() == 0
+    assert alignment.token_groups(empty(spark)).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from umbu.llm import (
+    alignment,
     decontamination,
     language_id,
     line_dedup,
@@ -30,4 +31,5 @@ QUERIES: dict[str, Query] = {
     "op10_benchmark_decontamination": Query(
         decontamination.op10_benchmark_decontamination, decontamination.SQL
     ),
+    "op12_tokenizer_alignment": Query(alignment.op12_tokenizer_alignment, None),
 }
