@@ -5,6 +5,7 @@ from __future__ import annotations
 from umbu.llm import (
     alignment,
     decontamination,
+    divergence,
     language_id,
     line_dedup,
     near_duplicates,
@@ -31,5 +32,6 @@ QUERIES: dict[str, Query] = {
     "op10_benchmark_decontamination": Query(
         decontamination.op10_benchmark_decontamination, decontamination.SQL
     ),
+    "op11_source_divergence": Query(divergence.op11_source_divergence, divergence.SQL),
     "op12_tokenizer_alignment": Query(alignment.op12_tokenizer_alignment, None),
 }
