@@ -8,6 +8,7 @@ from umbu.llm import (
     divergence,
     language_id,
     line_dedup,
+    maxscore,
     near_duplicates,
     neighbours,
     packing,
@@ -34,4 +35,5 @@ QUERIES: dict[str, Query] = {
     ),
     "op11_source_divergence": Query(divergence.op11_source_divergence, divergence.SQL),
     "op12_tokenizer_alignment": Query(alignment.op12_tokenizer_alignment, None),
+    "op13_maxscore_topk": Query(maxscore.op13_maxscore_topk, maxscore.SQL),
 }
