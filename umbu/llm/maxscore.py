@@ -254,7 +254,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = RESULTS) -> DataFram
         found = part if found is None else found.union(part)
     if found is None:
         found = vectors.sparkSession.sql(
-            "SELECT 0L AS query, 0L AS query_id, 0L AS row, 0L AS vec_id, '' AS score WHERE false"
+            "SELECT 0L AS query, 0L AS query_id, 0L AS row, 0L AS vec_id, '0' AS score WHERE false"
         )
     score = F.col("score").cast("decimal(38,0)")
     order = Window.partitionBy("query").orderBy(F.desc("exact"), F.asc_nulls_last("vec_id"), "row")
