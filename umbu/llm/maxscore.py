@@ -33,6 +33,8 @@ SEGMENT_ROWS = 8192
 # Queries, and numbers of queries, that are sent to the tasks at once at most.
 BLOCK_QUERIES = 4096
 BLOCK_NUMBERS = 1 << 20
+# Lists with this part of a segment's vectors are held by place, others are searched.
+DENSE = 16
 # Vectors whose scores give the first score to beat.
 SEEDS = 1000
 
@@ -127,6 +129,24 @@ class Segment:
         """The largest number of each list, without its sign."""
         return {t: abs(self.numbers[a:b]).max() for t, (a, b) in self.lists.items()}
 
+    @functools.cached_property
+    def columns(self) -> dict[int, np.ndarray]:
+        """Numbers by vector, of the lists that hold a good part of the vectors."""
+        out = {}
+        for term, (first, end) in self.lists.items():
+            if end - first >= len(self.rows) // DENSE:
+                out[term] = np.zeros(len(self.rows), dtype=self.numbers.dtype)
+                out[term][self.places[first:end]] = self.numbers[first:end]
+        return out
+
+    def probe(self, term: int, alive: np.ndarray) -> np.ndarray:
+        """The numbers that some vectors have in a list; 0 where they are not in it."""
+        if term in self.columns:
+            return self.columns[term][alive]
+        places, numbers = self.postings(term)
+        near = np.minimum(np.searchsorted(places, alive), len(places) - 1)
+        return np.where(places[near] == alive, numbers[near], 0)
+
     def search(self, query: np.ndarray, beat: object | None) -> tuple[np.ndarray, np.ndarray]:
         """Places and exact scores of all vectors that score at least ``beat``."""
         used = np.flatnonzero(query)
@@ -139,33 +159,35 @@ class Segment:
         scores = np.zeros(len(self.rows), dtype=self.numbers.dtype)
         split, below = 0, 0
         if beat is None or beat <= 0:
-            alive = np.arange(len(self.rows))  # a vector in no list may get in
+            alive, split = np.arange(len(self.rows)), len(adding)  # a vector in no list may get in
         else:
             while split < len(adding) and below + adding[split][0] < beat:
                 below += adding[split][0]
                 split += 1
             touched = np.zeros(len(self.rows), dtype=bool)
             for _, term, weight in adding[split:]:
-                places, numbers = self.postings(term)
-                scores[places] += numbers * weight
-                touched[places] = True
+                if term in self.columns:
+                    scores += self.columns[term] * weight
+                    touched |= self.columns[term] != 0
+                else:
+                    places, numbers = self.postings(term)
+                    scores[places] += numbers * weight
+                    touched[places] = True
             alive = np.flatnonzero(touched)
             alive = alive[(scores[alive] + below >= beat).astype(bool)]
-        rest = adding[:split] if beat is not None and beat > 0 else adding
+        rest = adding[:split]
         remaining = sum(x[0] for x in rest)
-        probes = sorted([*rest, *taking], key=lambda x: abs(x[2]) * self.bounds[x[1]], reverse=True)
         at = scores[alive]
-        for bound, term, weight in probes:
+        # The heaviest lists first: they decide soonest who is still competitive.
+        for bound, term, weight in sorted([*rest, *taking], key=lambda x: -abs(x[2]) * self.bounds[x[1]]):
             if not len(alive):
                 break
-            places, numbers = self.postings(term)
-            near = np.minimum(np.searchsorted(places, alive), len(places) - 1)
-            hit = places[near] == alive
-            at[hit] += numbers[near[hit]] * weight
+            at = at + self.probe(term, alive) * weight
             remaining -= bound
             if beat is not None:
                 good = (at + remaining >= beat).astype(bool)
-                alive, at = alive[good], at[good]
+                if not good.all():
+                    alive, at = alive[good], at[good]
         return alive, at
 
 
