@@ -27,9 +27,9 @@ SHARE = 1_000_000_000
 MIN_DOCS = 10
 TOP = 10
 # Terms of a block, on average; a group's arrays of a block are one row.
-BLOCK_TERMS = 1 << 16
+BLOCK_TERMS = 1 << 13
 # Texts are counted in pieces of about this size.
-COUNT_BYTES = 8 << 20
+COUNT_BYTES = 16 << 20
 
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -127,11 +127,8 @@ def _merge(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
     """Price the terms of a block that one or both of two groups have."""
     lang, one, two = (key[k].as_py() for k in range(3))
     totals = (left if left.num_rows else right).select(["one_total", "two_total"]).to_pylist()[0]
-    ids, counts = [], []
-    for side in (left, right):
-        row = side.select(["ids", "counts"]).to_pylist()
-        ids.append(np.array(row[0]["ids"] if row else [], dtype=np.int64))
-        counts.append(np.array(row[0]["counts"] if row else [], dtype=np.int64))
+    flat = lambda side, name: side[name].combine_chunks().flatten().to_numpy().astype(np.int64)
+    ids, counts = ([flat(side, name) for side in (left, right)] for name in ("ids", "counts"))
     totals = [totals["one_total"], totals["two_total"]]
     p = [shares(c, t) for c, t in zip(counts, totals)]
     absent = [shares(np.zeros(1, np.int64), t) for t in totals]
