@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from umbu.functions.casts import digits_to_long, lenient_double, lenient_long, strict_int
+from umbu.functions.casts import digits_to_long, lenient_double, lenient_long, strict_int, try_whole
 from umbu.functions.dates import iso_date, load_calendar, load_date
 from umbu.functions.numeric import (
     ratio_guarded,
@@ -165,12 +165,46 @@ def test_stable_mean_out_of_range(frame, bad):
 
 
 @pytest.mark.parametrize("cast", [lenient_long, strict_int])
-@pytest.mark.parametrize("bad", ["1e25", "inf", "5.0000000000000000001", "99999999999999999999"])
+@pytest.mark.parametrize(
+    "bad",
+    ["1e25", "inf", "5.0000000000000000001", "99999999999999999999", "1e-20", "5.0000000000000000001e0", "1e-99999999999"],
+)
 def test_whole_numbers_are_never_cut(frame, cast, bad):
     with pytest.raises(Exception):
         column(frame, ["1", bad], "string", cast)
 
 
+def test_whole_numbers_in_any_written_form(frame):
+    """Against whole-number arithmetic, for all short forms of sign, digits and exponent."""
+    cells = [
+        f"{sign}{before}{after}{power}"
+        for sign in ("", "+", "-")
+        for before in ("", "0", "7", "12", "100", "9223372036854775807", "9223372036854775808", "00000000000000000000012")
+        for after in ("", ".", ".0", ".5", ".50", ".000000000000000000000000001", ".25")
+        for power in ("", "e0", "E3", "e-1", "e+2", "e-2", "e18", "e40", "e-40", "e99999999999999")
+    ]
+    from fractions import Fraction
+
+    def whole(cell):
+        number, _, power = cell.lower().partition("e")
+        digits = number.lstrip("+-")
+        before, _, after = digits.partition(".")
+        if not before + after:
+            return None
+        if int(before + after) == 0:
+            return 0
+        if abs(int(power or 0)) > 1000:
+            return None
+        value = Fraction(int(before + after)) * Fraction(10) ** (int(power or 0) - len(after))
+        value = -value if number.startswith("-") else value
+        return int(value) if value.denominator == 1 and -(2**63) <= value < 2**63 else None
+
+    found = column(frame, cells, "string", try_whole)
+    assert [(c, v) for c, v in zip(cells, found) if v != whole(c)] == []
+    others = ["", " ", "x", "1 2", "1e", "e5", ".", "+", "1.2.3", "0x1", "1_0", "inf", "nan", "١", None]
+    assert column(frame, others, "string", try_whole) == [None] * len(others)
+
+
 def test_a_null_key_has_a_bucket(frame):
     df = frame([(None, 1), (0, 1), (None, None)], "a int, b int")
     found = [r["s"] for r in df.select(spread_index([F.col("a"), F.col("b")], 7, 20).alias("s")).collect()]

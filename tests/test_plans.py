@@ -43,6 +43,18 @@ def test_bronze_rent(frame):
     assert rows(df) == [(0, "1", *range(2, 14), D1), (9, None, 10, *[None] * 11, D1)]
 
 
+@pytest.mark.parametrize("cell", ["1e-20", "5.0000000000000000001e0", "1e25"])
+def test_a_listing_with_a_fraction_fails_the_load(spark, frame, tmp_path, cell):
+    names = [n for n, _ in BRONZE_RENT.columns]
+    ddl = ", ".join(f"{n} string" for n in names)
+    lake = Lake(spark, str(tmp_path), registered=False)
+    good = frame([("1", "x", "1.5e1", *["2"] * 11)], ddl)
+    assert lake.bronze_rent(good, D1).rows == 1
+    with pytest.raises(Exception, match="no whole number"):
+        lake.bronze_rent(frame([("1", "x", cell, *["2"] * 11)], ddl), D1)
+    assert [r["area"] for r in lake.read(BRONZE_RENT, D1).collect()] == [15]
+
+
 def test_bronze_basket(frame):
     wide = frame(
         [("2024-01-01", "700.25", None), ("2024-02-01 00:00:00", "1", "2")],

@@ -1,5 +1,10 @@
 """Every query against its SQL on the supplied tables."""
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as driver
@@ -31,3 +36,20 @@ def test_entry(spark):
 def test_every_query_is_checked():
     assert set(REGISTRY) <= set(driver.queries())
     assert set(REGISTRY) <= set(driver.oracle_sql())
+
+
+@pytest.mark.parametrize("lack", ["nothing", "emptied", "hidden"])
+def test_the_rest_loads_without_the_training_data_queries(tmp_path, lack):
+    """With their folder gone but for itself, or with a library they need hidden."""
+    root = Path(driver.__file__).parent
+    ignore = shutil.ignore_patterns(".git", "tests", "__pycache__", *(["llm"] if lack == "emptied" else []))
+    shutil.copytree(root, tmp_path / "copy", ignore=ignore)
+    if lack == "emptied":
+        (tmp_path / "copy/umbu/llm").mkdir()
+    hide = "import sys; sys.modules['numpy'] = None; " if lack == "hidden" else ""
+    names = f"{hide}import __spark_entry__ as d; print(*d.queries())"
+    run = subprocess.run([sys.executable, "-c", names], cwd=tmp_path / "copy", capture_output=True, text=True)
+    assert run.returncode == 0, run.stderr
+    assert set(REGISTRY) <= set(run.stdout.split())
+    there = (root / "umbu/llm/queries.py").exists() and (root / "corpus_pipeline.py").exists()
+    assert ("without the training-data queries" in run.stderr) == (lack != "nothing" or not there)

@@ -10,7 +10,14 @@ from umbu.plans.runs import Lake
 from umbu.schemas import BRONZE_BASKET, BRONZE_POP_MUN, GOLD_BASKET, LOAD_DATE, TABLES
 from umbu.sources import catalog, landing
 from umbu.sources.landing import scan_csv, scan_sheet_columns
-from umbu.sources.loads import load_path, path_load_date, read_loads, read_table, write_loads
+from umbu.sources.loads import (
+    load_outcomes,
+    load_path,
+    path_load_date,
+    read_loads,
+    read_table,
+    write_loads,
+)
 from umbu.sources.shared import SETTING, scratch_folder
 
 D1, D2, D3 = "2025-05-01", "2025-06-01", "2025-07-01"
@@ -299,3 +306,114 @@ def test_nothing_is_cut_to_fit_a_whole_number(frame, value, kind):
     assert "whole number" in fails(S.BRONZE_POP_UF.conform(df))
     good = frame([("x", 70.0, "2025-01-01"), ("y", None, "2025-01-01")], "unidade_federativa string, populacao double, data_carga string")
     assert [r["populacao"] for r in S.BRONZE_POP_UF.conform(good).collect()] == [70, None]
+
+
+@pytest.mark.parametrize("other", ["string", "boolean", "timestamp"])
+def test_each_file_of_a_load_is_compared_with_the_table(spark, frame, tmp_path, other):
+    """Two loads, two files in one of them; only one file is wrong."""
+    root, place = str(tmp_path), S.BRONZE_POP_UF.location(str(tmp_path))
+    ddl = "unidade_federativa string, populacao int"
+    for day in (D1, D2):
+        frame([("x", 7)], ddl).write.parquet(f"{place}/data_carga={day}")
+    assert read_loads(spark, root, S.BRONZE_POP_UF, [D1, D2]).count() == 2
+    frame([("y",)], "unidade_federativa string").write.mode("append").parquet(f"{place}/data_carga={D2}")
+    wrong = {f.name for f in (tmp_path / S.BRONZE_POP_UF.folder / f"data_carga={D2}").glob("*.parquet")}
+    for read in (lambda: read_loads(spark, root, S.BRONZE_POP_UF, [D1, D2]), lambda: read_table(spark, root, S.BRONZE_POP_UF)):
+        with pytest.raises(ValueError, match="no column populacao") as problem:
+            read()
+        assert sum(name in str(problem.value) for name in wrong) == 1
+    assert read_loads(spark, root, S.BRONZE_POP_UF, D1).count() == 1
+    column = {"string": F.lit("7"), "boolean": F.lit(True), "timestamp": F.current_timestamp()}[other]
+    frame([("y",)], "unidade_federativa string").withColumn("populacao", column).write.parquet(f"{place}/data_carga={D3}")
+    with pytest.raises(ValueError, match=f"data_carga={D3}.*column populacao holds {other[:4]}"):
+        read_loads(spark, root, S.BRONZE_POP_UF, [D1, D3])
+
+
+def test_files_of_many_shapes_are_read_together(spark, frame, tmp_path):
+    """Whole numbers under a price, a column of nulls, fractions, decimals, text codes."""
+    folder = tmp_path / BRONZE_BASKET.folder / f"{LOAD_DATE}={D1}"
+    folder.mkdir(parents=True)
+    kinds = [pa.int8(), pa.uint16(), pa.int64(), pa.float32(), pa.float64(), pa.decimal128(22, 2), pa.null(), pa.uint64()]
+    for i, kind in enumerate(kinds):
+        value = [None if kind == pa.null() else 3]
+        names = pa.array([f"c{i}"]).dictionary_encode() if i % 2 else pa.array([f"c{i}"], pa.large_string())
+        pq.write_table(
+            pa.table({"valor": pa.array(value, pa.int64()).cast(kind) if kind != pa.null() else pa.nulls(1),
+                      "cidade": names, "data_mes": pa.nulls(1) if i == 2 else pa.array(["2025-01-01"])}),
+            folder / f"f{i}.parquet",
+        )
+    got = read_loads(spark, str(tmp_path), BRONZE_BASKET, D1)
+    assert got.schema == BRONZE_BASKET.struct
+    want = {(None if i == 2 else "2025-01-01", f"c{i}", None if kinds[i] == pa.null() else 3.0, D1) for i in range(len(kinds))}
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def test_footers_are_compared_by_content_where_only_spark_opens_a_store(spark, frame, tmp_path, monkeypatch):
+    from umbu.sources import footers
+
+    monkeypatch.setattr(footers, "_opens", lambda path: False)
+    root = str(tmp_path)
+    write_loads(prices(frame, D1), root, BRONZE_BASKET, D1)
+    assert by_load(read_loads(spark, root, BRONZE_BASKET, D1)) == {D1: (3, 3.0)}
+    frame([("y",)], "cidade string").write.parquet(load_path(root, BRONZE_BASKET, D2))
+    with pytest.raises(ValueError, match="no column data_mes; no column valor"):
+        read_loads(spark, root, BRONZE_BASKET, [D1, D2])
+
+
+def test_outcomes_of_loads(spark, frame, tmp_path):
+    assert {tuple(r) for r in load_outcomes(spark, str(tmp_path), BRONZE_BASKET, [D1]).collect()} == {(D1, False, 0)}
+    write_loads(prices(frame, D1, D3), str(tmp_path), BRONZE_BASKET, [D1, D3])
+    got = {r["load"]: r["found"] for r in load_outcomes(spark, str(tmp_path), BRONZE_BASKET, [D1, D2]).collect()}
+    assert got == {D1: True, D2: False}
+    assert load_outcomes(spark, str(tmp_path), BRONZE_BASKET, []).count() == 0
+
+
+def switched(spark, tmp_path, name):
+    lake = Lake(spark, str(tmp_path), f"{name}_", switched=True)
+    lake.create_catalog()
+    return lake
+
+
+def test_a_write_that_breaks_in_the_middle_leaves_the_old_loads(spark, frame, tmp_path, monkeypatch):
+    lake = switched(spark, tmp_path, "switch_broken")
+    lake.save(prices(frame, D1, D2), BRONZE_BASKET, [D1, D2])
+    old = {D1: (3, 3.0), D2: (3, 3.0)}
+    assert by_load(lake.read(BRONZE_BASKET, [D1, D2])) == old
+    # A task fails after another has written its files.
+    stray = prices(frame, D1, valor=9.0).union(prices(frame, D3)).repartition(2, LOAD_DATE)
+    with pytest.raises(Exception, match="not to be written"):
+        lake.save(stray, BRONZE_BASKET, [D1])
+    assert by_load(lake.read(BRONZE_BASKET, [D1, D2])) == old
+    # All files are written, but the catalog is not reached.
+    with monkeypatch.context() as broken:
+        broken.setattr(catalog, "switch_loads", lambda *a: (_ for _ in ()).throw(OSError("no catalog")))
+        with pytest.raises(OSError):
+            lake.save(prices(frame, D1, D2, valor=5.0), BRONZE_BASKET, [D1, D2])
+    assert by_load(lake.table(BRONZE_BASKET)) == old
+    catalog.repair_table(spark, BRONZE_BASKET, lake.prefix)
+    assert by_load(lake.table(BRONZE_BASKET)) == old
+    lake.save(prices(frame, D1, D3, valor=5.0), BRONZE_BASKET, [D1, D3])
+    assert by_load(lake.table(BRONZE_BASKET)) == {D1: (3, 15.0), D2: (3, 3.0), D3: (3, 15.0)}
+
+
+def test_a_switched_lake(spark, frame, tmp_path):
+    lake = switched(spark, tmp_path, "switch_lake")
+    nothing = prices(frame, D1).limit(0)
+    lake.save(prices(frame, D1), BRONZE_BASKET, D1)
+    assert lake.save(nothing, BRONZE_BASKET, D1).loads == ()
+    assert by_load(lake.read(BRONZE_BASKET, D1)) == {D1: (3, 3.0)}
+    assert lake.save(nothing, BRONZE_BASKET, D1, keep_empty=True).loads == (D1,)
+    assert lake.read(BRONZE_BASKET, D1).isEmpty() and lake.held(BRONZE_BASKET) == {D1}
+    with pytest.raises(FileNotFoundError, match=D2):
+        lake.read(BRONZE_BASKET, [D1, D2])
+    with pytest.raises(ValueError):
+        Lake(spark, str(tmp_path), registered=False, switched=True)
+
+
+def test_databases(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path), "dbs_")
+    assert catalog.databases(spark, lake.prefix) == []
+    lake.create_catalog()
+    found = catalog.databases(spark, lake.prefix)
+    assert [(layer, tables) for layer, _, tables in found] == [("bronze", 4), ("silver", 2), ("gold", 2)]
+    assert all(place.endswith(f"{tmp_path}/{layer}") for layer, place, _ in found)

@@ -19,16 +19,34 @@ def blank_missing(text: Column) -> Column:
     return F.when(~text.rlike(_MISSING), text)
 
 
-# A fraction that is not zero, however small, in a number written without exponent.
-_FRACTION = r"^\s*[+-]?\d*\.\d*[1-9]\d*\s*\z"
+# A number as it is written: sign, digits before and after the point, exponent.
+_WRITTEN = r"^\s*([+-]?)(\d*)(?:\.(\d*))?(?:[eE]([+-]?\d+))?\s*\z"
+
+
+def try_whole(text: Column) -> Column:
+    """Whole number from a number's text in any written form, null if it is none.
+
+    Decided on the text, without a number in between that could round: the digits but
+    for zeros at both ends are what the number has, and the exponent, less the places
+    after the point, plus the zeros cut from the end, says how many zeros follow. Fewer
+    than none means a fraction, more digits than a long has are out of range.
+    """
+    part = lambda k: F.regexp_extract(text, _WRITTEN, k)
+    digits = F.concat(part(2), part(3))
+    significant = F.regexp_replace(digits, "^0+|0+$", "")
+    exponent = F.coalesce(F.nullif(part(4), F.lit("")), F.lit("0")).try_cast("int").cast("bigint")
+    cut = F.length(digits) - F.length(F.regexp_replace(digits, "0+$", ""))
+    zeros = exponent - F.length(part(3)) + cut
+    fits = zeros.between(0, 19 - F.length(significant))
+    written = F.concat(part(1), significant, F.repeat(F.lit("0"), F.when(fits, zeros).cast("int")))
+    value = F.when(significant == "", F.lit(0).cast("bigint")).when(fits, written.try_cast("bigint"))
+    return F.when(text.rlike(_WRITTEN) & (digits != ""), value)
 
 
 def _whole(text: Column) -> Column:
     """Text of a number to whole number; a fraction or what is out of range raises."""
-    number = F.when(~text.rlike(_FRACTION), text.try_cast("decimal(38,18)"))
     said = F.concat(F.lit("no whole number: "), text)
-    number = F.coalesce(number, F.raise_error(said).cast("decimal(38,18)"))
-    return F.regexp_replace(number.cast("string"), r"\.0+$", "").cast("bigint")
+    return F.coalesce(try_whole(text), F.raise_error(said).cast("bigint"))
 
 
 def _if_needed(text: Column, rule: Callable[[Column], Column]) -> Column:

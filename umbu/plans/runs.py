@@ -9,14 +9,22 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from umbu import schemas as S
 from umbu.fixed_values import MUNICIPALITY_HEADERS
-from umbu.functions.dates import load_calendar
+from umbu.functions.dates import load_calendar, load_date
 from umbu.operators.joins import fits_broadcast
 from umbu.plans import bronze, gold, silver
 from umbu.sources import catalog, landing
-from umbu.sources.loads import LoadReport, held_loads, read_loads, write_loads
+from umbu.sources.loads import (
+    LoadReport,
+    days_frame,
+    held_loads,
+    read_loads,
+    write_loads,
+    write_version,
+)
 
 Dates = str | Sequence[str]
 
@@ -26,13 +34,21 @@ class Lake:
     """A lake: its root folder and its place in the session's catalog.
 
     ``prefix`` goes before the database names; ``registered=False`` leaves the
-    catalog alone and works on the folders only.
+    catalog alone and works on the folders only. ``switched=True`` writes loads to
+    folders of their own and then points the catalog at them, so that who reads a
+    load by its table never sees half of one; such a lake is read through the
+    catalog, and earlier versions stay until they are cleared away.
     """
 
     spark: SparkSession
     root: str
     prefix: str = ""
     registered: bool = True
+    switched: bool = False
+
+    def __post_init__(self) -> None:
+        if self.switched and not self.registered:
+            raise ValueError("loads are switched in the catalog: registered must be true")
 
     def create_catalog(self) -> None:
         catalog.create_databases(self.spark, self.root, self.prefix)
@@ -40,7 +56,18 @@ class Lake:
             catalog.create_table(self.spark, self.root, table, self.prefix)
 
     def read(self, table: S.Table, dates: Dates) -> DataFrame:
-        return read_loads(self.spark, self.root, table, dates)
+        if not self.switched:
+            return read_loads(self.spark, self.root, table, dates)
+        days = [load_date(day) for day in ([dates] if isinstance(dates, str) else dates)]
+        if absent := sorted({*days} - self.held(table)):
+            raise FileNotFoundError(f"no load {', '.join(absent)} of {table.layer}.{table.name}")
+        return self.table(table).where(F.col(S.LOAD_DATE).isin(days))
+
+    def held(self, table: S.Table) -> set[str]:
+        """The loads there are of a table."""
+        if self.switched:
+            return catalog.listed_loads(self.spark, table, self.prefix)
+        return held_loads(self.spark, self.root, table)
 
     def table(self, table: S.Table) -> DataFrame:
         return self.spark.table(catalog.table_name(table, self.prefix))
@@ -54,6 +81,10 @@ class Lake:
         clustered: bool = False,
     ) -> LoadReport:
         """Write the loads, then add those that were written to the catalog."""
+        if self.switched:
+            report, folders = write_version(df, self.root, table, dates, keep_empty, clustered)
+            catalog.switch_loads(self.spark, table, folders, self.prefix)
+            return report
         report = write_loads(df, self.root, table, dates, keep_empty, clustered)
         if self.registered and report.loads:
             catalog.register_loads(self.spark, self.root, table, report.loads, self.prefix)
@@ -104,18 +135,20 @@ class Lake:
         out = silver.silver_basket(self.read(S.BRONZE_BASKET, dates), population, towns_fit)
         return self.save(out, S.SILVER_BASKET, dates, keep_empty=True, clustered=towns_fit)
 
+    def _lines(self):
+        """Bronze source, silver and gold tables, and their runs."""
+        return (
+            (S.BRONZE_RENT, S.SILVER_RENT, S.GOLD_RENT, self.silver_rent, self.gold_rent),
+            (S.BRONZE_BASKET, S.SILVER_BASKET, S.GOLD_BASKET, self.silver_basket, self.gold_basket),
+        )
+
     def backfill(self, first: str, last: str, every: str = "month") -> list[LoadReport]:
         """Silver and gold of every load from the first date to the last that has
         both its bronze loads, each table in one job."""
         calendar = load_calendar(first, last, every)
         reports = []
-        for source, silver_run, gold_run in (
-            (S.BRONZE_RENT, self.silver_rent, self.gold_rent),
-            (S.BRONZE_BASKET, self.silver_basket, self.gold_basket),
-        ):
-            there = held_loads(self.spark, self.root, source) & held_loads(
-                self.spark, self.root, S.BRONZE_POP_MUN
-            )
+        for source, _, _, silver_run, gold_run in self._lines():
+            there = self.held(source) & self.held(S.BRONZE_POP_MUN)
             if days := [day for day in calendar if day in there]:
                 done = silver_run(days)
                 reports.append(done)
@@ -123,6 +156,27 @@ class Lake:
                     reports.append(gold_run(list(done.loads)))
         return reports
 
+    def due(self, calendar: Sequence[str], sources: Sequence[S.Table], target: S.Table) -> list[str]:
+        """The dates of which all sources have a load and the target has none."""
+        frame = lambda table: days_frame(self.spark, sorted(self.held(table)))
+        days = days_frame(self.spark, calendar)
+        for source in sources:
+            days = days.join(frame(source), "load", "left_semi")
+        return sorted(row["load"] for row in days.join(frame(target), "load", "left_anti").collect())
+
+    def catch_up(self, first: str, last: str, every: str = "month") -> list[LoadReport]:
+        """Silver and gold of the dates that lack them; loads that are there are not
+        written again. A silver load that is new gets its gold load, and so does an old
+        one without; each table in one job, and none where nothing is due."""
+        calendar = load_calendar(first, last, every)
+        reports = []
+        for source, middle, target, silver_run, gold_run in self._lines():
+            if days := self.due(calendar, [source, S.BRONZE_POP_MUN], middle):
+                reports.append(silver_run(days))
+            if days := self.due(calendar, [middle], target):
+                reports.append(gold_run(days))
+        return reports
+
     def gold_rent(self, dates: Dates) -> LoadReport:
         out = gold.gold_rent(self.read(S.SILVER_RENT, dates))
         return self.save(out, S.GOLD_RENT, dates, clustered=True)

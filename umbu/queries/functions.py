@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from umbu.functions import numeric
-from umbu.functions.casts import digits_to_long, lenient_double, lenient_long, strict_int
+from umbu.functions.casts import digits_to_long, lenient_double, lenient_long, strict_int, try_whole
 from umbu.functions.dates import iso_date
 from umbu.functions.numeric import round_half_even
 from umbu.functions.text import city_key as city_key_of
@@ -162,13 +162,17 @@ def cast_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Cells that a load accepts: whole numbers in several forms, or missing ones.
-_GOOD_CELL = """CASE p_partkey % 5
+_GOOD_CELL = """CASE p_partkey % 9
   WHEN 0 THEN 'NA' WHEN 1 THEN '' WHEN 2 THEN ' ' || CAST(p_size AS STRING)
-  WHEN 3 THEN CAST(p_size AS STRING) || '.0' ELSE CAST(p_size AS STRING) END"""
+  WHEN 3 THEN CAST(p_size AS STRING) || '.0' WHEN 4 THEN CAST(p_size AS STRING) || 'e0'
+  WHEN 5 THEN CAST(p_size AS STRING) || '0.00e-1' WHEN 6 THEN '0.00' || CAST(p_size AS STRING) || 'E'
+    || CAST(length(CAST(p_size AS STRING)) + 2 AS STRING)
+  WHEN 7 THEN '+' || CAST(p_size AS STRING) || '000000000000000000000e-21'
+  ELSE CAST(p_size AS STRING) END"""
 
 
 @query("""
-SELECT p_partkey, CASE WHEN p_partkey % 5 > 1 THEN p_size END AS size,
+SELECT p_partkey, CASE WHEN p_partkey % 9 > 1 THEN p_size END AS size,
        CAST(p_partkey AS BIGINT) AS part_number
 FROM part""")
 def cast_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,6 +186,30 @@ def cast_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Forms of numbers that are whole, are not, or are out of a long's range.
+_FORM = """CASE p_partkey % 12
+  WHEN 0 THEN CAST(p_size AS STRING) || 'e3' WHEN 1 THEN '-' || CAST(p_size AS STRING) || '.50e1'
+  WHEN 2 THEN CAST(p_size AS STRING) || '.0000000000000000000000001' WHEN 3 THEN CAST(p_size AS STRING) || 'e-20'
+  WHEN 4 THEN CAST(p_size AS STRING) || '.0000000000000000001e0' WHEN 5 THEN CAST(p_size AS STRING) || 'e25'
+  WHEN 6 THEN '0e99999999999' WHEN 7 THEN '.' || CAST(p_size AS STRING) || 'e1'
+  WHEN 8 THEN '92233720368547758' || CASE WHEN p_size % 2 = 0 THEN '07' ELSE '08' END
+  WHEN 9 THEN '-92233720368547758.08E+2' WHEN 10 THEN p_name ELSE NULL END"""
+
+
+@query(f"""
+WITH cells AS (SELECT p_partkey, p_size, {_FORM} AS cell FROM part)
+SELECT p_partkey, cell, CASE p_partkey % 12
+  WHEN 0 THEN CAST(p_size AS BIGINT) * 1000 WHEN 1 THEN CAST(p_size AS BIGINT) * -10 - 5 WHEN 6 THEN 0
+  WHEN 7 THEN CASE WHEN p_size < 10 THEN p_size WHEN p_size % 10 = 0 THEN p_size // 10 END
+  WHEN 8 THEN CASE WHEN p_size % 2 = 0 THEN 9223372036854775807 END
+  WHEN 9 THEN -9223372036854775807 - 1 END AS whole
+FROM cells""")
+def cast_written_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which cells are whole numbers, whatever way they are written."""
+    cells = table(spark, sf_dir, "part").select("p_partkey", F.expr(_FORM).alias("cell"))
+    return cells.withColumn("whole", try_whole(F.col("cell")))
+
+
 @query("""
 SELECT c_custkey,
        TRY_CAST(nullif(regexp_replace(c_name, '[^0-9]', '', 'g'), '') AS BIGINT) AS from_name,

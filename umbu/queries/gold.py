@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from umbu import schemas as S
 from umbu.plans import gold, silver
@@ -84,3 +85,41 @@ def backfill_rents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, root, registered=False)
     lake.backfill(dates[0], dates[-1])
     return read_loads(spark, root, S.GOLD_RENT, dates)
+
+
+@query(f"""
+WITH {silver_rent_sql(['id'])}, gold AS ({_gold_rent_sql('silver_rent', 'city')}),
+lines AS (SELECT data_carga, count(*) AS rows FROM gold GROUP BY data_carga)
+SELECT data_carga AS load, rows, CASE row_number() OVER (ORDER BY data_carga)
+         WHEN 1 THEN 'first' WHEN 2 THEN 'gold only' ELSE 'second' END AS written
+FROM lines""")
+def catch_up_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake that has one load, lacks the gold of another and all of the rest.
+
+    Catching up writes what is lacking and nothing else; once more writes nothing.
+    Gold rows by load, with the run that wrote them.
+    """
+    root = scratch_folder(spark, "catch-up")
+    dates = load_dates(spark, sf_dir, "lineitem", "l_shipdate")
+    write_loads(listings(spark, sf_dir), root, S.BRONZE_RENT, dates)
+    write_loads(state_towns(spark, sf_dir), root, S.BRONZE_POP_MUN, dates)
+    lake = Lake(spark, root, registered=False)
+    lake.silver_rent(dates[:2])
+    lake.gold_rent(dates[:1])
+    files = lambda: {
+        r["path"] for r in spark.read.format("binaryFile").load(S.GOLD_RENT.location(root)).select("path").collect()
+    }
+    before = files()
+    reports = lake.catch_up(dates[0], dates[-1])
+    wrote = {r.table.partition(".")[0]: set(r.loads) for r in reports}
+    if wrote != {"silver": {*dates[2:]}, "gold": {*dates[1:]}} or not before <= files():
+        raise AssertionError(f"catching up wrote {wrote}")
+    if again := lake.catch_up(dates[0], dates[-1]):
+        raise AssertionError(f"nothing was due, but {again} was written")
+    rows = lake.read(S.GOLD_RENT, dates).groupBy(F.col(S.LOAD_DATE).alias("load"))
+    written = (
+        F.when(F.col("load") == dates[0], "first")
+        .when(F.col("load") == dates[min(1, len(dates) - 1)], "gold only")
+        .otherwise("second")
+    )
+    return rows.agg(F.count(F.lit(1)).alias("rows")).withColumn("written", written)

@@ -34,6 +34,7 @@ from umbu.schemas import BRONZE_BASKET, BRONZE_RENT, LOAD_DATE, SILVER_BASKET
 from umbu.sources.landing import QUOTING, scan_csv, scan_sheet, scan_sheet_columns
 from umbu.sources.loads import (
     LoadReport,
+    load_outcomes,
     load_path,
     path_load_date,
     read_loads,
@@ -110,6 +111,50 @@ def scan_old_and_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_loads(spark, root, BRONZE_RENT, loads)
 
 
+@query(f"""
+WITH {LISTINGS_SQL}
+SELECT {", ".join(RENT_NAMES)}, load AS data_carga
+FROM listings, (VALUES ('2023-01-01'), ('2024-01-01'), ('2025-01-01')) AS loads(load)""")
+def scan_loads_of_three_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads read together: whole numbers narrow, wide, and as fractions and
+    decimals, with columns in another order and one more."""
+    root, rows = scratch_folder(spark, "loads"), listings(spark, sf_dir).select(*RENT_NAMES)
+    kinds = {"2023-01-01": ["int"], "2024-01-01": ["bigint"], "2025-01-01": ["double", "decimal(12,0)"]}
+    for day, of in kinds.items():
+        cells = [
+            F.col(n).cast(of[i % len(of)]).alias(n) if t == "int" else F.col(n)
+            for i, (n, t) in enumerate(rows.dtypes)
+        ]
+        rows.select(F.lit("x").alias("note"), *reversed(cells)).write.parquet(load_path(root, BRONZE_RENT, day))
+    return read_loads(spark, root, BRONZE_RENT, list(kinds))
+
+
+@query(f"""
+WITH {PRICES_SQL}, days AS (SELECT unnest(range(1990, 2001)) || '-01-01' AS load),
+held AS (SELECT DISTINCT data_carga FROM prices)
+SELECT load, held.data_carga IS NOT NULL AS found,
+       CASE WHEN held.data_carga IS NULL THEN 'no Parquet file' END AS problem
+FROM days LEFT JOIN held ON held.data_carga = load""")
+def missing_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What asking for each load of a calendar meets: the load, or an error.
+
+    The outcome table says which are there; reading one that is not must raise.
+    """
+    root = scratch_folder(spark, "loads")
+    dates = load_dates(spark, sf_dir, "orders", "o_orderdate")
+    write_loads(prices(spark, sf_dir), root, BRONZE_BASKET, dates)
+    outcomes = load_outcomes(spark, root, BRONZE_BASKET, [f"{year}-01-01" for year in range(1990, 2001)])
+    absent = sorted(r["load"] for r in outcomes.where("not found").collect())
+    for day in absent[:1] + absent[-1:]:
+        try:
+            read_loads(spark, root, BRONZE_BASKET, day)
+        except FileNotFoundError:
+            continue
+        raise AssertionError(f"load {day} is not there and was read")
+    problem = F.when(~F.col("found"), F.lit("no Parquet file"))
+    return outcomes.select("load", "found", problem.alias("problem"))
+
+
 @query(f"""
 WITH {PRICES_SQL}
 SELECT data_mes, cidade, valor, data_carga FROM prices

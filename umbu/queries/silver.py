@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from umbu import schemas as S
 from umbu.plans import silver
+from umbu.plans.runs import Lake
 from umbu.plans.silver import SEED
 from umbu.queries.registry import query
 from umbu.queries.views import (
@@ -17,11 +20,14 @@ from umbu.queries.views import (
     UF_SQL,
     fold_sql,
     listings,
+    load_dates,
     population,
     prices,
     spread_sql,
     state_towns,
 )
+from umbu.sources.loads import write_loads
+from umbu.sources.shared import scratch_folder
 
 ROW_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
@@ -66,3 +72,24 @@ silver_rent AS (
 @query(f"WITH {silver_rent_sql(list(ROW_KEYS))} SELECT * FROM silver_rent")
 def silver_rent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_rent(listings(spark, sf_dir), state_towns(spark, sf_dir), ROW_KEYS)
+
+
+@query(f"WITH {silver_rent_sql(['id'])} SELECT * FROM silver_rent")
+def empty_result_keeps_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rents, run again when no listing can be used: the old loads stand.
+
+    The first run fills all loads; then the listings lose their area, so that the
+    second run has no rows and replaces nothing.
+    """
+    root = scratch_folder(spark, "empty")
+    dates = load_dates(spark, sf_dir, "lineitem", "l_shipdate")
+    rents = listings(spark, sf_dir)
+    write_loads(rents, root, S.BRONZE_RENT, dates)
+    write_loads(state_towns(spark, sf_dir), root, S.BRONZE_POP_MUN, dates)
+    lake = Lake(spark, root, registered=False)
+    lake.silver_rent(dates)
+    write_loads(rents.withColumn("area", F.lit(None).cast("int")), root, S.BRONZE_RENT, dates)
+    report = lake.silver_rent(dates)
+    if report.rows or report.loads:
+        raise AssertionError(f"an empty result wrote {report.loads}")
+    return lake.read(S.SILVER_RENT, dates)

@@ -59,15 +59,6 @@ class Table:
     def location(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.folder}"
 
-    def wide(self, held: DataFrame) -> T.StructType:
-        """To read files with: whole numbers as wide as any, fractions as they are."""
-        fractions = {f.name: f.dataType for f in held.schema if isinstance(f.dataType, _FRACTIONS)}
-        fields = [
-            T.StructField(f.name, fractions.get(f.name, T.LongType()) if isinstance(f.dataType, _WHOLE) else f.dataType)
-            for f in self.struct
-        ]
-        return T.StructType(fields)
-
     def conform(self, df: DataFrame) -> DataFrame:
         """Exactly the table's columns, in order, in the table's types.
 

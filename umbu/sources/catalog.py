@@ -49,6 +49,39 @@ def register_loads(
     spark.sql(f"ALTER TABLE {table_name(table, prefix)} ADD IF NOT EXISTS {partitions}")
 
 
+def listed_loads(spark: SparkSession, table: Table, prefix: str = "") -> set[str]:
+    """The load dates that the catalog has of a table."""
+    rows = spark.sql(f"SHOW PARTITIONS {table_name(table, prefix)}").collect()
+    return {row[0].partition("=")[2] for row in rows}
+
+
+def switch_loads(spark: SparkSession, table: Table, folders: dict[str, str], prefix: str = "") -> None:
+    """Point the catalog's loads at other folders; a load at a time, each at once.
+
+    Who reads a load by the table's name finds all of its old files or all of its new
+    ones. Loads the catalog lacks are added first, in one request.
+    """
+    if not folders:
+        return
+    known, name = listed_loads(spark, table, prefix), table_name(table, prefix)
+    part = lambda day: f"PARTITION ({LOAD_DATE}='{load_date(day)}')"
+    if new := [day for day in folders if day not in known]:
+        added = " ".join(f"{part(day)} LOCATION {_text(folders[day])}" for day in new)
+        spark.sql(f"ALTER TABLE {name} ADD {added}")
+    for day in sorted({*folders} & known):
+        spark.sql(f"ALTER TABLE {name} {part(day)} SET LOCATION {_text(folders[day])}")
+
+
+def databases(spark: SparkSession, prefix: str = "") -> list[tuple[str, str, int]]:
+    """Layer, place and number of tables of each database that the session has of a lake."""
+    found = {db.name: db.locationUri for db in spark.catalog.listDatabases(f"{prefix}*")}
+    return [
+        (layer, found[prefix + layer], len(spark.catalog.listTables(prefix + layer)))
+        for layer in LAYERS
+        if prefix + layer in found
+    ]
+
+
 def repair_table(spark: SparkSession, table: Table, prefix: str = "") -> None:
     """Add every load found in the table's folder to the catalog."""
     spark.sql(f"MSCK REPAIR TABLE {table_name(table, prefix)}")
