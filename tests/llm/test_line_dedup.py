@@ -78,3 +78,35 @@ def test_query_against_brute_force(spark, tmp_path):
     got = sorted((tuple(r) for r in df.select("doc_id", "n_removed", "text").collect()), key=repr)
     assert got == brute_force(rows)
     assert df.where(F.col("n_removed") > 0).count() > 0
+
+
+def test_a_text_of_very_many_lines(spark):
+    """20,000 lines, many of them like others: as many again, not with their square."""
+    import time
+
+    lines = [f"line {i % 9000} of number {i % 9000} and {i % 9000 * 7}" for i in range(20_000)]
+    rows = [(1, "\n".join(lines), "en", "a", 0, None, None, None), (2, lines[5] + "\nother", "en", "a", 0, None, None, None)]
+    start = time.time()
+    got = {r["doc_id"]: r for r in dedup_lines(frame_of(spark, rows), counts=True).collect()}
+    assert got[1]["n_removed_"] == 11_000 and got[1]["text"] == "\n".join(lines[:9000])
+    assert got[2]["text"] == "other" and got[1]["n_chars"] == len(got[1]["text"])
+    assert time.time() - start < 120
+
+
+def test_doubtful_lines_in_cells(spark, monkeypatch):
+    """Bitmaps that tell nothing: first candidates fail, the second pass goes by cells."""
+    monkeypatch.setattr(line_dedup, "CELL_LINES", 15)
+    r = __import__("random").Random(5)
+    base = [f"w{i}" for i in range(30)]
+    rows = []
+    for i in range(150):
+        words = r.sample(base, 24) + [f"x{r.randrange(6)}"]
+        rows.append((i, " ".join(words), None, None, None, None, None, None))
+    assert found(dedup_lines(frame_of(spark, rows), counts=True)) == brute_force(rows)
+    assert found(dedup_lines(frame_of(spark, rows), Fraction(1, 2), counts=True)) == brute_force(rows, Fraction(1, 2))
+
+
+def test_names_that_clash(spark):
+    docs = frame_of(spark, documents(6)).withColumnsRenamed({"fp": "_gone", "root": "_left", "token": "removed"})
+    assert dedup_lines(docs).schema == docs.schema
+    assert dedup_lines(docs).count() == docs.count()

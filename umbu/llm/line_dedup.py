@@ -26,9 +26,11 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from umbu.llm.tables import if_small, keep, same, table, text_hash
 from umbu.llm.words import NOT_SPACE, mix, pieces, word_hashes, word_places
@@ -154,7 +156,7 @@ def _alike(threshold: Fraction) -> Column:
     shared = F.expr(f"({num} * (a.size + b.size) + {num + den - 1}) div {num + den}")
     left = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
     return (
-        (F.struct("a.doc", "a.line", "a.n") < F.struct("b.doc", "b.line", "b.n"))
+        (F.col("a.n") < F.col("b.n"))
         & (F.col("a.size") * den >= F.col("b.size") * num)
         & (F.col("b.size") * den >= F.col("a.size") * num)
         & (left >= shared)
@@ -166,8 +168,27 @@ def _alike(threshold: Fraction) -> Column:
     )
 
 
-_POSTING = ["token", "cell", "n", "bits", "more_bits", "size", "doc", "line", "pos", "role"]
+# What is sent of a posting: its list and cell as one hash, the set's number, which is
+# in the order of lines, its bitmap, and size, place in the order and role in one number.
+_POSTING = ["key", "n", "bits", "more_bits", "packed"]
 _BOTH, _ONLY_A, _ONLY_B = 0, 1, 2
+_FIELD = 31
+
+
+def _packed(role: Column | int) -> Column:
+    role = F.lit(role) if isinstance(role, int) else role
+    upper = F.shiftleft(F.col("size").cast("bigint"), _FIELD).bitwiseOR(F.col("pos").cast("bigint"))
+    return F.shiftleft(upper, 2).bitwiseOR(role.cast("bigint")).alias("packed")
+
+
+def _key(cell: Column | int) -> Column:
+    """A list's cell: lists whose hashes are equal are compared as one, and verified."""
+    return F.xxhash64("token", F.lit(cell) if isinstance(cell, int) else cell).alias("key")
+
+
+def _salt() -> Column:
+    """Which part of a long list a posting is in."""
+    return F.pmod(F.xxhash64("n"), F.col("cells")).cast("int")
 
 
 def _celled(postings: DataFrame) -> DataFrame:
@@ -175,27 +196,29 @@ def _celled(postings: DataFrame) -> DataFrame:
 
     Cell (i, j) compares later lines of salt i with earlier ones of salt j.
     """
-    n = F.col("cells")
-    salt = F.pmod(F.xxhash64("n"), n).cast("int")
-    other = F.sequence(F.lit(0), n - 1)
+    n, salt = F.col("cells"), _salt()
+    other = F.sequence(F.lit(0).cast("bigint"), n - 1)
     as_b = F.transform(other, lambda j: F.struct(
         (salt * n + j).alias("cell"), F.when(j == salt, _BOTH).otherwise(_ONLY_B).alias("role")))
     as_a = F.transform(F.filter(other, lambda i: i != salt), lambda i: F.struct(
         (i * n + salt).alias("cell"), F.lit(_ONLY_A).alias("role")))
-    alone = F.array(F.struct(F.lit(0).alias("cell"), F.lit(_BOTH).alias("role")))
+    alone = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(_BOTH).alias("role")))
     parts = F.when(n == 1, alone).otherwise(F.concat(as_b, as_a))
-    return postings.select("*", F.inline(parts)).select(*_POSTING)
+    cells = postings.select("*", F.inline(parts))
+    return cells.select(_key(F.col("cell")), *_POSTING[1:-1], _packed(F.col("role")))
 
 
 def _earliest(threshold: Fraction):
-    """For rows in order of token, cell and place: the earliest candidate of each."""
+    """For rows in order of key and number: the earliest candidate of each."""
     num, den = threshold.numerator, threshold.denominator
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        column = {n: rows.column(n).to_numpy() for n in _POSTING}
-        size, pos, role = (column[n].astype(np.int64) for n in ("size", "pos", "role"))
-        bits, more = (column[n].view(np.uint64) for n in ("bits", "more_bits"))
-        fresh = np.append(True, (np.diff(column["token"]) != 0) | (np.diff(column["cell"]) != 0))
+        key, n, bits, more, packed = (rows.column(c).to_numpy() for c in _POSTING)
+        bits, more, packed = (x.view(np.uint64) for x in (bits, more, packed))
+        role = packed & np.uint64(3)
+        pos = ((packed >> np.uint64(2)) & np.uint64((1 << _FIELD) - 1)).astype(np.int64)
+        size = (packed >> np.uint64(2 + _FIELD)).astype(np.int64)
+        fresh = np.append(True, np.diff(key) != 0)
         head = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
         place = np.arange(len(fresh)) - head
         best = np.full(len(fresh), -1)
@@ -217,13 +240,7 @@ def _earliest(threshold: Fraction):
             k += 1
             later = later[place[later] >= k]
         b = np.flatnonzero(best >= 0)
-        a = best[b]
-        return pa.RecordBatch.from_pydict(
-            {
-                "a_doc": pa.array(column["doc"][a]), "a_line": pa.array(column["line"][a]),
-                "a_n": pa.array(column["n"][a]), "b_n": pa.array(column["n"][b]),
-            }
-        )
+        return pa.RecordBatch.from_pydict({"a_n": pa.array(n[best[b]]), "b_n": pa.array(n[b])})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -233,8 +250,7 @@ def _earliest(threshold: Fraction):
             if rows < 1 << 16:
                 continue
             whole = pa.Table.from_batches(held).combine_chunks()
-            token, cell = whole.column("token").to_numpy(), whole.column("cell").to_numpy()
-            changes = np.flatnonzero((np.diff(token) != 0) | (np.diff(cell) != 0))
+            changes = np.flatnonzero(np.diff(whole.column("key").to_numpy()) != 0)
             cut = int(changes[-1]) + 1 if len(changes) else 0
             if cut:
                 yield compare(whole.slice(0, cut))
@@ -289,27 +305,33 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
         F.min(place).alias("first"), F.first(F.struct("skip", "tokens")).alias("prefix"),
         F.max("most_cells").alias("most_cells"),
     )
+    # Numbers in the order of the sets' first lines, so that these need not be sent.
+    sets = sets.repartitionByRange("first").sortWithinPartitions("first")
     sets = keep(sets.withColumn("n", F.monotonically_increasing_id()), "line-sets")
     # A word and, in its upper half, the number of cells of its list.
     word = F.posexplode("prefix.tokens").alias("at", "word")
-    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", "most_cells", word).select(
-        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).cast("int").alias("cells"),
-        "most_cells", "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
+    postings = sets.select("n", *_SET[1:], "prefix.skip", "most_cells", word).select(
+        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).alias("cells"),
+        "most_cells", "n", *_SET[1:], (F.col("skip") + F.col("at")).alias("pos"),
     )
-    whole = postings.where("most_cells = 1").withColumns({"cell": F.lit(0), "role": F.lit(_BOTH)})
+    whole = postings.where("most_cells = 1").select(_key(F.lit(0).cast("bigint")), *_POSTING[1:-1], _packed(_BOTH))
     ordered = (
-        whole.select(*_POSTING).unionByName(_celled(postings.where("most_cells > 1")))
-        .repartition("token", "cell")
-        .sortWithinPartitions("token", "cell", "doc", "line", "n")
+        whole.unionByName(_celled(postings.where("most_cells > 1")))
+        .repartition("key")
+        .sortWithinPartitions("key", "n")
     )
-    found = ordered.mapInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
-    earliest = F.min(F.struct("a_doc", "a_line", "a_n")).alias("a")
-    pairs = keep(found.groupBy("b_n").agg(earliest).select("a.a_n", "b_n"), "line-pairs")
+    found = ordered.mapInArrow(_earliest(threshold), "a_n bigint, b_n bigint")
+    pairs = keep(found.groupBy("b_n").agg(F.min("a_n").alias("a_n")).select("a_n", "b_n"), "line-pairs")
     later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
     doubtful = pairs.select(F.col("b_n").alias("n")).join(later, "n", "left_anti")
     doubtful = if_small(keep(doubtful, "doubtful-lines"))
-    probes = if_small(keep(postings.join(doubtful, "n", "left_semi"), "probes"))
-    rest = postings.alias("a").join(probes.alias("b"), F.col("a.token") == F.col("b.token"))
+    # Each doubtful line against all parts of its lists; a part is one key of the join.
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)).alias("part")
+    probes = postings.join(doubtful, "n", "left_semi").select("*", part)
+    probes = if_small(keep(probes, "probes"))
+    lists = postings.withColumn("part", _salt().cast("bigint"))
+    listed = (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part"))
+    rest = lists.alias("a").join(probes.alias("b"), listed)
     rest = rest.where(_alike(threshold)).select(F.col("a.n").alias("a_n"), F.col("b.n").alias("b_n"))
     more = _verified(docs, sets, keep(rest.distinct(), "more-pairs"), threshold)
     later = keep(later.union(more), "later-lines")
@@ -333,24 +355,42 @@ def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, counts: bool =
     is a repeat keeps an empty text. Documents without repeats keep their text as it
     is, null or empty ones too.
     """
+    own = "_"  # begins none of the documents' names
+    while any(name.startswith(own) for name in docs.columns):
+        own += "_"
     gone = repeated_lines(docs, threshold).select(
-        F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed")
+        F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash"), F.col("removed").alias(f"{own}gone")
     )
     gone = if_small(keep(gone, "repeated-lines"))
-    match = docs["doc_id"].eqNullSafe(gone["_doc_id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone["_hash"])
-    removed = gone["_removed"]
-    parts = F.split(docs["text"], "\n")
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), removed)
-    shorter = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
-    new = {"text": shorter, "n_chars": F.length(shorter)}
+    match = docs["doc_id"].eqNullSafe(gone[f"{own}id"]) & F.xxhash64(docs["text"]).eqNullSafe(gone[f"{own}hash"])
+    removed = gone[f"{own}gone"]
+    # Only texts that lose lines are sent; each is split once.
+    shorter = _without(F.when(removed.isNotNull(), docs["text"]), removed).alias(f"{own}left")
+    rows = docs.join(gone, match, "left").select(*[docs[c] for c in docs.columns], removed, shorter)
+    changed = F.col(f"{own}gone").isNotNull()
+    new = {"text": F.col(f"{own}left.text"), "n_chars": F.col(f"{own}left.n_chars")}
     columns = [
-        F.when(removed.isNotNull(), new[name]).otherwise(docs[name]).cast(kind).alias(name)
-        if name in new else docs[name]
+        F.when(changed, new[name]).otherwise(F.col(f"`{name}`")).cast(kind).alias(name)
+        if name in new else F.col(f"`{name}`")
         for name, kind in docs.dtypes
     ]
     if counts:
-        columns.append(F.when(removed.isNotNull(), F.size(removed)).otherwise(0).alias("n_removed_"))
-    return docs.join(gone, match, "left").select(*columns)
+        columns.append(F.when(changed, F.size(f"{own}gone")).otherwise(0).alias("n_removed_"))
+    return rows.select(*columns)
+
+
+@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+def _without(text: pd.Series, removed: pd.Series) -> pd.DataFrame:
+    """Texts without some of their lines; null where there is no text."""
+    out = []
+    for whole, numbers in zip(text, removed):
+        if whole is None or numbers is None:
+            out.append((None, None))
+            continue
+        gone = set(numbers.tolist())
+        left = "\n".join(line for i, line in enumerate(whole.split("\n")) if i not in gone)
+        out.append((left, len(left)))
+    return pd.DataFrame(out, columns=["text", "n_chars"])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
