@@ -59,6 +59,26 @@ def test_graph_of_many_leaves(spark, tmp_path, monkeypatch):
     assert compare(neighbours.op5_nn_descent(spark, str(tmp_path)), want) >= 0.9
 
 
+def test_rounds_send_less_and_less(spark, monkeypatch, caplog):
+    """Only fresh entries are compared: when lists settle, little is sent."""
+    for name, value in (("LEAF", 100), ("PART_NODES", 300), ("SAMPLE", 256)):
+        monkeypatch.setattr(neighbours, name, value)
+    random = np.random.default_rng(4)
+    rows = [(i, random.normal(size=16).astype(np.float32).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    with caplog.at_level("INFO", logger=neighbours.__name__):
+        graph = neighbours.build_graph(neighbours.prepare(df, 5)).collect()
+    sent = [r.args[1] for r in caplog.records if r.name == neighbours.__name__]
+    new = [r.args[2] for r in caplog.records if r.name == neighbours.__name__]
+    assert len(sent) > 1 and sent[-1] < sent[0] / 10 and new[-1] <= neighbours.SETTLED * 2000 * neighbours.NEIGHBOURS
+    x = np.array([v for _, v in rows], dtype=np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for r in graph:
+        near, sims = np.frombuffer(r["near"], np.int64), np.frombuffer(r["sims"], np.float64)
+        assert len(set(near.tolist())) == len(near) == neighbours.NEIGHBOURS and r["node"] not in near
+        assert (np.diff(sims) <= 0).all() and r["least"] == sims[-1]
+
+
 def test_leaves_that_the_sample_cannot_divide(spark, monkeypatch):
     """Neighbours are found whatever the residue of their node."""
     for name, value in (("LEAF", 100), ("PART_NODES", 300), ("SAMPLE", 64)):

@@ -4,8 +4,10 @@ Vectors of one direction are one node. The neighbour graph begins with exact nei
 the leaves of a few random-projection trees, which are grown on a bounded sample.
 Every round joins neighbours of neighbours: for each node its neighbours and some of
 the nodes it is a neighbour of are compared with each other, and each keeps the
-nearest it has met, until a round changes few lists. Nodes of one leaf are handled together, so that a vector they
-all need is sent once. A query starts from its node's neighbours and opens the
+nearest it has met, until a round changes few lists. An entry of a list is marked as
+fresh until it has taken part in a round: two nodes are compared only if one of them is
+fresh, and neighbours that a node has already are not sent to it again. Nodes of one
+leaf are handled together, so that a vector they all need is sent once. A query starts from its node's neighbours and opens the
 nearest nodes of its pool until they are all open.
 
 Vectors travel and are compared in double precision, since near copies differ by less
@@ -15,9 +17,12 @@ within the error of a product are scored again.
 
 from __future__ import annotations
 
+import functools
+import logging
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umbu.llm.tables import about, keep, table
@@ -34,7 +39,11 @@ PART_NODES, QUERY_BLOCK = 4096, 256
 # A task that compares lists thins out the pairs it has met after so many.
 HELD_PAIRS = 2_000_000
 
-_STATE = "node bigint, block bigint, vec binary, near binary, sims binary, least double, changed int"
+_LOG = logging.getLogger(__name__)
+_STATE = (
+    "node bigint, part int, block bigint, vec binary, near binary, sims binary, fresh binary,"
+    " least double, changed int"
+)
 
 
 class Forest:
@@ -79,41 +88,65 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _best(v: np.ndarray, w: np.ndarray, s: np.ndarray, k: int):
-    """The k nearest different w of each v; sorted by v, then nearest first."""
+def _chosen(v: np.ndarray, w: np.ndarray, s: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k nearest different w of each v; by v, then nearest first.
+
+    Of entries with the same v and w the first one counts.
+    """
     order = np.lexsort((w, v))
-    v, w, s = v[order], w[order], s[order]
-    fresh = np.append(True, (v[1:] != v[:-1]) | (w[1:] != w[:-1]))[: len(v)]
-    v, w, s = v[fresh], w[fresh], s[fresh]
-    order = np.lexsort((w, -s, v))
-    v, w, s = v[order], w[order], s[order]
-    head = np.flatnonzero(np.append(True, v[1:] != v[:-1])[: len(v)])
-    place = np.arange(len(v)) - np.repeat(head, np.diff(np.append(head, len(v))))
-    good = place < k
-    return v[good], w[good], s[good]
+    fresh = np.append(True, (np.diff(v[order]) != 0) | (np.diff(w[order]) != 0))[: len(v)]
+    order = order[fresh]
+    order = order[np.lexsort((w[order], -s[order], v[order]))]
+    head = np.flatnonzero(np.append(True, np.diff(v[order]) != 0)[: len(order)])
+    place = np.arange(len(order)) - np.repeat(head, np.diff(np.append(head, len(order))))
+    return order[place < k]
+
 
+def _part(nodes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the nodes that is merged in one group."""
+    return ((_mixed(nodes) >> np.uint64(20)) % np.uint64(parts)).astype(np.int32)
+
+
+def _mixed(w: np.ndarray) -> np.ndarray:
+    return (w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)
 
-def _lists(v, w, s) -> tuple[np.ndarray, list[bytes], list[bytes]]:
-    head = np.flatnonzero(np.append(True, v[1:] != v[:-1])[: len(v)])
-    ends = np.append(head, len(v))[1:]
-    w, s = w.astype(np.int64), s.astype(np.float64)
-    return v[head], [w[a:b].tobytes() for a, b in zip(head, ends)], [s[a:b].tobytes() for a, b in zip(head, ends)]
 
+def _lists(nodes: np.ndarray, v: np.ndarray, *values: np.ndarray) -> list[pa.Array]:
+    """For each of the nodes its entries' values as bytes; v is sorted like the nodes."""
+    order = np.argsort(nodes)
+    bounds = np.empty((2, len(nodes)), dtype=np.int64)
+    bounds[0, order] = np.searchsorted(v, nodes[order], side="left")
+    bounds[1, order] = np.searchsorted(v, nodes[order], side="right")
+    return [pa.array([x[a:b].tobytes() for a, b in bounds.T], pa.binary()) for x in values]
 
-def _flat(nodes: np.ndarray, near: pa.Array, sims: pa.Array):
-    w = [np.frombuffer(b, np.int64) for b in near.to_pylist()]
-    s = [np.frombuffer(b, np.float64) for b in sims.to_pylist()]
-    v = np.repeat(nodes, [len(x) for x in w])
-    none = [np.zeros(0, np.int64)], [np.zeros(0)]
-    return v.astype(np.int64), np.concatenate(w or none[0]), np.concatenate(s or none[1])
 
+def _joined(blobs: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """Values of all blobs in a row, and how many each has."""
+    each = [np.frombuffer(b, kind) for b in blobs.to_pylist()]
+    return np.concatenate([*each, np.zeros(0, kind)]), np.array([len(x) for x in each], dtype=np.int64)
 
-_FOUND = "node bigint, near binary, sims binary"
 
+def _entries(table_, first: str, *names: str) -> tuple[np.ndarray, ...]:
+    """Nodes and values of all entries of a table of lists."""
+    kinds = {"near": np.int64, "sims": np.float64, "fresh": np.bool_}
+    values = [_joined(table_.column(n), kinds[n]) for n in names]
+    counts = values[0][1] if names else np.zeros(0, np.int64)
+    return np.repeat(table_.column(first).to_numpy(), counts).astype(np.int64), *[x for x, _ in values]
 
-def _found(v, w, s) -> pa.Table:
-    nodes, near, sims = _lists(v, w, s)
-    return pa.table({"node": pa.array(nodes, pa.int64()), "near": pa.array(near, pa.binary()), "sims": pa.array(sims, pa.binary())})
+
+_FOUND = "part int, v binary, w binary, s binary"
+
+
+def _found(v, w, s, parts: int) -> pa.Table:
+    """Nodes, what was found near them and how near: one row for each part of nodes."""
+    part = _part(v, parts)
+    order = np.argsort(part, kind="stable")
+    held, heads = np.unique(part[order], return_index=True)
+    ends = np.append(heads, len(v))[1:]
+    cut = lambda x, kind: pa.array([x[order[a:b]].astype(kind).tobytes() for a, b in zip(heads, ends)], pa.binary())
+    return pa.table(
+        {"part": pa.array(held, pa.int32()), "v": cut(v, np.int64), "w": cut(w, np.int64), "s": cut(s, np.float64)}
+    )
 
 
 def _halved(x: np.ndarray, most: int, random: np.random.Generator) -> list[np.ndarray]:
@@ -130,7 +163,7 @@ def _halved(x: np.ndarray, most: int, random: np.random.Generator) -> list[np.nd
     return out
 
 
-def _leaf_neighbours(leaf: int):
+def _leaf_neighbours(leaf: int, parts: int):
     """Exact neighbours inside a leaf.
 
     What the sample could not divide is divided here, in each tree in its own way.
@@ -152,60 +185,72 @@ def _leaf_neighbours(leaf: int):
                 v.append(np.repeat(ids[at : at + 256], k))
                 w.append(ids[top].ravel())
                 s.append(np.take_along_axis(sims, top, axis=1).ravel())
-        if not v:
-            return _found(*[np.zeros(0)] * 3)
-        return _found(*_best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS))
+        v, w, s = (np.concatenate([*x, np.zeros(0, t)]) for x, t in ((v, np.int64), (w, np.int64), (s, float)))
+        best = _chosen(v, w, s, NEIGHBOURS)
+        return _found(v[best], w[best], s[best], parts)
 
     return run
 
 
 def _merged(state, found):
-    """Nodes of a part with the nearest of what they had and what was found."""
+    """Nodes of a part with the nearest of what they had and what was found.
+
+    What they had has taken part in the round; what is new in a list is fresh.
+    """
     nodes = state.column("node").to_numpy()
-    old = _flat(nodes, state.column("near"), state.column("sims"))
-    new = _flat(found.column("node").to_numpy(), found.column("near"), found.column("sims"))
-    v, w, s = _best(*[np.concatenate(x) for x in zip(old, new)], NEIGHBOURS)
-    of, near, sims = _lists(v, w, s)
-    place = {n: i for i, n in enumerate(of.tolist())}
-    at = [place.get(n) for n in nodes.tolist()]
-    near = [b"" if i is None else near[i] for i in at]
-    sims = [b"" if i is None else sims[i] for i in at]
-    known = [set(np.frombuffer(b, np.int64).tolist()) for b in state.column("near").to_pylist()]
-    changed = [sum(n not in k for n in np.frombuffer(b, np.int64).tolist()) for b, k in zip(near, known)]
-    least = [np.frombuffer(x, np.float64)[-1] if len(x) == 8 * NEIGHBOURS else -2.0 for x in sims]
+    old = _entries(state, "node", "near", "sims")
+    new = [_joined(found.column(c), kind)[0] for c, kind in (("v", np.int64), ("w", np.int64), ("s", np.float64))]
+    v, w, s = (np.concatenate(x) for x in zip(old, new))
+    best = _chosen(v, w, s, NEIGHBOURS)
+    v, w, s, fresh = v[best], w[best], s[best], best >= len(old[0])
+    near, sims, marks = _lists(nodes, v, w, s, fresh)
+    least = [np.frombuffer(x, np.float64)[-1] if len(x) == 8 * NEIGHBOURS else -2.0 for x in sims.to_pylist()]
+    changed = [int(np.frombuffer(x, np.bool_).sum()) for x in marks.to_pylist()]
     return pa.table(
         {
-            **{n: state.column(n) for n in ("node", "block", "vec")},
-            "near": pa.array(near, pa.binary()), "sims": pa.array(sims, pa.binary()),
+            **{n: state.column(n) for n in ("node", "part", "block", "vec")},
+            "near": near, "sims": sims, "fresh": marks,
             "least": pa.array(least, pa.float64()), "changed": pa.array(changed, pa.int32()),
         }
     )
 
 
-def _mixed(w: np.ndarray) -> np.ndarray:
-    return (w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)
+def _preferred(v: np.ndarray, w: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """Which reverse edges take part, if a node has many: fresh ones, then any."""
+    return fresh * float(1 << 60) - _mixed(v + w).astype(np.float64)
 
 
-def _reverse(batches):
+def _reverse(batches, parts: int):
     """Edges turned round; a task passes on at most ``NEIGHBOURS`` of a node's."""
     for batch in batches:
-        v, w, _ = _flat(batch.column(0).to_numpy(), batch.column(1), batch.column(2))
-        v, w, _ = _best(w, v, -_mixed(v + w).astype(np.float64), NEIGHBOURS)
-        yield pa.RecordBatch.from_pydict({"node": pa.array(v), "other": pa.array(w)})
+        w, v, fresh = _entries(batch, "node", "near", "fresh")
+        best = _chosen(v, w, _preferred(v, w, fresh), NEIGHBOURS)
+        yield pa.RecordBatch.from_pydict(
+            {
+                "part": pa.array(_part(v[best], parts)), "node": pa.array(v[best]), "other": pa.array(w[best]),
+                "fresh": pa.array(fresh[best]),
+            }
+        )
 
 
 def _members(state, reverse):
-    """For each node of a part: itself, its neighbours, and some it is one of."""
-    nodes = state.column("node").to_numpy()
-    v, w, _ = _flat(nodes, state.column("near"), state.column("sims"))
-    rv, rw = reverse.column("node").to_numpy(), reverse.column("other").to_numpy()
-    rv, rw, _ = _best(rv, rw, -_mixed(rv + rw).astype(np.float64), NEIGHBOURS)
-    v, w = np.concatenate([v, rv, nodes]), np.concatenate([w, rw, nodes])
-    v, w, _ = _best(v, w, np.zeros(len(v)), 2 * NEIGHBOURS + 1)
-    of, lists, _ = _lists(v, w, np.zeros(len(v)))
-    block = dict(zip(nodes.tolist(), state.column("block").to_pylist()))
-    keys = [block[n] for n in of.tolist()]
-    return pa.table({"block": pa.array(keys, pa.int64()), "node": pa.array(of, pa.int64()), "near": pa.array(lists, pa.binary())})
+    """For each node of a part: itself, its neighbours, and some it is one of.
+
+    Nodes without a fresh one have nothing to compare.
+    """
+    nodes, block = (state.column(n).to_numpy() for n in ("node", "block"))
+    v, w, fresh = _entries(state, "node", "near", "fresh")
+    rv, rw, rf = (reverse.column(n).to_numpy(zero_copy_only=False) for n in ("node", "other", "fresh"))
+    best = _chosen(rv, rw, _preferred(rv, rw, rf.astype(bool)), NEIGHBOURS)
+    v, w = np.concatenate([v, rv[best], nodes]), np.concatenate([w, rw[best], nodes])
+    fresh = np.concatenate([fresh, rf[best].astype(bool), np.zeros(len(nodes), bool)])
+    best = _chosen(v, w, fresh.astype(float), 2 * NEIGHBOURS + 1)
+    v, w, fresh = v[best], w[best], fresh[best]
+    some = np.isin(nodes, np.unique(v[fresh]))
+    near, marks = _lists(nodes[some], v, w, fresh)
+    return pa.table(
+        {"block": pa.array(block[some], pa.int64()), "node": pa.array(nodes[some], pa.int64()), "near": near, "fresh": marks}
+    )
 
 
 def _needed(key, group):
@@ -215,28 +260,42 @@ def _needed(key, group):
     return pa.table({"block": pa.array(np.full(len(ids), key[0].as_py()), pa.int64()), "node": pa.array(ids, pa.int64())})
 
 
-def _local_join(lists, vectors):
-    """Compare the members of every list; each keeps what beats its worst neighbour."""
+def _local_join(lists, vectors, parts: int):
+    """Compare fresh members of every list with all of it; each node keeps what beats
+    its worst neighbour and is none of its neighbours yet."""
     ids = vectors.column("node").to_numpy()
     order = np.argsort(ids)
     ids, x = ids[order], _matrix(vectors.column("vec"))[order]
     least = vectors.column("least").to_numpy()[order]
-    v, w, s, held = [], [], [], 0
-    for blob in lists.column("near").to_pylist():
-        at = np.searchsorted(ids, np.frombuffer(blob, np.int64))
-        sims = x[at] @ x[at].T
-        better = sims > least[at][:, None]
-        np.fill_diagonal(better, False)
-        a, b = np.nonzero(better)
-        v.append(at[a])
-        w.append(at[b])
-        s.append(sims[a, b])
-        held += len(a)
+    mine, theirs = _entries(vectors, "node", "near")
+    at = np.minimum(np.searchsorted(ids, theirs), len(ids) - 1)
+    here = ids[at] == theirs
+    known = np.unique(np.searchsorted(ids, mine[here]) * len(ids) + at[here])
+    found, held = [], 0
+
+    def kept(found):
+        v, w, s = (np.concatenate([*c, np.zeros(0, t)]) for c, t in zip(zip(*found), (np.int64, np.int64, float)))
+        pair = v * len(ids) + w
+        new = known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] != pair if len(known) else np.ones(len(pair), bool)
+        v, w, s = v[new], w[new], s[new]
+        best = _chosen(v, w, s, NEIGHBOURS)
+        return [(v[best], w[best], s[best])]
+
+    for blob, marks in zip(lists.column("near").to_pylist(), lists.column("fresh").to_pylist()):
+        at, fresh = np.searchsorted(ids, np.frombuffer(blob, np.int64)), np.flatnonzero(np.frombuffer(marks, np.bool_))
+        sims = x[at[fresh]] @ x[at].T
+        sims[np.arange(len(fresh)), fresh] = -3
+        a, b = np.nonzero(sims > least[at[fresh]][:, None])
+        c, d = np.nonzero(sims > least[at])
+        found.append((at[fresh[a]], at[b], sims[a, b]))
+        found.append((at[d], at[fresh[c]], sims[c, d]))
+        held += len(a) + len(c)
         if held > HELD_PAIRS:
-            v, w, s = [[x] for x in _best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS)]
-            held = 0
-    v, w, s = _best(np.concatenate(v), np.concatenate(w), np.concatenate(s), NEIGHBOURS)
-    return _found(ids[v], ids[w], s)
+            found, held = kept(found), 0
+    if not found:
+        return _found(*[np.zeros(0, np.int64)] * 3, parts)
+    ((v, w, s),) = kept(found)
+    return _found(ids[v], ids[w], s, parts)
 
 
 def direction(vector: str | Column = "embedding") -> Column:
@@ -295,9 +354,9 @@ def build_graph(nodes: DataFrame) -> DataFrame:
             none = pa.array([b""] * len(ids), pa.binary())
             yield pa.RecordBatch.from_pydict(
                 {
-                    "node": pa.array(ids),
+                    "node": pa.array(ids), "part": pa.array(_part(ids, parts)),
                     "block": pa.array(leaves[:, 0] * salts + ids % salts), "vec": pa.array([r.tobytes() for r in x], pa.binary()),
-                    "near": none, "sims": none, "least": pa.array(np.full(len(ids), -2.0)),
+                    "near": none, "sims": none, "fresh": none, "least": pa.array(np.full(len(ids), -2.0)),
                     "changed": pa.array(np.zeros(len(ids), np.int32)),
                     "leaves": pa.array(list(leaves), pa.list_(pa.int64())),
                 }
@@ -305,30 +364,32 @@ def build_graph(nodes: DataFrame) -> DataFrame:
 
     state = keep(nodes.select("node", "embedding").mapInArrow(place, _STATE + ", leaves array<bigint>"), "placed")
     leaf = state.select("node", "vec", F.explode("leaves").alias("leaf"))
-    found = leaf.groupBy("leaf").applyInArrow(_leaf_neighbours(LEAF), _FOUND)
-    state = _merge(state.drop("leaves"), found, parts)
+    found = leaf.groupBy("leaf").applyInArrow(_leaf_neighbours(LEAF, parts), _FOUND)
+    state, rounds = _merge(state.drop("leaves"), found), 0
     changed = count * NEIGHBOURS
     while changed > SETTLED * count * NEIGHBOURS:
-        turned = state.select("node", "near", "sims").mapInArrow(_reverse, "node bigint, other bigint")
-        lists = _parted(state, parts).cogroup(_parted(turned, parts)).applyInArrow(
-            _members, "block bigint, node bigint, near binary"
+        turned = state.select("node", "near", "fresh").mapInArrow(
+            functools.partial(_reverse, parts=parts), "part int, node bigint, other bigint, fresh boolean"
+        )
+        lists = state.groupBy("part").cogroup(turned.groupBy("part")).applyInArrow(
+            _members, "block bigint, node bigint, near binary, fresh binary"
         )
         lists = keep(lists, "lists")
         needed = lists.groupBy("block").applyInArrow(_needed, "block bigint, node bigint")
-        sent = needed.join(state.select("node", "vec", "least"), "node")
-        found = lists.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(_local_join, _FOUND)
-        state = _merge(state, found, parts)
-        changed = state.agg(F.sum("changed")).first()[0] or 0
+        sent = needed.join(state.select("node", "vec", "near", "least"), "node")
+        join = functools.partial(_local_join, parts=parts)
+        found = lists.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(
+            lambda lists, vectors: join(lists, vectors), _FOUND
+        )
+        seen = Observation()
+        state = _merge(state, found.observe(seen, F.sum(F.octet_length("w") / 8).alias("entries")))
+        changed, rounds = state.agg(F.sum("changed")).first()[0] or 0, rounds + 1
+        _LOG.info("round %d: %d entries sent, %d new to a list", rounds, seen.get["entries"] or 0, changed)
     return state
 
 
-def _parted(df: DataFrame, parts: int):
-    return df.groupBy(F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part"))
-
-
-def _merge(state: DataFrame, found: DataFrame, parts: int) -> DataFrame:
-    merged = _parted(state, parts).cogroup(_parted(found, parts)).applyInArrow(_merged, _STATE)
-    return keep(merged, "graph")
+def _merge(state: DataFrame, found: DataFrame) -> DataFrame:
+    return keep(state.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_merged, _STATE), "graph")
 
 
 _POOLS = "node bigint, block int, vec binary, near binary, sims binary, open binary"
