@@ -54,7 +54,7 @@ def made(seed=1):
 @pytest.mark.parametrize("block_terms", [divergence.BLOCK_TERMS, 16])
 def test_query_equals_brute_force(spark, tmp_path, monkeypatch, block_terms):
     monkeypatch.setattr(divergence, "BLOCK_TERMS", block_terms)
-    monkeypatch.setattr(divergence, "COUNT_BYTES", 3000)
+    monkeypatch.setattr(divergence, "ENTRIES", 700)
     rows = made()
     frame_of(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     got = divergence.op11_source_divergence(spark, str(tmp_path)).collect()

@@ -21,15 +21,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umbu.llm.tables import if_small, keep, table
-from umbu.llm.words import LOWER, pieces, word_hashes, word_places
+from umbu.llm.words import LOWER, Piece, pieces, word_hashes, word_places
 
 SHARE = 1_000_000_000
 MIN_DOCS = 10
 TOP = 10
 # Terms of a block, on average; a group's arrays of a block are one row.
 BLOCK_TERMS = 1 << 13
-# Texts are counted in pieces of about this size.
-COUNT_BYTES = 16 << 20
+# A task passes its counts on when it has so many terms and groups.
+ENTRIES = 1_000_000
 
 _LETTERS = np.zeros(256, dtype=bool)
 _LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -38,36 +38,76 @@ _COUNTS = "lang string, source string, term string, n bigint, docs bigint"
 _PARTS = "lang string, one string, two string, part bigint, n_union bigint"
 
 
+class _Counts:
+    """Occurrences and documents of terms by group, gathered over pieces of text."""
+
+    def __init__(self):
+        self.groups: dict[tuple[str, str], int] = {}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.entries, self.parts, self.names = 0, [], []
+
+    def group_of(self, langs: pa.Array, sources: pa.Array) -> np.ndarray:
+        """A number for the group of each row."""
+        lang, source = langs.dictionary_encode(), sources.dictionary_encode()
+        pair = lang.indices.to_numpy().astype(np.int64) * max(1, len(source.dictionary)) + source.indices.to_numpy()
+        different, at = np.unique(pair, return_inverse=True)
+        names = [
+            (lang.dictionary[k // len(source.dictionary)].as_py(), source.dictionary[k % len(source.dictionary)].as_py())
+            for k in different.tolist()
+        ]
+        return np.array([self.groups.setdefault(n, len(self.groups)) for n in names], dtype=np.int64)[at]
+
+    def add(self, piece: Piece, group: np.ndarray) -> None:
+        """Count the terms of a piece; ``group`` has a number for each of its texts."""
+        starts, ends = word_places(piece, _LETTERS)
+        if not len(starts):
+            return
+        doc = np.searchsorted(piece.bounds, starts, side="right") - 1
+        hashes, first, term = np.unique(word_hashes(piece, starts, ends), return_index=True, return_inverse=True)
+        held, often = np.unique(doc * len(first) + term, return_counts=True)
+        key, at = np.unique(group[held // len(first)] * len(first) + held % len(first), return_inverse=True)
+        n, docs = np.bincount(at, weights=often).astype(np.int64), np.bincount(at)
+        self.parts.append((hashes[key % len(first)], key // len(first), n, docs))
+        low = LOWER[piece.data].tobytes()
+        words = [low[s:e].decode() for s, e in zip(starts[first].tolist(), ends[first].tolist())]
+        self.names.append((hashes, np.array(words, dtype=object)))
+        self.entries += len(key)
+
+    def taken(self) -> pa.RecordBatch | None:
+        """All that was gathered, each term and group once."""
+        if not self.parts:
+            return None
+        hashes, group, n, docs = (np.concatenate(x) for x in zip(*self.parts))
+        named, first = np.unique(np.concatenate([h for h, _ in self.names]), return_index=True)
+        words = np.concatenate([w for _, w in self.names])[first]
+        key, at = np.unique(np.searchsorted(named, hashes) * len(self.groups) + group, return_inverse=True)
+        langs, sources = zip(*self.groups)
+        group = pa.array(key % len(self.groups))
+        self._clear()
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(langs, pa.string()).take(group), pa.array(sources, pa.string()).take(group),
+                pa.array(words, pa.string()).take(pa.array(key // len(langs))),
+                pa.array(np.bincount(at, weights=n).astype(np.int64)),
+                pa.array(np.bincount(at, weights=docs).astype(np.int64)),
+            ],
+            names=["lang", "source", "term", "n", "docs"],
+        )
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of each term and group in pieces of texts."""
+    """Occurrences and documents of each term and group, of many pieces at once."""
+    counts = _Counts()
     for batch in batches:
-        for piece in pieces(batch.column(2), COUNT_BYTES):
-            starts, ends = word_places(piece, _LETTERS)
-            if not len(starts):
-                continue
-            langs, sources = (
-                batch.column(k).slice(piece.first, piece.last - piece.first).dictionary_encode() for k in (0, 1)
-            )
-            doc = np.searchsorted(piece.bounds, starts, side="right") - 1
-            hashes = word_hashes(piece, starts, ends)
-            _, first, term = np.unique(hashes, return_index=True, return_inverse=True)
-            held, often = np.unique(doc * len(first) + term, return_counts=True)
-            lang, source = (x.indices.to_numpy() for x in (langs, sources))
-            group = lang.astype(np.int64) * len(sources.dictionary) + source
-            key, at = np.unique(group[held // len(first)] * len(first) + held % len(first), return_inverse=True)
-            low, words = LOWER[piece.data].tobytes(), key % len(first)
-            names = [low[s:e].decode() for s, e in zip(starts[first].tolist(), ends[first].tolist())]
-            group = key // len(first)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    langs.dictionary.take(pa.array(group // len(sources.dictionary))),
-                    sources.dictionary.take(pa.array(group % len(sources.dictionary))),
-                    pa.array(names).take(pa.array(words)),
-                    pa.array(np.bincount(at, weights=often).astype(np.int64)),
-                    pa.array(np.bincount(at).astype(np.int64)),
-                ],
-                names=["lang", "source", "term", "n", "docs"],
-            )
+        group = counts.group_of(batch.column(0), batch.column(1))
+        for piece in pieces(batch.column(2)):
+            counts.add(piece, group[piece.first : piece.last])
+            if counts.entries > ENTRIES:
+                yield counts.taken()
+    if (rest := counts.taken()) is not None:
+        yield rest
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
