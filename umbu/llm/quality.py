@@ -26,6 +26,8 @@ NGRAMS = (3, 4)
 # Most labelled rows to learn from: those whose ids hash lowest.
 TRAIN_ROWS = 3000
 EPOCHS, RATE = 5, 0.3
+# Tells the first word of a pair from the second.
+_ORDER = np.uint64(0x9E3779B97F4A7C15)
 # Small samples are gone over more often, so that there are about so many steps.
 STEPS = 8000
 
@@ -71,11 +73,10 @@ def _features(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     starts = chars[np.flatnonzero(word[1:] & ~word[:-1]) + 1] if len(chars) > 1 else chars[:0]
     ends = chars[np.flatnonzero(~word[1:] & word[:-1]) + 1] if len(chars) > 1 else chars[:0]
     add(starts, ends, 99)
-    # Two words in a row, by the difference of their hashes: a word repeated is
-    # the same feature whichever word it is.
+    # Two words in a row, in their order.
     whole = mix(slice_hashes(sums, starts, ends))
     pair = np.flatnonzero(texts[-1][1:] == texts[-1][:-1])
-    h = mix(whole[pair + 1] - whole[pair])
+    h = mix(whole[pair] * _ORDER + whole[pair + 1])
     buckets.append((h >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
     texts.append(texts[-1][pair])
     text = np.concatenate(texts)
@@ -139,14 +140,18 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 3) -> Model:
 def train(docs: DataFrame, labels: DataFrame, label: str, usable: Column) -> Model:
     """Learn ``label`` (0 or 1) from labelled rows that are ``usable``.
 
-    At most ``TRAIN_ROWS`` rows, the lowest by a hash of the id. Null and other
+    At most ``TRAIN_ROWS`` rows, the lowest by a hash of the id; of an id's texts the
+    one of smallest hash. Null and other
     labels are no labels; an id labelled both ways counts as 1 from a half up.
     Without rows, or with one label only, the model knows no more than that.
     """
     known = labels.where(F.col(label).isin(0, 1) & usable).groupBy("doc_id").agg(F.avg(label).alias("mean"))
     known = known.select("doc_id", (F.col("mean") >= 0.5).cast("int").alias("label"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("label", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
+    # Of an id's rows one, so that the sample is bounded however often an id occurs.
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "label", "text")).alias("one")
+    rows = rows.groupBy("doc_id").agg(one).select("one.label", "one.text")
     found = rows.mapInArrow(_extract, "label int, ids binary, counts binary").collect()
     return fit([(r[0], np.frombuffer(r[1], np.int32), np.frombuffer(r[2], np.int32)) for r in found])
 
@@ -184,6 +189,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def op8_quality_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from labels that are not held out;
+    see ``train`` and ``score`` for all cases."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = train(docs, labels, "quality", ~held_out())
     return score(docs, model).select(
