@@ -57,3 +57,68 @@ def test_blocks_of_items_and_slop(spark, monkeypatch):
     assert found[2]["items"] == [] and found[2]["near_items"] == ["7"]
     assert found[3]["items"] == [] and found[3]["near_items"] == []
     assert {r["doc_id"]: r["n"] for r in d.search_index(index, items).withColumn("n", d.hit_words()).collect()} == {1: 15, 2: 0, 3: 0}
+
+
+def brute_near(docs, items, slop, window=13):
+    """Items of which a window stands near some place: each word at most slop off."""
+    import re
+
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+    out = {}
+    for doc_id, text in docs:
+        said, found, exact = words(text), set(), set()
+        for item, passage in items:
+            of = words(passage)
+            size = min(window, len(of))
+            for at in range(len(of) - size + 1 if size else 0):
+                run = of[at : at + size]
+                for s in range(-slop, len(said) + slop):
+                    if all(w in said[max(0, s + k - slop) : max(0, s + k + slop + 1)] for k, w in enumerate(run)):
+                        found.add(str(item))
+                    if s >= 0 and said[s : s + size] == run:
+                        exact.add(str(item))
+        out[doc_id] = (sorted(exact), sorted(found - exact))
+    return out
+
+
+def test_proximity_matches_equal_brute_force(spark, monkeypatch):
+    """Words left out, put in, swapped, at the ends of texts, and items over many blocks."""
+    import random
+
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(r.choices(vocabulary, k=n))) for i, n in enumerate([13, 20, 40, 5, 1, 0, 30, 14])]
+    docs = []
+    for i in range(60):
+        text = " ".join(r.choices(vocabulary, k=r.randint(0, 15))).split()
+        passage = r.choice(items)[1].split()
+        for _ in range(r.randint(0, 3)):
+            if passage:
+                at = r.randrange(len(passage))
+                passage = r.choice([passage[:at] + passage[at + 1 :], passage[:at] + ["zz"] + passage[at:],
+                                    passage[:at] + passage[at : at + 2][::-1] + passage[at + 2 :]])
+        docs.append((i, " ".join(text[: len(text) // 2] + passage + text[len(text) // 2 :])))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    index = keep(d.build_index(frame), "near-test")
+    benchmark = spark.createDataFrame(items, ITEM)
+    for slop, block_words in ((1, d.BLOCK_WORDS), (2, 7)):
+        monkeypatch.setattr(d, "BLOCK_WORDS", block_words)
+        got = {x["doc_id"]: (x["items"], x["near_items"]) for x in d.search_index(index, benchmark, slop=slop).collect()}
+        assert got == brute_near(docs, items, slop)
+        assert any(near for _, near in got.values())
+
+
+def test_an_item_larger_than_a_block(spark, monkeypatch):
+    """Every window is in one part, and hits are the same as in one block."""
+    docs = frame_of(spark, documents(1))
+    items = spark.createDataFrame([(1, documents(1)[-4][1]), (2, documents(1)[2][1])], ITEM)
+    index = keep(d.build_index(docs), "large-item")
+    rows = lambda: sorted(
+        map(str, d.search_index(index, items).withColumn("spans", d.hit_words()).collect())
+    )
+    whole = rows()
+    sizes = []
+    monkeypatch.setattr(d, "BLOCK_WORDS", 3000)
+    real = d.windows_of
+    monkeypatch.setattr(d, "windows_of", lambda block, window: sizes.append(sum(len(w) for _, w in block)) or real(block, window))
+    assert rows() == whole and len(sizes) > 2 and max(sizes) <= 3000 + 2 * d.WINDOW
