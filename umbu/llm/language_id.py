@@ -4,7 +4,8 @@ Four kinds of evidence are multiplied: the likelihood of the text, of the declar
 (markup) language, and of the address suffix, and a prior of the host.
 
 * Text: naive Bayes over hashed byte trigrams, whose counts are summed over all
-  texts of declared supported languages. One more class, ``und``, gives every
+  texts of a declared language. The languages are those declared by rows with enough
+  text to learn from, also a grouped sum. One more class, ``und``, gives every
   trigram the same chance; it takes what is no language the model knows.
 * Declared language and suffix: how often each value goes with each language,
   measured by grouped sums of the text's posterior over the whole table.
@@ -26,8 +27,13 @@ from pyspark.sql import functions as F
 from umbu.llm.tables import if_small, keep, only, table, text_hash
 from umbu.llm.words import LOWER, pieces
 
-LANGUAGES = ("de", "en", "es", "fr")
+# A declared language is learned if so many rows with text declare it and hold so many
+# characters, and not more languages than this, those of most text: a model has 256 kB
+# for each.
+MIN_ROWS, MIN_CHARS, MOST_LANGUAGES = 10, 2000, 256
 UNKNOWN = "und"
+# Codes that say that a text is of no one language.
+NO_LANGUAGE = ("mis", "mul", "und", "zxx")
 TRIGRAM_BITS = 16
 # Trigrams overlap, so each counts as a third of an independent observation.
 TEMPER = 1 / 3
@@ -89,12 +95,12 @@ def _counter(languages: Sequence[str]):
 
 def trigram_model(rows: DataFrame, languages: Sequence[str]) -> np.ndarray:
     """Log chances (trigram, language and unknown) from all declared texts."""
-    parts = rows.select("declared", "text").mapInArrow(_counter(languages), "counts binary").rdd
-    size = len(languages) << TRIGRAM_BITS
-    counts = parts.map(lambda row: np.frombuffer(row[0], np.int64)).treeAggregate(
-        np.zeros(size, dtype=np.int64), np.add, np.add, depth=3
-    )
-    counts = counts.reshape(len(languages), -1) + 0.05
+    counts = np.zeros(len(languages) << TRIGRAM_BITS, dtype=np.int64)
+    if languages:
+        parts = rows.select("declared", "text").mapInArrow(_counter(languages), "counts binary").rdd
+        parts = parts.map(lambda row: np.frombuffer(row[0], np.int64))
+        counts = parts.treeAggregate(counts, np.add, np.add, depth=3)
+    counts = counts.reshape(len(languages), 1 << TRIGRAM_BITS) + 0.05
     chances = np.log(counts / counts.sum(axis=1, keepdims=True))
     # No trigram counts less than half of the unknown's even chance.
     even = -TRIGRAM_BITS * np.log(2)
@@ -146,32 +152,46 @@ def _joined(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
     return rows.join(if_small(side), rows[key].eqNullSafe(side["_key"]), "left").drop("_key")
 
 
-def identify(rows: DataFrame, languages: Sequence[str] = LANGUAGES) -> DataFrame:
+def declared_languages(
+    rows: DataFrame, min_rows: int = MIN_ROWS, min_chars: int = MIN_CHARS, most: int = MOST_LANGUAGES
+) -> list[str]:
+    """The languages that rows (text, declared) hold enough text of, in order of name."""
+    sums = rows.where(F.col("declared").isNotNull() & ~F.col("declared").isin(*NO_LANGUAGE)).groupBy("declared")
+    sums = sums.agg(
+        F.sum(F.length("text").cast("bigint")).alias("chars"), F.count_if(F.length("text") > 0).alias("n")
+    ).where((F.col("chars") >= min_chars) & (F.col("n") >= min_rows))
+    return sorted(r["declared"] for r in sums.orderBy(F.desc("chars"), "declared").limit(most).collect())
+
+
+def identify(rows: DataFrame, languages: Sequence[str] | None = None) -> DataFrame:
     """Language of every row of (id, text_hash, text, declared, suffix, host).
 
+    The ``languages`` to tell apart are given, or those of ``declared_languages``.
+    Without any, nothing is accepted.
+
     Returns id, text_hash, lang, posterior, text_lang (by the text alone), and
     accepted: the language is a known one, with at least ``MIN_POSTERIOR``.
 
     A null or empty text, or one without letters, has no text evidence; it is
     never accepted, whatever is declared. A null declaration or suffix is no
     evidence; a null host has the prior of its suffix. Declarations are compared
-    by their first subtag, lower-cased; only those of a supported language teach
+    by their first subtag, lower-cased; only those of a learned language teach
     the text model. Ties go to the language that comes first. Repeated rows each
     have their row, an empty table gives none.
     """
     spark = rows.sparkSession
-    languages = list(languages)
-    classes = [*languages, UNKNOWN]
-    n = len(classes)
     tag = F.lower(F.regexp_extract("declared", r"^\s*([A-Za-z]{2,3})(?:[-_].*)?\s*$", 1))
     rows = rows.select("id", "text_hash", F.nullif(tag, F.lit("")).alias("declared"), "suffix", "host", "text")
+    languages = list(languages) if languages is not None else declared_languages(rows)
+    classes = [*languages, UNKNOWN]
+    n = len(classes)
     model = spark.sparkContext.broadcast(trigram_model(rows, languages))
     kinds = dict(rows.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in rows.columns[:-1]) + ", logs array<double>"
     scored = keep(rows.mapInArrow(_scorer(model, n), schema), "language-scores")
 
     silent = F.forall("logs", lambda x: x == 0)
-    flat = F.array(*[F.lit((1 - UNKNOWN_SHARE) / len(languages))] * len(languages), F.lit(UNKNOWN_SHARE))
+    flat = F.array(*[F.lit((1 - UNKNOWN_SHARE) / max(1, len(languages)))] * len(languages), F.lit(UNKNOWN_SHARE))
     start = F.transform(F.arrays_zip(F.col("logs").alias("l"), flat.alias("p")), lambda x: x["l"] + F.ln(x["p"]))
     scored = scored.withColumn("silent", silent).withColumn("text_p", _softmax(start))
 
@@ -267,13 +287,19 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
-    """The documents whose language is accepted, with all their columns."""
+    """The documents whose language is accepted, with all their columns.
+
+    Rows equal in id and text that differ in what they declare go if any of them is
+    rejected; null and repeated ids are told apart by the text. See ``identify``
+    for null, empty and tied cases.
+    """
     found = identify(document_evidence(docs)).where("not accepted")
     bad = found.select(F.col("id").alias("doc_id"), "text_hash").distinct()
     return only(docs, keep(bad, "rejected"), "left_anti")
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; see ``identify`` for all cases."""
     found = identify(document_evidence(table(spark, sf_dir, "documents")))
     return found.drop("text_hash").withColumnRenamed("id", "doc_id")
 
