@@ -102,6 +102,16 @@ def test_iso_date(frame):
         column(frame, ["soon"], "string", iso_date)
 
 
+def test_iso_date_of_mixed_forms(frame):
+    forms = ["dd/MM/yyyy", "MM-dd-yyyy", None]
+    cases = ["31/12/2023", "12-31-2023", "2023-12-31", "2023-12-31 23:59:59", None]
+    mixed = lambda c: iso_date(c, forms)
+    assert column(frame, cases, "string", mixed) == ["2023-12-31"] * 4 + [None]
+    for bad in ("soon", "31-31-2023", ""):
+        with pytest.raises(PySparkException, match="no date"):
+            column(frame, ["31/12/2023", bad], "string", mixed)
+
+
 def test_load_date():
     assert load_date("2025-05-01") == "2025-05-01"
     with pytest.raises(ValueError):

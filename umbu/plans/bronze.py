@@ -27,11 +27,12 @@ def bronze_rent(raw: DataFrame, dates: str | Sequence[str]) -> DataFrame:
 
 
 def bronze_basket(
-    wide: DataFrame, dates: str | Sequence[str], pattern: str | None = None
+    wide: DataFrame, dates: str | Sequence[str], pattern: str | Sequence[str | None] | None = None
 ) -> DataFrame:
     """Price sheet with one column per city → one row per month and city.
 
-    ``pattern`` is the form of the sheet's dates, where it is not the ISO one.
+    ``pattern`` is the form of the sheet's dates, where it is not the ISO one, or the
+    forms, where they are mixed.
     """
     named = rename(clean_names(wide, hyphen=False), {"data": "data_mes"})
     dated = named.withColumn("data_mes", iso_date(F.col("data_mes"), pattern))

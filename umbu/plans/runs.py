@@ -104,7 +104,7 @@ class Lake:
         return self.save(out, S.BRONZE_RENT, dates, keep_empty=True)
 
     def bronze_basket(
-        self, raw: str | DataFrame, dates: Dates, pattern: str | None = None
+        self, raw: str | DataFrame, dates: Dates, pattern: str | Sequence[str | None] | None = None
     ) -> LoadReport:
         out = bronze.bronze_basket(self.landed(raw), dates, pattern)
         return self.save(out, S.BRONZE_BASKET, dates, keep_empty=True)

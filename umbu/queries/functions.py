@@ -47,6 +47,18 @@ def date_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 > 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS from_mixed
+FROM orders""")
+def date_mixed_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column with dates in five forms, and some that are missing."""
+    forms = ["yyyy-MM-dd", "dd/MM/yyyy", "yyyyMMdd", "d.M.yyyy", "yyyy-MM-dd HH:mm:ss"]
+    form = F.col("o_orderkey") % len(forms)
+    cell = F.coalesce(*[F.when(form == i, F.date_format("o_orderdate", p)) for i, p in enumerate(forms)])
+    cells = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, cell).alias("cell"))
+    return cells.select("o_orderkey", iso_date(F.col("cell"), ["yyyyMMdd", "dd/MM/yyyy", "d.M.yyyy", None]).alias("from_mixed"))
+
+
 @query("""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
        round_even(l_extendedprice * (1 - l_discount), 2) AS two,
