@@ -81,3 +81,31 @@ def test_query_equals_brute_force(spark, tmp_path):
     want = slow_best_fit([r["n_words"] for r in got], source, cluster, packing.CAPACITY)
     assert [r["bin"] for r in got] == want
     assert packing.op2_best_fit_packing(spark, str(tmp_path)).count() >= len(got)
+
+
+def test_query_keeps_near_copies_apart(spark, tmp_path):
+    """Texts of different sources that differ in a word or two of many."""
+    import random
+
+    from umbu.llm.near_duplicates import near_duplicates
+
+    r = random.Random(3)
+    vocabulary = [f"word{i}" for i in range(400)]
+    rows = []
+    for i in range(40):
+        text = r.choices(vocabulary, k=300)
+        for j in range(3):
+            near = text.copy()
+            near[-1] = f"end{j}"
+            rows.append((10 * i + j, " ".join(near), "en", f"s{j}", 0, None, None, None))
+    docs = frame_of(spark, rows + [rows[0], (None, rows[0][1], "en", "s9", 0, None, None, None)])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    group = {x["doc_id"]: x["root"] for x in near_duplicates(docs).collect()}
+    near = [i for i in range(40) if group[10 * i] == group[10 * i + 1]]
+    assert len(near) > 10
+    got = packing.op2_best_fit_packing(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) + 2 and sum(x["n_words"] for x in got) == 300 * len(got)
+    held = defaultdict(list)
+    for x in got:
+        held[x["bin"]].append(group[x["doc_id"]])
+    assert all(len(g) == len(set(g)) for g in held.values())

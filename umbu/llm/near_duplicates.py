@@ -187,6 +187,7 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document; see ``near_duplicates`` for all cases."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id",

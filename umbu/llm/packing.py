@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbu.llm.tables import keep, table, text_hash
+from umbu.llm.near_duplicates import near_duplicates
+from umbu.llm.tables import if_small, keep, same, table, text_hash
 
 CAPACITY = 2048
 # Pieces of a group, on average. Groups are packed alone, each by one task.
@@ -98,7 +99,18 @@ def count_words(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+def near_clusters(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash and cluster: the group of documents with close fingerprints.
+
+    Texts equal but for case and white space have equal fingerprints, so they are in
+    one group; groups are those of ``near_duplicates``. Rows equal in id and text have
+    one entry.
+    """
+    found = near_duplicates(docs).groupBy("doc_id", "text_hash").agg(F.min("root").alias("cluster"))
+    return keep(found, "near-clusters")
+
+
+def pack(docs: DataFrame, capacity: int = CAPACITY, clusters: DataFrame | None = None) -> DataFrame:
     """Places of all words of all documents in bins of ``capacity`` words.
 
     One row per piece: doc_id, text_hash, piece, first_word, n_words, bin, slot (in
@@ -117,6 +129,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         F.col("doc_id").cast("bigint"), text_hash(), F.col("source").cast("string"),
         F.xxhash64(F.btrim(flat)).alias("cluster"), count_words().alias("words"),
     )
+    if clusters is not None:
+        side = if_small(clusters.withColumnRenamed("cluster", "near"))
+        same_row = same(sized, side, ["doc_id", "text_hash"])
+        cluster = F.coalesce(side["near"], sized["cluster"]).alias("cluster")
+        sized = sized.join(side, same_row, "left").select(
+            sized["doc_id"], sized["text_hash"], "source", cluster, "words"
+        )
     number = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("words") / capacity).cast("int") - 1, F.lit(0))))
     pieces = sized.withColumn("piece", number).withColumn("first_word", F.col("piece").cast("bigint") * capacity)
     pieces = keep(
@@ -141,4 +160,6 @@ def pack(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents")).drop("text_hash")
+    """All documents packed, near copies apart; see ``pack`` for all cases."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return pack(docs, clusters=near_clusters(docs)).drop("text_hash")

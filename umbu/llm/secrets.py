@@ -249,6 +249,7 @@ def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, a row each; see ``scan_secrets`` for all cases."""
     base = [rule.kind for rule in RULES if rule.base]
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
     joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", *[s[n].cast("string") for n in ("kind", "start", "end")])))

@@ -265,13 +265,15 @@ def read_archives(paths: DataFrame, payloads: bool = False) -> DataFrame:
     """Records of the archives, one row each, validated; a fault fails the job.
 
     Columns page_id, url, record_type, refers_to, payload_digest and
-    payload_bytes, and with ``payloads`` the payload (empty for a revisit).
+    payload_bytes, and with ``payloads`` the payload (empty for a revisit). Without
+    files there are no rows; a file that is listed twice is read twice.
     """
     files = paths.select("path").repartition(max(1, paths.count()), "path")
     return files.mapInArrow(_reader(payloads), _RECORD + ", payload binary" * payloads)
 
 
 def op6_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to archives and read back; see ``write_archives`` for all cases."""
     pages = table(spark, sf_dir, "pages")
     paths = write_archives(pages, scratch_folder(spark, "warc"))
     return read_archives(paths).select(
