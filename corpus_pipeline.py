@@ -15,28 +15,41 @@ from umbu.queries.registry import Query
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no known language, or without text, go."""
+    """Documents of no known language, or without text, go.
+
+    Languages are those that enough text declares. Nulls and repeats: ``identify``.
+    """
     importable(spark)
     return drop_rejected(docs)
 
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that are like an earlier one go, and with them documents of no others."""
+    """Lines that are like an earlier one go, and with them documents of no others.
+
+    So do null texts and texts of white space alone. Repeated rows have the same lines
+    left; of equal lines in rows of different ids the one of smallest id stays.
+    """
     return dedup_lines(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with close fingerprints the one of smallest doc_id stays."""
+    """Of documents with close fingerprints the one of smallest doc_id stays.
+
+    Rows without an id come last; of rows equal in id and text one stays.
+    """
     return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which a twentieth is benchmark text go."""
+    """Documents of which a twentieth is benchmark text go; null texts stay."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every word that is left in the training sequences."""
+    """The place of every word that is left in the training sequences.
+
+    Texts without words have a row without a sequence; see ``pack`` for repeats.
+    """
     return pack(docs).drop("text_hash")
 
 
