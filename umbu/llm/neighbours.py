@@ -35,7 +35,7 @@ SETTLED = 0.001
 POOL = 40
 # Trees are grown on so many vectors, with so many at least on either side.
 SAMPLE, SAMPLE_LEAF = 16_384, 16
-PART_NODES, QUERY_BLOCK = 4096, 256
+PART_NODES, QUERY_BLOCK = 1024, 256
 # A task that compares lists thins out the pairs it has met after so many.
 HELD_PAIRS = 2_000_000
 
@@ -253,21 +253,49 @@ def _members(state, reverse):
     )
 
 
-def _needed(key, group):
-    """The different members of all lists of a block."""
-    lists = [np.frombuffer(b, np.int64) for b in group.column("near").to_pylist()]
-    ids = np.unique(np.concatenate(lists))
-    return pa.table({"block": pa.array(np.full(len(ids), key[0].as_py()), pa.int64()), "node": pa.array(ids, pa.int64())})
+_NEEDED = "block bigint, part int, ids binary"
+
+
+def _needed(key, group, parts: int):
+    """The different members of all lists of a block, by the part they are in."""
+    ids = np.unique(_joined(group.column("near"), np.int64)[0])
+    part = _part(ids, parts)
+    held = np.unique(part)
+    return pa.table(
+        {
+            "block": pa.array(np.full(len(held), key[0].as_py()), pa.int64()), "part": pa.array(held, pa.int32()),
+            "ids": pa.array([ids[part == p].tobytes() for p in held], pa.binary()),
+        }
+    )
+
+
+_SENT = "block bigint, ids binary, vecs binary, least binary, near binary, counts binary"
+
+
+def _sent(state, needed):
+    """What each block needs to know of the nodes of a part, in one row for the block."""
+    nodes = state.column("node").to_numpy()
+    order = np.argsort(nodes)
+    vecs, least = _matrix(state.column("vec")), state.column("least").to_numpy()
+    near = [np.frombuffer(b, np.int64) for b in state.column("near").to_pylist()]
+    out = [[] for _ in range(5)]
+    for blob in needed.column("ids").to_pylist():
+        at = order[np.searchsorted(nodes, np.frombuffer(blob, np.int64), sorter=order)]
+        counts = np.array([len(near[i]) for i in at], dtype=np.int64)
+        known = np.concatenate([near[i] for i in at])
+        for column, x in zip(out, (nodes[at], vecs[at], least[at], known, counts)):
+            column.append(x.tobytes())
+    names = ("ids", "vecs", "least", "near", "counts")
+    return pa.table({"block": needed.column("block"), **{n: pa.array(c, pa.binary()) for n, c in zip(names, out)}})
 
 
 def _local_join(lists, vectors, parts: int):
     """Compare fresh members of every list with all of it; each node keeps what beats
     its worst neighbour and is none of its neighbours yet."""
-    ids = vectors.column("node").to_numpy()
-    order = np.argsort(ids)
-    ids, x = ids[order], _matrix(vectors.column("vec"))[order]
-    least = vectors.column("least").to_numpy()[order]
-    mine, theirs = _entries(vectors, "node", "near")
+    kinds = {"ids": np.int64, "vecs": np.float64, "least": np.float64, "near": np.int64, "counts": np.int64}
+    ids, x, least, theirs, counts = (_joined(vectors.column(n), kind)[0] for n, kind in kinds.items())
+    mine, order = np.repeat(ids, counts), np.argsort(ids)
+    ids, x, least = ids[order], x.reshape(len(ids), -1)[order] if len(ids) else x.reshape(0, 1), least[order]
     at = np.minimum(np.searchsorted(ids, theirs), len(ids) - 1)
     here = ids[at] == theirs
     known = np.unique(np.searchsorted(ids, mine[here]) * len(ids) + at[here])
@@ -375,9 +403,10 @@ def build_graph(nodes: DataFrame) -> DataFrame:
             _members, "block bigint, node bigint, near binary, fresh binary"
         )
         lists = keep(lists, "lists")
-        needed = lists.groupBy("block").applyInArrow(_needed, "block bigint, node bigint")
-        sent = needed.join(state.select("node", "vec", "near", "least"), "node")
-        join = functools.partial(_local_join, parts=parts)
+        wanted, join = functools.partial(_needed, parts=parts), functools.partial(_local_join, parts=parts)
+        needed = lists.groupBy("block").applyInArrow(lambda key, group: wanted(key, group), _NEEDED)
+        sent = state.select("part", "node", "vec", "near", "least").groupBy("part")
+        sent = sent.cogroup(needed.groupBy("part")).applyInArrow(_sent, _SENT)
         found = lists.groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(
             lambda lists, vectors: join(lists, vectors), _FOUND
         )
