@@ -262,9 +262,30 @@ def _earliest(threshold: Fraction):
     return run
 
 
-def _words(line: Column) -> Column:
-    lower = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+def _line_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different words, as hashes, of the lines that are wanted of each text."""
+    for batch in batches:
+        numbers, lines = [], []
+        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            parts = text.split("\n")
+            numbers += [x["n"] for x in wanted]
+            lines += [parts[x["line"]] for x in wanted]
+        for piece in pieces(pa.array(lines, pa.string())):
+            starts, ends = word_places(piece, NOT_SPACE)
+            h = word_hashes(piece, starts, ends)
+            line = np.searchsorted(piece.bounds, starts, side="right") - 1
+            order = np.lexsort((h, line))
+            h, line = h[order], line[order]
+            fresh = np.append(True, (h[1:] != h[:-1]) | (line[1:] != line[:-1]))[: len(h)]
+            h, line = h[fresh], line[fresh]
+            bounds = np.searchsorted(line, np.arange(piece.last - piece.first + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(numbers[piece.first : piece.last], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(h.view(np.int64))),
+                ],
+                names=["n", "words"],
+            )
 
 
 def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, threshold: Fraction) -> DataFrame:
@@ -277,11 +298,9 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, threshold: Fra
     )
     lines = if_small(keep(lines, "candidate-lines"))
     texts = docs.select("doc_id", "text", text_hash())
-    words = (
-        texts.join(lines, same(texts, lines, ["doc_id", "text_hash"]))
-        .select(F.split("text", "\n").alias("text"), F.explode("lines").alias("l"))
-        .select("l.n", F.transform(_words(F.get("text", F.col("l.line"))), lambda w: F.xxhash64(w)).alias("words"))
-    )
+    chosen = texts.join(lines, same(texts, lines, ["doc_id", "text_hash"])).select("text", "lines")
+    words = chosen.mapInArrow(_line_words, "n bigint, words array<bigint>")
+    # Rows equal in id and text give the same lines.
     words = keep(words.dropDuplicates(["n"]), "candidate-words")
     for s in "ab":
         pairs = pairs.join(words.select(F.col("n").alias(f"{s}_n"), F.col("words").alias(f"{s}_words")), f"{s}_n")
