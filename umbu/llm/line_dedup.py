@@ -156,7 +156,7 @@ def _alike(threshold: Fraction) -> Column:
     shared = F.expr(f"({num} * (a.size + b.size) + {num + den - 1}) div {num + den}")
     left = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
     return (
-        (F.col("a.n") < F.col("b.n"))
+        (F.struct("a.doc", "a.line", "a.n") < F.struct("b.doc", "b.line", "b.n"))
         & (F.col("a.size") * den >= F.col("b.size") * num)
         & (F.col("b.size") * den >= F.col("a.size") * num)
         & (left >= shared)
@@ -168,9 +168,9 @@ def _alike(threshold: Fraction) -> Column:
     )
 
 
-# What is sent of a posting: its list and cell as one hash, the set's number, which is
-# in the order of lines, its bitmap, and size, place in the order and role in one number.
-_POSTING = ["key", "n", "bits", "more_bits", "packed"]
+# What is sent of a posting: its list and cell as one hash, the set's number and first
+# line, its bitmap, and size, place in the order and role in one number.
+_POSTING = ["key", "doc", "line", "n", "bits", "more_bits", "packed"]
 _BOTH, _ONLY_A, _ONLY_B = 0, 1, 2
 _FIELD = 31
 
@@ -209,11 +209,11 @@ def _celled(postings: DataFrame) -> DataFrame:
 
 
 def _earliest(threshold: Fraction):
-    """For rows in order of key and number: the earliest candidate of each."""
+    """For rows in order of key and line: the earliest candidate of each."""
     num, den = threshold.numerator, threshold.denominator
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        key, n, bits, more, packed = (rows.column(c).to_numpy() for c in _POSTING)
+        key, n, bits, more, packed = (rows.column(c).to_numpy() for c in ("key", *_POSTING[3:]))
         bits, more, packed = (x.view(np.uint64) for x in (bits, more, packed))
         role = packed & np.uint64(3)
         pos = ((packed >> np.uint64(2)) & np.uint64((1 << _FIELD) - 1)).astype(np.int64)
@@ -324,20 +324,18 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
         F.min(place).alias("first"), F.first(F.struct("skip", "tokens")).alias("prefix"),
         F.max("most_cells").alias("most_cells"),
     )
-    # Numbers in the order of the sets' first lines, so that these need not be sent.
-    sets = sets.repartitionByRange("first").sortWithinPartitions("first")
     sets = keep(sets.withColumn("n", F.monotonically_increasing_id()), "line-sets")
     # A word and, in its upper half, the number of cells of its list.
     word = F.posexplode("prefix.tokens").alias("at", "word")
-    postings = sets.select("n", *_SET[1:], "prefix.skip", "most_cells", word).select(
+    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", "most_cells", word).select(
         F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).alias("cells"),
-        "most_cells", "n", *_SET[1:], (F.col("skip") + F.col("at")).alias("pos"),
+        "most_cells", "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
     )
     whole = postings.where("most_cells = 1").select(_key(F.lit(0).cast("bigint")), *_POSTING[1:-1], _packed(_BOTH))
     ordered = (
         whole.unionByName(_celled(postings.where("most_cells > 1")))
         .repartition("key")
-        .sortWithinPartitions("key", "n")
+        .sortWithinPartitions("key", "doc", "line", "n")
     )
     found = ordered.mapInArrow(_earliest(threshold), "a_n bigint, b_n bigint")
     pairs = keep(found.groupBy("b_n").agg(F.min("a_n").alias("a_n")).select("a_n", "b_n"), "line-pairs")
