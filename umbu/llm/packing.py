@@ -99,6 +99,11 @@ def count_words(text: str | Column = "text") -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
+def _equal_text() -> Column:
+    """Equal for texts that are equal but for case and white space."""
+    return F.xxhash64(F.btrim(F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))))
+
+
 def near_clusters(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash and cluster: the group of documents with close fingerprints.
 
@@ -124,17 +129,14 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, clusters: DataFrame | None =
     offset are null). Repeated rows are packed each for itself. An empty table
     gives no rows.
     """
-    flat = F.lower(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
     sized = docs.select(
-        F.col("doc_id").cast("bigint"), text_hash(), F.col("source").cast("string"),
-        F.xxhash64(F.btrim(flat)).alias("cluster"), count_words().alias("words"),
+        F.col("doc_id").cast("bigint"), text_hash(), F.col("source").cast("string"), count_words().alias("words"),
+        *([_equal_text().alias("cluster")] if clusters is None else []),
     )
     if clusters is not None:
-        side = if_small(clusters.withColumnRenamed("cluster", "near"))
-        same_row = same(sized, side, ["doc_id", "text_hash"])
-        cluster = F.coalesce(side["near"], sized["cluster"]).alias("cluster")
-        sized = sized.join(side, same_row, "left").select(
-            sized["doc_id"], sized["text_hash"], "source", cluster, "words"
+        side = if_small(clusters)
+        sized = sized.join(side, same(sized, side, ["doc_id", "text_hash"]), "left").select(
+            sized["doc_id"], sized["text_hash"], "source", "cluster", "words"
         )
     number = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("words") / capacity).cast("int") - 1, F.lit(0))))
     pieces = sized.withColumn("piece", number).withColumn("first_word", F.col("piece").cast("bigint") * capacity)
