@@ -26,7 +26,6 @@ from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -396,18 +395,22 @@ def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, counts: bool =
     return rows.select(*columns)
 
 
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
-def _without(text: pd.Series, removed: pd.Series) -> pd.DataFrame:
+_LEFT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+
+
+@F.arrow_udf(_LEFT)
+def _without(text: pa.Array, removed: pa.Array) -> pa.Array:
     """Texts without some of their lines; null where there is no text."""
-    out = []
+    left = []
     for whole, numbers in zip(text, removed):
-        if whole is None or numbers is None:
-            out.append((None, None))
+        if not whole.is_valid or not numbers.is_valid:
+            left.append(None)
             continue
-        gone = set(numbers.tolist())
-        left = "\n".join(line for i, line in enumerate(whole.split("\n")) if i not in gone)
-        out.append((left, len(left)))
-    return pd.DataFrame(out, columns=["text", "n_chars"])
+        gone = set(numbers.as_py())
+        left.append("\n".join(line for i, line in enumerate(whole.as_py().split("\n")) if i not in gone))
+    texts = pa.array(left, pa.string())
+    chars = pa.array([None if x is None else len(x) for x in left], pa.int64())
+    return pa.StructArray.from_arrays([texts, chars], names=["text", "n_chars"])
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
