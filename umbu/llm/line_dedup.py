@@ -212,7 +212,7 @@ def _earliest(threshold: Fraction):
     num, den = threshold.numerator, threshold.denominator
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
-        key, n, bits, more, packed = (rows.column(c).to_numpy() for c in ("key", *_POSTING[3:]))
+        key, doc, line, n, bits, more, packed = (rows.column(c).to_numpy() for c in _POSTING)
         bits, more, packed = (x.view(np.uint64) for x in (bits, more, packed))
         role = packed & np.uint64(3)
         pos = ((packed >> np.uint64(2)) & np.uint64((1 << _FIELD) - 1)).astype(np.int64)
@@ -239,7 +239,10 @@ def _earliest(threshold: Fraction):
             k += 1
             later = later[place[later] >= k]
         b = np.flatnonzero(best >= 0)
-        return pa.RecordBatch.from_pydict({"a_n": pa.array(n[best[b]]), "b_n": pa.array(n[b])})
+        a = best[b]
+        return pa.RecordBatch.from_pydict(
+            {"a_doc": pa.array(doc[a]), "a_line": pa.array(line[a]), "a_n": pa.array(n[a]), "b_n": pa.array(n[b])}
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -336,8 +339,9 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
         .repartition("key")
         .sortWithinPartitions("key", "doc", "line", "n")
     )
-    found = ordered.mapInArrow(_earliest(threshold), "a_n bigint, b_n bigint")
-    pairs = keep(found.groupBy("b_n").agg(F.min("a_n").alias("a_n")).select("a_n", "b_n"), "line-pairs")
+    found = ordered.mapInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
+    earliest = F.min(F.struct("a_doc", "a_line", "a_n")).alias("a")
+    pairs = keep(found.groupBy("b_n").agg(earliest).select("a.a_n", "b_n"), "line-pairs")
     later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
     doubtful = pairs.select(F.col("b_n").alias("n")).join(later, "n", "left_anti")
     doubtful = if_small(keep(doubtful, "doubtful-lines"))
