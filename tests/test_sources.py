@@ -293,6 +293,21 @@ def test_old_and_new_files_together(spark, frame, tmp_path, wide):
         assert sorted(r["data_carga"] for r in df.where("populacao = 7").collect()) == dates
 
 
+def test_only_numbers_wider_than_the_table_are_checked_row_by_row(spark, frame, tmp_path):
+    """Checks in every column make plans of several layers too long to be compiled."""
+    root, place = str(tmp_path), S.BRONZE_POP_UF.location(str(tmp_path))
+    for day, kind, people in ((D1, "int", 7), (D2, "smallint", 8), (D3, "bigint", 1 << 31)):
+        frame([("x", people)], f"unidade_federativa string, populacao {kind}").write.parquet(f"{place}/data_carga={day}")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().lower()
+    narrow = read_loads(spark, root, S.BRONZE_POP_UF, [D1, D2])
+    assert "raise_error" not in plan(narrow)
+    assert sorted(r["populacao"] for r in narrow.collect()) == [7, 8]
+    wide = read_loads(spark, root, S.BRONZE_POP_UF, [D1, D3])
+    assert "raise_error" in plan(wide) and "union" not in plan(wide)
+    assert wide.where(F.col(LOAD_DATE) == D1).first()["populacao"] == 7
+    assert "whole number" in fails(wide)
+
+
 def test_files_without_a_column_are_an_error(spark, frame, tmp_path):
     path = f"{S.BRONZE_POP_UF.location(str(tmp_path))}/data_carga=2025-01-01"
     frame([("x",)], "unidade_federativa string").write.parquet(path)

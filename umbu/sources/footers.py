@@ -9,6 +9,7 @@ columns is to be read with. Files of one shape can be read together.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -24,22 +25,23 @@ from umbu.schemas import LOAD_DATE, Table
 _ROWS = f"path string, {LOAD_DATE} string, shape string, problem string"
 # The types of files that a table's types can be made of; void is a column of nulls.
 _READABLE = {
-    "int": ("bigint", "double", "decimal", "void"),
-    "bigint": ("bigint", "double", "decimal", "void"),
-    "double": ("bigint", "double", "decimal", "void"),
+    "int": ("int", "bigint", "double", "decimal", "void"),
+    "bigint": ("int", "bigint", "double", "decimal", "void"),
+    "double": ("int", "bigint", "double", "decimal", "void"),
     "string": ("string", "void"),
 }
 _ABSENT = "void"
 
 
 def _kind(held: pa.DataType) -> str:
-    """The type a column is to be read with, as wide as files of its kind need."""
+    """The type a column is to be read with: no wider than the file's, so that what
+    fits the table's needs no check row by row."""
     if pa.types.is_dictionary(held):
         held = held.value_type
     if pa.types.is_uint64(held):
         return "decimal(20,0)"
     if pa.types.is_integer(held):
-        return "bigint"
+        return "int" if held.bit_width < 32 or pa.types.is_int32(held) else "bigint"
     if pa.types.is_float32(held) or pa.types.is_float64(held):
         return "double"
     if pa.types.is_decimal(held) and held.precision <= 38:
@@ -123,6 +125,21 @@ def _opens(path: str) -> bool:
         return False
 
 
+def read_as(shapes: list[str]) -> dict[str, list[str]]:
+    """The shapes to read files with, each with those of the files it is for.
+
+    A column that some files hold as int and some as bigint is a bigint in all, so
+    that files which differ in nothing else are read together.
+    """
+    wide = {cell for shape in shapes for cell in shape.split(", ") if cell.endswith(" bigint")}
+    out: dict[str, list[str]] = {}
+    for shape in sorted({*shapes}):
+        cells = [re.sub(" int$", " bigint", cell) for cell in shape.split(", ")]
+        cells = [new if new in wide else old for old, new in zip(shape.split(", "), cells)]
+        out.setdefault(", ".join(cells), []).append(shape)
+    return out
+
+
 def read_type(shape: str) -> T.StructType:
     """The schema to read files of a shape with: without columns of nulls."""
     kept = [part for part in shape.split(", ") if not part.endswith(f" {_ABSENT}")]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from umbu.functions.dates import load_date
 from umbu.schemas import LOAD_DATE, Table
-from umbu.sources.footers import footers, read_type
+from umbu.sources.footers import footers, read_as, read_type
 
 # Below a table's folder; scans pass over names that begin so.
 VERSIONS = "_versions"
@@ -54,8 +54,9 @@ def read_loads(
     Only the folders of these loads are listed, whatever else the table holds.
     Any load without Parquet files raises ``FileNotFoundError``. A file that lacks a
     column, or holds it in a type the table's cannot be made of, raises ``ValueError``
-    with its name. Numbers are read as wide as the files hold them and narrowed with a
-    check, so that loads of different widths can be read together.
+    with its name. Numbers are read as wide as the files hold them and those wider than
+    the table's narrowed with a check, so that loads of different widths can be read
+    together.
     """
     dates = [dates] if isinstance(dates, str) else list(dates)
     paths = [load_path(root, table, day) for day in dates]
@@ -81,13 +82,13 @@ def _read(spark: SparkSession, root: str, table: Table, paths: list[str], wanted
         raise ValueError(f"{table.layer}.{table.name}: {said}")
     if absent := sorted(wanted - {r[LOAD_DATE] for r in held}):
         raise _absent(table, absent)
-    shapes = sorted({r["shape"] for r in held})
+    shapes = read_as([r["shape"] for r in held])
     if not shapes:
         return spark.createDataFrame([], table.struct)
     out = None
-    for shape in shapes:
+    for shape, theirs in shapes.items():
         # Files of one shape, as is usual, are read by their folders.
-        of = paths if len(shapes) == 1 else [r[0] for r in found.where(F.col("shape") == shape).select("path").collect()]
+        of = paths if len(shapes) == 1 else [r[0] for r in found.where(F.col("shape").isin(theirs)).select("path").collect()]
         part = reader().schema(read_type(shape)).parquet(*of)
         nulls = {name: F.lit(None) for name, _ in table.columns if name not in part.columns}
         part = table.conform(part.withColumns(nulls) if nulls else part)
