@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from umbu.llm.tables import about, keep, table
+from umbu.sources.shared import scratch_folder
 
 NEIGHBOURS = 48
 TREES = 8
@@ -393,7 +394,9 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     state = keep(nodes.select("node", "embedding").mapInArrow(place, _STATE + ", leaves array<bigint>"), "placed")
     leaf = state.select("node", "vec", F.explode("leaves").alias("leaf"))
     found = leaf.groupBy("leaf").applyInArrow(_leaf_neighbours(LEAF, parts), _FOUND)
-    state, rounds = _merge(state.drop("leaves"), found), 0
+    # A round writes its graph over the last but one, and its lists over the last.
+    graphs, place_of_lists = [scratch_folder(spark, "graph") for _ in range(2)], scratch_folder(spark, "lists")
+    state, rounds = _merge(state.drop("leaves"), found, graphs[0]), 0
     changed = count * NEIGHBOURS
     while changed > SETTLED * count * NEIGHBOURS:
         turned = state.select("node", "near", "fresh").mapInArrow(
@@ -402,7 +405,7 @@ def build_graph(nodes: DataFrame) -> DataFrame:
         lists = state.groupBy("part").cogroup(turned.groupBy("part")).applyInArrow(
             _members, "block bigint, node bigint, near binary, fresh binary"
         )
-        lists = keep(lists, "lists")
+        lists = keep(lists, "lists", place_of_lists)
         wanted, join = functools.partial(_needed, parts=parts), functools.partial(_local_join, parts=parts)
         needed = lists.groupBy("block").applyInArrow(lambda key, group: wanted(key, group), _NEEDED)
         sent = state.select("part", "node", "vec", "near", "least").groupBy("part")
@@ -411,14 +414,17 @@ def build_graph(nodes: DataFrame) -> DataFrame:
             lambda lists, vectors: join(lists, vectors), _FOUND
         )
         seen = Observation()
-        state = _merge(state, found.observe(seen, F.sum(F.octet_length("w") / 8).alias("entries")))
-        changed, rounds = state.agg(F.sum("changed")).first()[0] or 0, rounds + 1
+        rounds += 1
+        found = found.observe(seen, F.sum(F.octet_length("w") / 8).alias("entries"))
+        state = _merge(state, found, graphs[rounds % 2])
+        changed = state.agg(F.sum("changed")).first()[0] or 0
         _LOG.info("round %d: %d entries sent, %d new to a list", rounds, seen.get["entries"] or 0, changed)
     return state
 
 
-def _merge(state: DataFrame, found: DataFrame) -> DataFrame:
-    return keep(state.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_merged, _STATE), "graph")
+def _merge(state: DataFrame, found: DataFrame, place: str) -> DataFrame:
+    merged = state.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(_merged, _STATE)
+    return keep(merged, "graph", place)
 
 
 _POOLS = "node bigint, block int, vec binary, near binary, sims binary, open binary"
@@ -489,16 +495,18 @@ def greedy_search(graph: DataFrame, queries: DataFrame) -> DataFrame:
 
     It ends when every pool's nearest ``POOL`` are open; no node is opened twice.
     """
+    spark = graph.sparkSession
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block")
     shut = F.expr("unhex(repeat('00', cast(octet_length(near) / 8 as int)))").alias("open")
     pools = graph.join(queries.select("node"), "node", "left_semi").select("node", block, "vec", "near", "sims", shut)
-    pools = keep(pools, "pools")
+    places, place_of_opened = [scratch_folder(spark, "pools") for _ in range(2)], scratch_folder(spark, "opened")
+    pools, steps = keep(pools, "pools", places[0]), 0
     while True:
         front = pools.select("block", F.col("node").alias("query"), "near", "sims", "open")
         front = front.mapInArrow(_frontier, "block int, query bigint, node bigint")
         lists = front.join(graph.select("node", "near"), "node").select("block", "query", "near")
-        lists = keep(lists, "opened")
+        lists = keep(lists, "opened", place_of_opened)
         if not lists.limit(1).count():
             break
         wanted = lists.groupBy("block").applyInArrow(_wanted, "block int, node bigint")
@@ -508,7 +516,8 @@ def greedy_search(graph: DataFrame, queries: DataFrame) -> DataFrame:
             vectors.select("block", none("bigint").alias("query"), "node", none("binary").alias("near"), "vec")
         )
         pools = pools.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(_widened, _POOLS)
-        pools = keep(pools, "pools")
+        steps += 1
+        pools = keep(pools, "pools", places[steps % 2])
     return pools
 
 

@@ -14,6 +14,8 @@ from umbu.sources.shared import scratch_folder
 # A side is broadcast up to so many rows, counted beforehand; beyond them the
 # join is a shuffle. Such sides are a few numbers wide.
 BROADCAST_ROWS = 200_000
+# Whether a query's shuffle files are removed when it ends.
+_FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def importable(spark: SparkSession) -> None:
@@ -32,11 +34,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keep(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a frame to the shared folder and read it again: its lineage is cut."""
+def keep(df: DataFrame, purpose: str, place: str | None = None) -> DataFrame:
+    """Write a frame to the shared folder and read it again: its lineage is cut.
+
+    What the write has shuffled goes when it ends, not when the driver next collects
+    garbage. A ``place`` that is given is written over: nothing that is still to be
+    read may be there, the frame itself least of all.
+    """
     spark = df.sparkSession
-    path = scratch_folder(spark, purpose)
-    df.write.option("compression", "zstd").parquet(path)
+    path = place or scratch_folder(spark, purpose)
+    before = spark.conf.get(_FILES_GO, "false")
+    spark.conf.set(_FILES_GO, "true")
+    try:
+        df.write.mode("overwrite" if place else "errorifexists").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_FILES_GO, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
