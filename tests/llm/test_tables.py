@@ -1,8 +1,10 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 
 from umbu.llm import neighbours, tables
+from umbu.llm.line_dedup import COUNT_BITS, word_counts
 
 
 def test_what_a_write_has_shuffled_goes_with_it(spark):
@@ -42,3 +44,18 @@ def test_rounds_write_over_what_no_one_reads_any_more(spark, monkeypatch):
     assert len(places["graph"]) > 2 and len(places["lists"]) > 1 and len(places["opened"]) > 1
     assert len({*places["graph"]}) == 2 and len({*places["pools"]}) <= 2
     assert len({*places["lists"]}) == len({*places["opened"]}) == 1
+
+
+def test_counts_are_summed_without_python_of_rows(spark, monkeypatch):
+    """A second Python worker for each task takes memory from the first."""
+    parts = spark.range(4).repartition(4).mapInArrow(
+        lambda batches: tables.counted(np.bincount(np.concatenate([b.column(0).to_numpy() for b in batches] or [[0]]).astype(int), minlength=6)),
+        tables.COUNTED,
+    )
+    assert tables.summed(parts, 6)[1:].tolist() == [1, 1, 1, 0, 0]
+    assert not [*tables.counted(np.zeros(3, np.int64))]
+    sizes = [b.num_rows for b in tables.counted(np.ones((1 << 16) + 1, np.int64))]
+    assert sizes == [1 << 16, 1] and pa.types.is_int64(next(tables.counted(np.ones(1, np.int64))).column(0).type)
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.rdd", property(lambda df: 1 / 0))
+    counts = word_counts(spark.createDataFrame([("a b a",), (None,), ("B\n",)], "text string"))
+    assert len(counts) == 1 << COUNT_BITS and sorted(counts[counts > 0]) == [2, 2]

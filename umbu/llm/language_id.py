@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from umbu.llm.tables import if_small, keep, only, table, text_hash
+from umbu.llm.tables import COUNTED, counted, if_small, keep, only, summed, table, text_hash
 from umbu.llm.words import LOWER, pieces
 
 # A declared language is learned if so many rows with text declare it and hold so many
@@ -88,7 +88,7 @@ def _counter(languages: Sequence[str]):
                 of = np.repeat(label, np.diff(heads))
                 for k in range(len(languages)):
                     counts[k] += np.bincount(found[of == k], minlength=counts.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()])], names=["counts"])
+        yield from counted(counts.ravel())
 
     return run
 
@@ -97,9 +97,8 @@ def trigram_model(rows: DataFrame, languages: Sequence[str]) -> np.ndarray:
     """Log chances (trigram, language and unknown) from all declared texts."""
     counts = np.zeros(len(languages) << TRIGRAM_BITS, dtype=np.int64)
     if languages:
-        parts = rows.select("declared", "text").mapInArrow(_counter(languages), "counts binary").rdd
-        parts = parts.map(lambda row: np.frombuffer(row[0], np.int64))
-        counts = parts.treeAggregate(counts, np.add, np.add, depth=3)
+        parts = rows.select("declared", "text").mapInArrow(_counter(languages), COUNTED)
+        counts = summed(parts, len(counts))
     counts = counts.reshape(len(languages), 1 << TRIGRAM_BITS) + 0.05
     chances = np.log(counts / counts.sum(axis=1, keepdims=True))
     # No trigram counts less than half of the unknown's even chance.

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umbu.llm.tables import if_small, keep, same, table, text_hash
+from umbu.llm.tables import COUNTED, counted, if_small, keep, same, summed, table, text_hash
 from umbu.llm.words import NOT_SPACE, mix, pieces, word_hashes, word_places
 
 THRESHOLD = Fraction(4, 5)
@@ -58,16 +58,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch.column(0)):
             found = word_hashes(piece, *word_places(piece, NOT_SPACE))
             counts += np.bincount(_bucket(found), minlength=len(counts))
-    yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()])], names=["counts"])
+    yield from counted(counts)
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """Words of all texts counted in hashed buckets, summed in a tree."""
-    parts = docs.select("text").mapInArrow(_count, "counts binary").rdd
-    zero = np.zeros(1 << COUNT_BITS, dtype=np.int64)
-    return parts.map(lambda row: np.frombuffer(row[0], np.int64)).treeAggregate(
-        zero, np.add, np.add, depth=3
-    )
+    """Words of all texts counted in hashed buckets, in tasks, and summed by bucket."""
+    return summed(docs.select("text").mapInArrow(_count, COUNTED), 1 << COUNT_BITS)
 
 
 def _ordered(group: np.ndarray, rank: np.ndarray) -> np.ndarray:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,6 +68,25 @@ def about(df: DataFrame, rows: int, of: int, *names: str) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(*names), F.lit(1 << 31)) < share).limit(rows)
 
 
+COUNTED = "place bigint, n bigint"
+
+
+def counted(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What a task counted, by place, in batches of bounded size; zeros are left out."""
+    places = np.flatnonzero(counts)
+    for at in range(0, len(places), 1 << 16):
+        some = places[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["place", "n"])
+
+
+def summed(parts: DataFrame, size: int) -> np.ndarray:
+    """The tasks' counts (``COUNTED``) added up by place, of which there are ``size``."""
+    found = parts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, dtype=np.int64)
+    out[found.column("place").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
 def if_small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a kept frame for broadcast if it has few rows; counting reads footers."""
     return F.broadcast(side) if side.count() <= rows else side
