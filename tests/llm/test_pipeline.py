@@ -48,3 +48,12 @@ def test_pipeline_on_the_tables(spark):
         if r["bin"] is not None:
             held[r["bin"]] = held.get(r["bin"], 0) + r["n_words"]
     assert max(held.values()) <= 2048
+
+
+def test_texts_that_lose_lines_are_split_once(spark):
+    """Not a second time, by a second Python worker, to see whether anything is left."""
+    docs = spark.createDataFrame([(i, f"a b c\nd e f {i}\n", "en", "s", 0, None, None, None) for i in range(9)], DOCS)
+    left = corpus_pipeline.remove_repeated_lines(spark, docs, "")
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert left.where("text like '%a b c%'").count() == 1 and left.count() == 9

@@ -398,8 +398,7 @@ def dedup_lines(docs: DataFrame, threshold: Fraction = THRESHOLD, counts: bool =
 _LEFT = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
-@F.arrow_udf(_LEFT)
-def _without(text: pa.Array, removed: pa.Array) -> pa.Array:
+def _left_of(text: pa.Array, removed: pa.Array) -> pa.Array:
     """Texts without some of their lines; null where there is no text."""
     left = []
     for whole, numbers in zip(text, removed):
@@ -413,6 +412,11 @@ def _without(text: pa.Array, removed: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([texts, chars], names=["text", "n_chars"])
 
 
+# It is deterministic; Spark is told otherwise so that a filter on the text that is left
+# is not pushed below it, which would split each text twice, by two workers a task.
+_without = F.arrow_udf(_left_of, _LEFT).asNondeterministic()
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines removed, and the text that is left."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
