@@ -1,5 +1,6 @@
 from fractions import Fraction
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.samples import documents, empty, frame_of
@@ -110,3 +111,33 @@ def test_names_that_clash(spark):
     docs = frame_of(spark, documents(6)).withColumnsRenamed({"fp": "_gone", "root": "_left", "token": "removed"})
     assert dedup_lines(docs).schema == docs.schema
     assert dedup_lines(docs).count() == docs.count()
+
+
+def test_order_of_postings_is_by_line():
+    """Lists come in no order of their own; ties, null ids and wide ranges hold."""
+    r = np.random.default_rng(7)
+    for high in (50, 1 << 40, (1 << 63) - 1):
+        group = np.sort(r.integers(0, 40, 3000))
+        group = np.cumsum(np.append(False, np.diff(group) != 0))
+        doc, line = r.integers(0, high, 3000), r.integers(0, 9, 3000).astype(np.int32)
+        doc[:5] = line_dedup._NO_ID
+        doc[5:8] = -(1 << 62)
+        n = r.permutation(3000)
+        rows = [*zip(group.tolist(), doc.tolist(), line.tolist(), n.tolist())]
+        assert [rows[i] for i in line_dedup._by_line(group, doc, line, n)] == sorted(rows)
+        alone = np.arange(3000)
+        assert line_dedup._by_line(alone, doc % 1000, line, n).tolist() == alone.tolist()
+
+
+def test_postings_are_sorted_by_one_number(spark, monkeypatch):
+    """Spark then sorts by the digits, not by comparing rows."""
+    plans, keep = [], line_dedup.keep
+
+    def kept(df, purpose):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return keep(df, purpose)
+
+    monkeypatch.setattr(line_dedup, "keep", kept)
+    line_dedup.repeated_lines(frame_of(spark, documents(2)))
+    sorts = [line for plan in plans for line in plan.splitlines() if "Sort [key" in line]
+    assert sorts and not any("," in line.split("[")[1].split("]")[0] for line in sorts)

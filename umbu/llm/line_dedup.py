@@ -39,6 +39,8 @@ THRESHOLD = Fraction(4, 5)
 COUNT_BITS = 18
 # A list that may have more lines than this is compared in cells.
 CELL_LINES = 1 << 17
+# Texts are handled in pieces of about this size, whose arrays stay in the cache.
+LINE_BYTES = 1 << 17
 
 _SET = ["sid", "bits", "more_bits", "size"]
 _LINES = (
@@ -55,7 +57,7 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
     for batch in batches:
-        for piece in pieces(batch.column(0)):
+        for piece in pieces(batch.column(0), LINE_BYTES):
             found = word_hashes(piece, *word_places(piece, NOT_SPACE))
             counts += np.bincount(_bucket(found), minlength=len(counts))
     yield from counted(counts)
@@ -81,7 +83,7 @@ def _line_sets(counts, threshold: Fraction):
         level = np.minimum(64 * np.log2(often + 1.0), 2047).astype(np.uint64)
         for batch in batches:
             ids, hashes = batch.column(0), batch.column(1)
-            for piece in pieces(batch.column(2)):
+            for piece in pieces(batch.column(2), LINE_BYTES):
                 starts, ends = word_places(piece, NOT_SPACE)
                 if not len(starts):
                     continue
@@ -203,12 +205,28 @@ def _celled(postings: DataFrame) -> DataFrame:
     return cells.select(_key(F.col("cell")), *_POSTING[1:-1], _packed(F.col("role")))
 
 
+def _by_line(group: np.ndarray, doc: np.ndarray, line: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Order by group (from 0, ascending), then by doc, line and n."""
+    low, lines = int(doc.min()), int(line.max()) + 1
+    docs = int(doc.max()) - low + 1
+    if (int(group[-1]) + 1) * docs * lines < 1 << 63:
+        place = (group * docs + (doc - low)) * lines + line
+        order = np.argsort(place)
+        if (np.diff(place[order]) != 0).all():
+            return order
+    return np.lexsort((n, line, doc, group))
+
+
 def _earliest(threshold: Fraction):
-    """For rows in order of key and line: the earliest candidate of each."""
+    """For rows in order of key: the earliest candidate of each."""
     num, den = threshold.numerator, threshold.denominator
 
     def compare(rows: pa.Table) -> pa.RecordBatch:
         key, doc, line, n, bits, more, packed = (rows.column(c).to_numpy() for c in _POSTING)
+        group = np.cumsum(np.append(False, np.diff(key) != 0))
+        order = _by_line(group, doc, line, n)
+        # Keys stay where they are: each group is put in order by itself.
+        doc, line, n, bits, more, packed = (x[order] for x in (doc, line, n, bits, more, packed))
         bits, more, packed = (x.view(np.uint64) for x in (bits, more, packed))
         role = packed & np.uint64(3)
         pos = ((packed >> np.uint64(2)) & np.uint64((1 << _FIELD) - 1)).astype(np.int64)
@@ -268,7 +286,7 @@ def _line_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = text.split("\n")
             numbers += [x["n"] for x in wanted]
             lines += [parts[x["line"]] for x in wanted]
-        for piece in pieces(pa.array(lines, pa.string())):
+        for piece in pieces(pa.array(lines, pa.string()), LINE_BYTES):
             starts, ends = word_places(piece, NOT_SPACE)
             h = word_hashes(piece, starts, ends)
             line = np.searchsorted(piece.bounds, starts, side="right") - 1
@@ -333,7 +351,7 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     ordered = (
         whole.unionByName(_celled(postings.where("most_cells > 1")))
         .repartition("key")
-        .sortWithinPartitions("key", "doc", "line", "n")
+        .sortWithinPartitions("key")  # of one number: a radix sort; tasks order the lines of a list
     )
     found = ordered.mapInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
     earliest = F.min(F.struct("a_doc", "a_line", "a_n")).alias("a")
@@ -341,13 +359,14 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
     doubtful = pairs.select(F.col("b_n").alias("n")).join(later, "n", "left_anti")
     doubtful = if_small(keep(doubtful, "doubtful-lines"))
-    # Each doubtful line against all parts of its lists; a part is one key of the join.
+    # Each doubtful line against all parts of its lists; a part, above the word in one
+    # number, is one key of the join.
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)).alias("part")
-    probes = postings.join(doubtful, "n", "left_semi").select("*", part)
+    listed = F.shiftleft("part", 32).bitwiseOR(F.col("token")).alias("key")
+    probes = postings.join(doubtful, "n", "left_semi").select("*", part).select("*", listed)
     probes = if_small(keep(probes, "probes"))
-    lists = postings.withColumn("part", _salt().cast("bigint"))
-    listed = (F.col("a.token") == F.col("b.token")) & (F.col("a.part") == F.col("b.part"))
-    rest = lists.alias("a").join(probes.alias("b"), listed)
+    lists = postings.withColumn("part", _salt().cast("bigint")).select("*", listed)
+    rest = lists.alias("a").join(probes.alias("b"), F.col("a.key") == F.col("b.key"))
     rest = rest.where(_alike(threshold)).select(F.col("a.n").alias("a_n"), F.col("b.n").alias("b_n"))
     more = _verified(docs, sets, keep(rest.distinct(), "more-pairs"), threshold)
     later = keep(later.union(more), "later-lines")
