@@ -1,6 +1,8 @@
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tests.llm.samples import documents, empty, frame_of
@@ -141,3 +143,75 @@ def test_postings_are_sorted_by_one_number(spark, monkeypatch):
     line_dedup.repeated_lines(frame_of(spark, documents(2)))
     sorts = [line for plan in plans for line in plan.splitlines() if "Sort [key" in line]
     assert sorts and not any("," in line.split("[")[1].split("]")[0] for line in sorts)
+
+
+def sets_batch(r, rows, cells):
+    """Sets of random bitmaps close to each other, with words of few kinds."""
+    tokens = [sorted(r.choice(60, r.integers(1, 9), replace=False)) for _ in range(rows)]
+    most = {t: cells if t % 5 == 0 else 1 for t in range(60)}
+    bits = r.integers(0, 4, (2, rows))
+    return pa.RecordBatch.from_pydict({
+        "n": pa.array(r.permutation(rows)), "bits": pa.array(bits[0]), "more_bits": pa.array(bits[1]),
+        "size": pa.array((r.integers(10, 40, rows)).astype(np.int32)),
+        "doc": pa.array(r.integers(0, rows, rows)), "line": pa.array(r.integers(0, 3, rows).astype(np.int32)),
+        "skip": pa.array(r.integers(0, 2, rows).astype(np.int32)),
+        "tokens": pa.array([[int(t) | most[t] << 32 for t in x] for x in tokens], pa.list_(pa.int64())),
+        "n_postings": pa.array([sum(2 * most[t] - 1 for t in x) for x in tokens], pa.int64()),
+    })
+
+
+def earliest_by_pairs(sets, num=4, den=5):
+    """(a_n, b_n): of each set and word the earliest set that passes all filters."""
+    lists, best = {}, set()
+    for row in sets.to_pylist():
+        for at, word in enumerate(row["tokens"]):
+            lists.setdefault(word, []).append({**row, "left": row["size"] - row["skip"] - at})
+    order = lambda x: (x["doc"], x["line"], x["n"])
+    for members in lists.values():
+        for b in members:
+            passed = []
+            for a in members:
+                both = a["size"] + b["size"]
+                shared = -(-num * both // (num + den))
+                apart = (a["bits"] ^ b["bits"]).bit_count() + (a["more_bits"] ^ b["more_bits"]).bit_count()
+                sizes = a["size"] * den >= b["size"] * num and b["size"] * den >= a["size"] * num
+                if order(a) < order(b) and sizes and min(a["left"], b["left"]) >= shared and apart <= both - 2 * shared:
+                    passed.append(a)
+            if passed:
+                best.add((min(passed, key=order)["n"], b["n"]))
+    return best
+
+
+def test_bundles_hold_every_posting_and_yield_the_earliest(monkeypatch):
+    """Few rows travel, not one for each posting; lists by size lose no candidate."""
+    r = np.random.default_rng(11)
+    for cells, bundle in ((1, 1 << 18), (1, 100), (4, 300)):
+        monkeypatch.setattr(line_dedup, "BUNDLE_POSTINGS", bundle)
+        sets, parts = sets_batch(r, 600, cells), 7
+        rows = pa.Table.from_batches([*line_dedup._bundles(parts)(iter([sets.slice(0, 250), sets.slice(250)]))])
+        total = sum(sets["n_postings"].to_pylist())
+        assert sum(len(x) for x in rows["n"].to_pylist()) == 8 * total
+        assert rows.num_rows <= parts * (2 + 2 * total // bundle) and {*rows["key"].to_pylist()} == {*range(parts)}
+        found = {}
+        for key in range(parts):
+            part = line_dedup._earliest(Fraction(4, 5))(rows.filter(pc.equal(rows["key"], key)))
+            for a_doc, a_line, a_n, b_n in zip(*(part[c].to_pylist() for c in ("a_doc", "a_line", "a_n", "b_n"))):
+                found.setdefault(b_n, []).append((a_doc, a_line, a_n))
+        expected = {}
+        for a_n, b_n in earliest_by_pairs(sets):
+            i = sets["n"].to_pylist().index(a_n)
+            expected.setdefault(b_n, []).append((sets["doc"][i].as_py(), sets["line"][i].as_py(), a_n))
+        assert expected and {b: min(a) for b, a in found.items()} == {b: min(a) for b, a in expected.items()}
+
+
+def test_postings_are_sent_in_few_rows(spark, monkeypatch):
+    """Counts of words and postings were a row each: 6.9 and 20.3 million on 0.5 GB."""
+    words = pa.array([" ".join(f"w{i}" for i in range(50_000))])
+    [counted] = line_dedup._count(iter([pa.RecordBatch.from_arrays([words], names=["text"])]))
+    assert counted.num_rows <= (1 << line_dedup.COUNT_BITS) // 16
+    assert sum(sum(counted.column(i).to_pylist()) for i in range(1, 17)) == 50_000
+    plans, keep = [], line_dedup.keep
+    monkeypatch.setattr(line_dedup, "keep", lambda df, purpose: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, purpose))
+    line_dedup.repeated_lines(frame_of(spark, documents(2)))
+    [pairs] = [plan for plan in plans if "Sort [key" in plan]
+    assert "Generate" not in pairs.split("Sort [key")[1]

@@ -27,11 +27,12 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from umbu.llm.tables import COUNTED, counted, if_small, keep, same, summed, table, text_hash
+from umbu.llm.tables import if_small, keep, same, table, text_hash
 from umbu.llm.words import NOT_SPACE, mix, pieces, word_hashes, word_places
 
 THRESHOLD = Fraction(4, 5)
@@ -41,11 +42,17 @@ COUNT_BITS = 18
 CELL_LINES = 1 << 17
 # Texts are handled in pieces of about this size, whose arrays stay in the cache.
 LINE_BYTES = 1 << 17
+# Words are counted so many at a time, and counts are sent so many to a row.
+COUNT_WORDS = 1 << 20
+_RUN = 16
+# A part of the lists has about so many postings; a task bundles about so many at a time.
+PART_POSTINGS = 1 << 17
+BUNDLE_POSTINGS = 1 << 18
 
 _SET = ["sid", "bits", "more_bits", "size"]
 _LINES = (
     "doc_id bigint, text_hash bigint, line int, sid bigint, bits bigint, more_bits bigint, size int,"
-    " skip int, tokens array<bigint>, most_cells int"
+    " skip int, tokens array<bigint>, n_postings bigint"
 )
 _NO_ID = (1 << 63) - 1
 
@@ -54,18 +61,39 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
 
 
+_COUNTS = [f"n{i}" for i in range(_RUN)]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
+    held, words = [], 0
     for batch in batches:
         for piece in pieces(batch.column(0), LINE_BYTES):
-            found = word_hashes(piece, *word_places(piece, NOT_SPACE))
-            counts += np.bincount(_bucket(found), minlength=len(counts))
-    yield from counted(counts)
+            held.append(_bucket(word_hashes(piece, *word_places(piece, NOT_SPACE))))
+            words += len(held[-1])
+            if words >= COUNT_WORDS:
+                counts += np.bincount(np.concatenate(held), minlength=len(counts))
+                held, words = [], 0
+    if words:
+        counts += np.bincount(np.concatenate(held), minlength=len(counts))
+    runs = counts.reshape(-1, _RUN)
+    places = np.flatnonzero(runs.any(axis=1))
+    if len(places):
+        columns = [pa.array(places), *(pa.array(runs[places, i]) for i in range(_RUN))]
+        yield pa.RecordBatch.from_arrays(columns, names=["place", *_COUNTS])
 
 
 def word_counts(docs: DataFrame) -> np.ndarray:
-    """Words of all texts counted in hashed buckets, in tasks, and summed by bucket."""
-    return summed(docs.select("text").mapInArrow(_count, COUNTED), 1 << COUNT_BITS)
+    """Words of all texts counted in hashed buckets, in tasks, and summed by bucket.
+
+    A row has the counts of some buckets in a row, so that few rows are grouped.
+    """
+    parts = docs.select("text").mapInArrow(_count, ", ".join(f"{c} bigint" for c in ["place", *_COUNTS]))
+    found = parts.groupBy("place").agg(*(F.sum(c).alias(c) for c in _COUNTS)).toArrow()
+    out = np.zeros((1 << COUNT_BITS) // _RUN * _RUN, dtype=np.int64).reshape(-1, _RUN)
+    for i, c in enumerate(_COUNTS):
+        out[found.column("place").to_numpy(), i] = found.column(c).to_numpy()
+    return out.ravel()
 
 
 def _ordered(group: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -95,23 +123,26 @@ def _line_sets(counts, threshold: Fraction):
                 bucket = _bucket(h)
                 rank = (level[bucket] << np.uint64(32)) | (h & np.uint64(0xFFFFFFFF))
                 order = _ordered(group, rank)
-                h, group, alone = h[order], group[order], often[bucket[order]] == 1
-                fresh = np.append(True, (h[1:] != h[:-1]) | (group[1:] != group[:-1]))
-                h, group, alone, order = h[fresh], group[fresh], alone[fresh], order[fresh]
+                h, group = h[order], group[order]
+                fresh = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (group[1:] != group[:-1])))
+                h, group, order = h[fresh], group[fresh], order[fresh]
                 heads = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
                 size = np.diff(np.append(heads, len(h)))
                 sid = np.add.reduceat(mix(h ^ np.uint64(0x5851F42D4C957F2D)), heads)
                 flip = np.uint64(1) << ((h >> np.uint64(33)) & np.uint64(63))
-                upper = (h >> np.uint64(39)) & np.uint64(1) == 1
-                bits = np.bitwise_xor.reduceat(np.where(upper, 0, flip), heads)
-                more_bits = np.bitwise_xor.reduceat(np.where(upper, flip, 0), heads)
-                place = np.arange(len(h)) - np.repeat(heads, size)
+                upper = flip * ((h >> np.uint64(39)) & np.uint64(1))
+                bits = np.bitwise_xor.reduceat(flip ^ upper, heads)
+                more_bits = np.bitwise_xor.reduceat(upper, heads)
                 prefix = size - (num * size + den - 1) // den + 1
-                used = (place < np.repeat(prefix, size)) & ~alone
-                cells = 1 + often[bucket[order]] // CELL_LINES
-                tokens = (cells[used] << 32) | (h[used] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                most_cells = np.maximum.reduceat(np.where(used, cells, 1), heads)
-                n_tokens = np.add.reduceat(used.astype(np.int64), heads)
+                # Places of the prefixes' words; each set has one at least.
+                begins = np.cumsum(prefix) - prefix
+                words = np.arange(begins[-1] + prefix[-1]) + np.repeat(heads - begins, prefix)
+                times = often[bucket[order[words]]]
+                used = times != 1
+                cells = 1 + times // CELL_LINES
+                tokens = (cells[used] << 32) | (h[words[used]] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                n_postings = np.add.reduceat(np.where(used, 2 * cells - 1, 0), begins)
+                n_tokens = np.add.reduceat(used.astype(np.int64), begins)
                 bounds = pa.array(np.append(0, np.cumsum(n_tokens)).astype(np.int32))
                 first = order[heads]
                 number = line[first] - np.searchsorted(breaks, piece.bounds[doc[first]])
@@ -127,9 +158,9 @@ def _line_sets(counts, threshold: Fraction):
                         pa.array(size.astype(np.int32)),
                         pa.array((prefix - n_tokens).astype(np.int32)),
                         pa.ListArray.from_arrays(bounds, pa.array(tokens)),
-                        pa.array(most_cells.astype(np.int32)),
+                        pa.array(n_postings),
                     ],
-                    names=["doc_id", "text_hash", "line", *_SET, "skip", "tokens", "most_cells"],
+                    names=["doc_id", "text_hash", "line", *_SET, "skip", "tokens", "n_postings"],
                 )
 
     return run
@@ -152,9 +183,9 @@ def _alike(threshold: Fraction) -> Column:
     both = F.col("a.size") + F.col("b.size")
     shared = F.expr(f"({num} * (a.size + b.size) + {num + den - 1}) div {num + den}")
     left = F.least(F.col("a.size") - F.col("a.pos"), F.col("b.size") - F.col("b.pos"))
+    # The order of lines, which makes rows, is compared last.
     return (
-        (F.struct("a.doc", "a.line", "a.n") < F.struct("b.doc", "b.line", "b.n"))
-        & (F.col("a.size") * den >= F.col("b.size") * num)
+        (F.col("a.size") * den >= F.col("b.size") * num)
         & (F.col("b.size") * den >= F.col("a.size") * num)
         & (left >= shared)
         & (
@@ -162,47 +193,100 @@ def _alike(threshold: Fraction) -> Column:
             + F.bit_count(F.col("a.more_bits").bitwiseXOR(F.col("b.more_bits")))
             <= both - shared * 2
         )
+        & (F.struct("a.doc", "a.line", "a.n") < F.struct("b.doc", "b.line", "b.n"))
     )
 
 
 # What is sent of a posting: its list and cell as one hash, the set's number and first
-# line, its bitmap, and size, place in the order and role in one number.
-_POSTING = ["key", "doc", "line", "n", "bits", "more_bits", "packed"]
+# line, its bitmap, and size, place in the order and role in one number. A row has
+# postings of one part, its key: of each of these the numbers, one after another.
+_POSTING = {
+    "list": np.int32, "doc": np.int64, "line": np.int32, "n": np.int64, "bits": np.int64, "more_bits": np.int64,
+    "packed": np.int64,
+}
+_BUNDLE = "key bigint, " + ", ".join(f"{c} binary" for c in _POSTING)
 _BOTH, _ONLY_A, _ONLY_B = 0, 1, 2
 _FIELD = 31
 
 
-def _packed(role: Column | int) -> Column:
-    role = F.lit(role) if isinstance(role, int) else role
-    upper = F.shiftleft(F.col("size").cast("bigint"), _FIELD).bitwiseOR(F.col("pos").cast("bigint"))
-    return F.shiftleft(upper, 2).bitwiseOR(role.cast("bigint")).alias("packed")
-
-
-def _key(cell: Column | int) -> Column:
-    """A list's cell: lists whose hashes are equal are compared as one, and verified."""
-    return F.xxhash64("token", F.lit(cell) if isinstance(cell, int) else cell).alias("key")
-
-
 def _salt() -> Column:
     """Which part of a long list a posting is in."""
-    return F.pmod(F.xxhash64("n"), F.col("cells")).cast("int")
+    return F.when(F.col("cells") == 1, 0).otherwise(F.pmod(F.xxhash64("n"), F.col("cells")).cast("int"))
 
 
-def _celled(postings: DataFrame) -> DataFrame:
-    """Postings of long lists once for each cell, as an earlier or a later line.
+def _postings(sets: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each posting: the hash of its list and cell, its set's row, and ``packed``.
 
-    Cell (i, j) compares later lines of salt i with earlier ones of salt j.
+    Postings of long lists are there once for each cell, as an earlier or a later line:
+    cell (i, j) compares later lines of salt i with earlier ones of salt j.
     """
-    n, salt = F.col("cells"), _salt()
-    other = F.sequence(F.lit(0).cast("bigint"), n - 1)
-    as_b = F.transform(other, lambda j: F.struct(
-        (salt * n + j).alias("cell"), F.when(j == salt, _BOTH).otherwise(_ONLY_B).alias("role")))
-    as_a = F.transform(F.filter(other, lambda i: i != salt), lambda i: F.struct(
-        (i * n + salt).alias("cell"), F.lit(_ONLY_A).alias("role")))
-    alone = F.array(F.struct(F.lit(0).cast("bigint").alias("cell"), F.lit(_BOTH).alias("role")))
-    parts = F.when(n == 1, alone).otherwise(F.concat(as_b, as_a))
-    cells = postings.select("*", F.inline(parts))
-    return cells.select(_key(F.col("cell")), *_POSTING[1:-1], _packed(F.col("role")))
+    n, size, skip = (sets.column(c).to_numpy() for c in ("n", "size", "skip"))
+    many = pc.list_value_length(sets.column("tokens")).to_numpy().astype(np.int64)
+    word = sets.column("tokens").flatten().to_numpy()
+    row = np.repeat(np.arange(len(n)), many)
+    pos = skip[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+    cells = word >> 32
+    cell, role = np.zeros(len(word), np.int64), np.full(len(word), _BOTH)
+    if (cells > 1).any():
+        salt = (mix(n[row].view(np.uint64)) % cells.astype(np.uint64)).astype(np.int64)
+        times = 2 * cells - 1
+        of = np.repeat(np.arange(len(word)), times)
+        other = np.arange(len(of)) - np.repeat(np.cumsum(times) - times, times)
+        row, pos, word, cells, salt = row[of], pos[of], word[of], cells[of], salt[of]
+        later = other < cells
+        other = np.where(later, other, other - cells)
+        other += ~later & (other >= salt)
+        cell = np.where(later, salt * cells + other, other * cells + salt)
+        role = np.where(later, np.where(other == salt, _BOTH, _ONLY_B), _ONLY_A)
+    token = (word & 0xFFFFFFFF).astype(np.uint64)
+    packed = (((size[row].astype(np.int64) << _FIELD) | pos) << 2) | role
+    return mix(mix(token) + cell.astype(np.uint64)), row, packed
+
+
+def _bundles(parts: int):
+    """Postings of sets in bundles: lists whose hashes are equal are one, and verified."""
+    of_set = ["doc", "line", "n", "bits", "more_bits"]
+
+    def bundled(held: list[pa.RecordBatch], found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        hashed, row, packed = (np.concatenate(x) for x in zip(*found))
+        part = ((hashed >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        order = np.argsort(part.astype(np.uint16 if parts <= 1 << 16 else np.uint32), kind="stable")
+        part, row = part[order], row[order]
+        heads = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        bounds = np.append(heads, len(part))
+        sets = pa.Table.from_batches(held)
+        columns = {c: sets.column(c).to_numpy()[row] for c in of_set}
+        columns["list"] = (hashed[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+        columns["packed"] = packed[order]
+        arrays = []
+        for c, kind in _POSTING.items():
+            numbers = np.ascontiguousarray(columns[c], dtype=kind)
+            places = (bounds * numbers.itemsize).astype(np.int32)
+            arrays.append(pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(places), pa.py_buffer(numbers)]))
+        return pa.RecordBatch.from_arrays([pa.array(part[heads].astype(np.int64)), *arrays], names=["key", *_POSTING])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, found, rows, some = [], [], 0, 0
+        for batch in batches:
+            made = np.cumsum(batch.column("n_postings").to_numpy())
+            first = 0
+            while first < batch.num_rows:
+                before = made[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(made, before + BUNDLE_POSTINGS, side="right")))
+                sets = batch.slice(first, last - first)
+                hashed, row, packed = _postings(sets)
+                held.append(sets.select(of_set))
+                found.append((hashed, row + rows, packed))
+                rows += sets.num_rows
+                some += len(row)
+                first = last
+                if some >= BUNDLE_POSTINGS:
+                    yield bundled(held, found)
+                    held, found, rows, some = [], [], 0, 0
+        if some:
+            yield bundled(held, found)
+
+    return run
 
 
 def _by_line(group: np.ndarray, doc: np.ndarray, line: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -218,64 +302,65 @@ def _by_line(group: np.ndarray, doc: np.ndarray, line: np.ndarray, n: np.ndarray
 
 
 def _earliest(threshold: Fraction):
-    """For rows in order of key: the earliest candidate of each."""
+    """For the lists of a part: the earliest candidate of each posting."""
     num, den = threshold.numerator, threshold.denominator
 
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        key, doc, line, n, bits, more, packed = (rows.column(c).to_numpy() for c in _POSTING)
-        group = np.cumsum(np.append(False, np.diff(key) != 0))
-        order = _by_line(group, doc, line, n)
-        # Keys stay where they are: each group is put in order by itself.
+    def compare(rows: pa.Table) -> pa.Table:
+        listed, doc, line, n, bits, more, packed = (
+            np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c, kind in _POSTING.items()
+        )
+        order = np.argsort(listed)
+        group = np.cumsum(np.append(False, np.diff(listed[order]) != 0))
+        # A posting that is alone in its list has no candidate.
+        order = order[np.bincount(group)[group] > 1]
+        if not len(order):
+            return pa.table({c: pa.array([], t) for c, t in _FOUND.items()})
+        group = np.cumsum(np.append(False, np.diff(listed[order]) != 0))
+        order = order[_by_line(group, doc[order], line[order], n[order])]
         doc, line, n, bits, more, packed = (x[order] for x in (doc, line, n, bits, more, packed))
         bits, more, packed = (x.view(np.uint64) for x in (bits, more, packed))
         role = packed & np.uint64(3)
         pos = ((packed >> np.uint64(2)) & np.uint64((1 << _FIELD) - 1)).astype(np.int64)
         size = (packed >> np.uint64(2 + _FIELD)).astype(np.int64)
-        fresh = np.append(True, np.diff(key) != 0)
-        head = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
-        place = np.arange(len(fresh)) - head
-        best = np.full(len(fresh), -1)
-        later = np.flatnonzero((place > 0) & (role != _ONLY_A))
-        k = 1
-        while len(later):
-            a, b = later - k, later
-            both = size[a] + size[b]
-            shared = (num * both + num + den - 1) // (num + den)
-            good = (
-                (np.minimum(size[a] - pos[a], size[b] - pos[b]) >= shared)
-                & (size[a] * den >= size[b] * num) & (size[b] * den >= size[a] * num)
-                & (role[a] != _ONLY_B)
-            )
-            a, b, most = a[good], b[good], (both - 2 * shared)[good]
-            apart = np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64) + np.bitwise_count(more[a] ^ more[b])
+        # Each list by size: of a line's smaller ones those from low to high pass the filters
+        # for length and for its own place, and then the one for theirs if bound[j] >= least[i].
+        wide = int(size.max()) + 1
+        by_size = np.argsort(group * wide + size)
+        size, left, base = size[by_size], (size - pos)[by_size], group[by_size] * wide
+        least = num * size
+        bound = (num + den) * left - least
+        low = np.searchsorted(base + size, base + (least + den - 1) // den)
+        high = np.searchsorted(base + size, base + bound // num, side="right")
+        many = np.minimum(high, np.arange(len(size))) - low
+        best = np.full(len(size), len(size))
+        cut = (role != _BOTH).any()
+        i = np.flatnonzero(many > 0)
+        k = 0
+        while len(i):
+            j = low[i] + k
+            good = bound[j] >= least[i]
+            x, y = i[good], j[good]
+            both = size[x] + size[y]
+            most = both - 2 * ((num * both + num + den - 1) // (num + den))
+            x, y = by_size[x], by_size[y]
+            apart = np.bitwise_count(bits[x] ^ bits[y]).astype(np.int64) + np.bitwise_count(more[x] ^ more[y])
             close = apart <= most
-            best[b[close]] = a[close]
+            x, y = x[close], y[close]
+            a, b = np.minimum(x, y), np.maximum(x, y)
+            if cut:
+                met = (role[a] != _ONLY_B) & (role[b] != _ONLY_A)
+                a, b = a[met], b[met]
+            np.minimum.at(best, b, a)
             k += 1
-            later = later[place[later] >= k]
-        b = np.flatnonzero(best >= 0)
+            i = i[many[i] > k]
+        b = np.flatnonzero(best < len(best))
         a = best[b]
-        return pa.RecordBatch.from_pydict(
-            {"a_doc": pa.array(doc[a]), "a_line": pa.array(line[a]), "a_n": pa.array(n[a]), "b_n": pa.array(n[b])}
-        )
+        return pa.table([pa.array(x, t) for x, t in zip((doc[a], line[a], n[a], n[b]), _FOUND.values())], names=[*_FOUND])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows < 1 << 16:
-                continue
-            whole = pa.Table.from_batches(held).combine_chunks()
-            changes = np.flatnonzero(np.diff(whole.column("key").to_numpy()) != 0)
-            cut = int(changes[-1]) + 1 if len(changes) else 0
-            if cut:
-                yield compare(whole.slice(0, cut))
-            held = whole.slice(cut).to_batches()
-            rows = whole.num_rows - cut if cut else 0
-        if held and sum(b.num_rows for b in held):
-            yield compare(pa.Table.from_batches(held))
+    return compare
 
-    return run
+
+_FOUND = {"a_doc": pa.int64(), "a_line": pa.int32(), "a_n": pa.int64(), "b_n": pa.int64()}
 
 
 def _line_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,27 +423,28 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     place = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc"), "line", "text_hash")
     sets = lines.groupBy(*_SET).agg(
         F.min(place).alias("first"), F.first(F.struct("skip", "tokens")).alias("prefix"),
-        F.max("most_cells").alias("most_cells"),
+        F.first("n_postings").alias("n_postings"), (F.count("*") > 1).alias("copied"),
     )
     sets = keep(sets.withColumn("n", F.monotonically_increasing_id()), "line-sets")
-    # A word and, in its upper half, the number of cells of its list.
-    word = F.posexplode("prefix.tokens").alias("at", "word")
-    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", "most_cells", word).select(
-        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).alias("cells"),
-        "most_cells", "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
-    )
-    whole = postings.where("most_cells = 1").select(_key(F.lit(0).cast("bigint")), *_POSTING[1:-1], _packed(_BOTH))
+    total = sets.agg(F.sum("n_postings")).first()[0] or 0
     ordered = (
-        whole.unionByName(_celled(postings.where("most_cells > 1")))
+        sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", "prefix.tokens", "n_postings")
+        .mapInArrow(_bundles(max(1, -(-total // PART_POSTINGS))), _BUNDLE)
         .repartition("key")
-        .sortWithinPartitions("key")  # of one number: a radix sort; tasks order the lines of a list
+        .sortWithinPartitions("key")  # of one number: a radix sort; tasks order the lists of a part
     )
-    found = ordered.mapInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
+    found = ordered.groupBy("key").applyInArrow(_earliest(threshold), "a_doc bigint, a_line int, a_n bigint, b_n bigint")
     earliest = F.min(F.struct("a_doc", "a_line", "a_n")).alias("a")
     pairs = keep(found.groupBy("b_n").agg(earliest).select("a.a_n", "b_n"), "line-pairs")
     later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
     doubtful = pairs.select(F.col("b_n").alias("n")).join(later, "n", "left_anti")
     doubtful = if_small(keep(doubtful, "doubtful-lines"))
+    # A word and, in its upper half, the number of cells of its list.
+    word = F.posexplode("prefix.tokens").alias("at", "word")
+    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", word).select(
+        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).alias("cells"),
+        "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
+    )
     # Each doubtful line against all parts of its lists; a part, above the word in one
     # number, is one key of the join.
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)).alias("part")
@@ -371,11 +457,13 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     more = _verified(docs, sets, keep(rest.distinct(), "more-pairs"), threshold)
     later = keep(later.union(more), "later-lines")
 
-    firsts = sets.select("n", *_SET, "first").join(later.withColumn("later", F.lit(True)), "n", "left")
+    firsts = sets.select("n", *_SET, "first", "copied").join(later.withColumn("later", F.lit(True)), "n", "left")
+    # Of the others the only line stays.
+    firsts = firsts.where(F.col("copied") | F.col("later"))
     gone = F.coalesce("later", F.lit(False)) | (place != F.col("first"))
     return (
-        lines.drop("skip", "tokens", "most_cells")
-        .join(firsts.drop("n"), _SET)
+        lines.drop("skip", "tokens", "n_postings")
+        .join(firsts.drop("n", "copied"), _SET)
         .where(gone)
         .groupBy("doc_id", "text_hash")
         .agg(F.array_sort(F.collect_set("line")).alias("removed"))

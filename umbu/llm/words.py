@@ -93,10 +93,17 @@ def word_places(piece: Piece, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, ends
 
 
-def running_sums(data: np.ndarray) -> np.ndarray:
-    """Sums of bytes times powers, from which any slice's hash follows."""
+# What each byte counts, as it is and with A-Z taken as a-z.
+_BYTES = np.arange(1, 257, dtype=np.uint64)
+_LOWER_BYTES = _BYTES[LOWER]
+
+
+def running_sums(data: np.ndarray, counts: np.ndarray = _BYTES) -> np.ndarray:
+    """Sums of what bytes count times powers, from which any slice's hash follows."""
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    terms = counts[data]
+    terms *= _powers(len(data) + 1)[0][: len(data)]
+    np.cumsum(terms, out=sums[1:])
     return sums
 
 
@@ -108,7 +115,7 @@ def slice_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 def word_hashes(piece: Piece, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of words, A-Z taken as a-z."""
-    return mix(slice_hashes(running_sums(LOWER[piece.data]), starts, ends))
+    return mix(slice_hashes(running_sums(piece.data, _LOWER_BYTES), starts, ends))
 
 
 def hashed(texts: list[str | None], kind: np.ndarray) -> list[np.ndarray]:
