@@ -215,3 +215,13 @@ def test_postings_are_sent_in_few_rows(spark, monkeypatch):
     line_dedup.repeated_lines(frame_of(spark, documents(2)))
     [pairs] = [plan for plan in plans if "Sort [key" in plan]
     assert "Generate" not in pairs.split("Sort [key")[1]
+
+
+def test_bytes_are_mapped_as_by_a_table():
+    from umbu.llm.words import LETTERS, LOWER, mapped
+
+    data = np.random.default_rng(2).integers(0, 256, 3000).astype(np.uint8)
+    for values in (LOWER, LETTERS):
+        for some in (data, data[5:5], data[::1][7:]):
+            got = mapped(some, values)
+            assert got.dtype == values.dtype and (got == values[some]).all() and len(got) == len(some)

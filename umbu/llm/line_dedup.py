@@ -214,6 +214,16 @@ def _salt() -> Column:
     return F.when(F.col("cells") == 1, 0).otherwise(F.pmod(F.xxhash64("n"), F.col("cells")).cast("int"))
 
 
+def _listed(sets: DataFrame) -> DataFrame:
+    """Postings of sets, a row each, with the number of cells of their list."""
+    # A word and, in its upper half, the number of cells of its list.
+    word = F.posexplode("prefix.tokens").alias("at", "word")
+    return sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", word).select(
+        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).alias("cells"),
+        "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
+    )
+
+
 def _postings(sets: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each posting: the hash of its list and cell, its set's row, and ``packed``.
 
@@ -439,19 +449,13 @@ def repeated_lines(docs: DataFrame, threshold: Fraction = THRESHOLD) -> DataFram
     later = keep(_verified(docs, sets, pairs, threshold), "later-lines")
     doubtful = pairs.select(F.col("b_n").alias("n")).join(later, "n", "left_anti")
     doubtful = if_small(keep(doubtful, "doubtful-lines"))
-    # A word and, in its upper half, the number of cells of its list.
-    word = F.posexplode("prefix.tokens").alias("at", "word")
-    postings = sets.select("n", *_SET[1:], "first.doc", "first.line", "prefix.skip", word).select(
-        F.expr("word & 4294967295").alias("token"), F.shiftright("word", 32).alias("cells"),
-        "n", *_SET[1:], "doc", "line", (F.col("skip") + F.col("at")).alias("pos"),
-    )
     # Each doubtful line against all parts of its lists; a part, above the word in one
     # number, is one key of the join.
     part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cells") - 1)).alias("part")
     listed = F.shiftleft("part", 32).bitwiseOR(F.col("token")).alias("key")
-    probes = postings.join(doubtful, "n", "left_semi").select("*", part).select("*", listed)
+    probes = _listed(sets.join(doubtful, "n", "left_semi")).select("*", part).select("*", listed)
     probes = if_small(keep(probes, "probes"))
-    lists = postings.withColumn("part", _salt().cast("bigint")).select("*", listed)
+    lists = _listed(sets).withColumn("part", _salt().cast("bigint")).select("*", listed)
     rest = lists.alias("a").join(probes.alias("b"), F.col("a.key") == F.col("b.key"))
     rest = rest.where(_alike(threshold)).select(F.col("a.n").alias("a_n"), F.col("b.n").alias("b_n"))
     more = _verified(docs, sets, keep(rest.distinct(), "more-pairs"), threshold)

@@ -79,11 +79,16 @@ def pieces(column: pa.Array, size: int = PIECE_BYTES) -> Iterator[Piece]:
         first = last
 
 
+def mapped(data: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """``values[data]`` of bytes, for values of a byte."""
+    return np.frombuffer(data.tobytes().translate(values.tobytes()), dtype=values.dtype)
+
+
 def word_places(piece: Piece, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of a class begin and end; no word spans two texts."""
     n = len(piece.data)
     inside = np.zeros(n + 1, dtype=bool)
-    inside[:n] = kind[piece.data]
+    inside[:n] = mapped(piece.data, kind)
     before = np.zeros(n + 1, dtype=bool)
     before[1:] = inside[:n]
     cut = np.zeros(n + 1, dtype=bool)
@@ -93,17 +98,13 @@ def word_places(piece: Piece, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts, ends
 
 
-# What each byte counts, as it is and with A-Z taken as a-z.
-_BYTES = np.arange(1, 257, dtype=np.uint64)
-_LOWER_BYTES = _BYTES[LOWER]
-
-
-def running_sums(data: np.ndarray, counts: np.ndarray = _BYTES) -> np.ndarray:
-    """Sums of what bytes count times powers, from which any slice's hash follows."""
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    terms = counts[data]
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of bytes times powers, from which any slice's hash follows."""
+    sums = np.empty(len(data) + 1, dtype=np.uint64)
+    sums[0], terms = 0, sums[1:]
+    np.add(data, np.uint64(1), out=terms, dtype=np.uint64)
     terms *= _powers(len(data) + 1)[0][: len(data)]
-    np.cumsum(terms, out=sums[1:])
+    np.cumsum(terms, out=terms)
     return sums
 
 
@@ -115,7 +116,7 @@ def slice_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 def word_hashes(piece: Piece, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of words, A-Z taken as a-z."""
-    return mix(slice_hashes(running_sums(piece.data, _LOWER_BYTES), starts, ends))
+    return mix(slice_hashes(running_sums(mapped(piece.data, LOWER)), starts, ends))
 
 
 def hashed(texts: list[str | None], kind: np.ndarray) -> list[np.ndarray]:
